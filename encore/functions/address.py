@@ -1,8 +1,7 @@
 """Province and city from a free-text Chinese address.
 
-Each rule is a regular expression whose match condition is exactly the case where the
-original substring arithmetic succeeds; where that arithmetic would fail (a missing or
-misplaced end mark) the result is ``''``.
+Rules work on the positions of marker characters.  Where a range would be invalid (a
+missing end mark, or one placed before the start mark) the result is ``''``.
 """
 
 from __future__ import annotations
@@ -38,11 +37,22 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _between(c: Column, start: str, end: str) -> Column:
-    """Text after the first ``start`` up to the first ``end``; ``''`` if ``end`` is missing
-    or comes before ``start``."""
-    pat = f"^[^{start}{end}]*{start}([^{end}]*){end}"
-    return F.regexp_extract(c, pat, 1)
+def _rest(c: Column, mark: str) -> Column:
+    """Text after the first ``mark`` (whole text if absent)."""
+    return F.substr(c, F.instr(c, mark) + 1, F.length(c))
+
+
+def _cut(c: Column, start: str, end: str) -> Column:
+    """Text after the first ``start`` up to the first ``end`` (both found from the
+    beginning); ``''`` when ``end`` is missing or comes before ``start``."""
+    i, j = F.instr(c, start), F.instr(c, end)
+    return F.when((i > 0) & (j > i), F.substr(c, i + 1, j - i - 1)).otherwise(F.lit(""))
+
+
+def _upto(c: Column, mark: str) -> Column:
+    """Text before the first ``mark``; ``''`` when it is missing."""
+    k = F.instr(c, mark)
+    return F.when(k > 0, F.substr(c, F.lit(1), k - 1)).otherwise(F.lit(""))
 
 
 def province_from_address(addr: Column | str) -> Column:
@@ -51,35 +61,41 @@ def province_from_address(addr: Column | str) -> Column:
     for marker, short in PROVINCE_MARKERS:
         cond = c.contains(marker)
         out = F.when(cond, F.lit(short)) if out is None else out.when(cond, F.lit(short))
-    before = F.regexp_extract(c, f"^([^{PROVINCE_MARK}]*){PROVINCE_MARK}", 1)
-    return out.when(c.contains(PROVINCE_MARK), before).otherwise(F.lit(""))
+    return out.when(c.contains(PROVINCE_MARK), _upto(c, PROVINCE_MARK)).otherwise(F.lit(""))
 
 
 def city_from_address(addr: Column | str) -> Column:
+    """City or district name by the per-region rules (position arithmetic keeps the
+    generated code small enough for whole-stage codegen)."""
     c = _c(addr)
-    out = None
+    d, m, x, z = DISTRICT, CITY, COUNTY, PREFECTURE
+    after_d = _rest(c, d)
+    # Xinjiang: 区..市 when that range is valid, else 区..next 区, else 区..州.
+    xj = (F.when(F.instr(c, m) > F.instr(c, d), _cut(c, d, m))
+          .when(after_d.contains(d), _upto(after_d, d))
+          .otherwise(_upto(after_d, z)))
+    # Chongqing: 市..区 if a 区 follows the first 市, else 市..县 if a 县 follows it.
+    after_m = _rest(c, m)
+    cq = (F.when(after_m.contains(d), _cut(c, m, d))
+          .when(after_m.contains(x), _cut(c, m, x))
+          .otherwise(F.lit("")))
+    # Provinces: 省..市 if a 市 follows the first 省, else 省..州.
+    after_p = _rest(c, PROVINCE_MARK)
+    pv = (F.when(after_p.contains(m), _cut(c, PROVINCE_MARK, m))
+          .otherwise(_upto(after_p, z)))
+    region = None
     for marker in REGION_CITY_MARKERS:
-        cond = c.contains(marker)
-        val = _between(c, DISTRICT, CITY)
-        out = F.when(cond, val) if out is None else out.when(cond, val)
-    # Xinjiang: 区..市, else 区..next 区, else 区..州.
-    xj = (F.when(c.rlike(f"^[^{DISTRICT}{CITY}]*{DISTRICT}[^{CITY}]*{CITY}"), _between(c, DISTRICT, CITY))
-          .when(c.rlike(f"{DISTRICT}.*{DISTRICT}"),
-                F.regexp_extract(c, f"^[^{DISTRICT}]*{DISTRICT}([^{DISTRICT}]*){DISTRICT}", 1))
-          .otherwise(F.regexp_extract(c, f"^[^{DISTRICT}]*{DISTRICT}([^{PREFECTURE}]*){PREFECTURE}", 1)))
-    out = out.when(c.contains(XINJIANG), xj)
+        region = c.contains(marker) if region is None else region | c.contains(marker)
+    muni = None
     for marker in MUNICIPALITY_MARKERS:
-        out = out.when(c.contains(marker), _between(c, CITY, DISTRICT))
-    cq = (F.when(c.rlike(f"{CITY}.*{DISTRICT}"), _between(c, CITY, DISTRICT))
-          .when(c.rlike(f"{CITY}.*{COUNTY}"), _between(c, CITY, COUNTY))
-          .otherwise(F.lit("")))
-    out = out.when(c.contains(CHONGQING), cq)
-    out = out.when(c.contains(TIANJIN), _between(c, CITY, DISTRICT))
-    prov = (F.when(c.rlike(f"{PROVINCE_MARK}.*{CITY}"), _between(c, PROVINCE_MARK, CITY))
-            .when(c.rlike(f"{PROVINCE_MARK}.*{PREFECTURE}"),
-                  F.regexp_extract(c, f"^[^{PROVINCE_MARK}]*{PROVINCE_MARK}([^{PREFECTURE}]*){PREFECTURE}", 1))
+        muni = c.contains(marker) if muni is None else muni | c.contains(marker)
+    return (F.when(region, _cut(c, d, m))
+            .when(c.contains(XINJIANG), xj)
+            .when(muni, _cut(c, m, d))
+            .when(c.contains(CHONGQING), cq)
+            .when(c.contains(TIANJIN), _cut(c, m, d))
+            .when(c.contains(PROVINCE_MARK), pv)
             .otherwise(F.lit("")))
-    return out.when(c.contains(PROVINCE_MARK), prov).otherwise(F.lit(""))
 
 
 def province_or_derived(prvc: Column | str, addr: Column | str) -> Column:

@@ -80,4 +80,5 @@ def product_types(s: Column | str) -> Column:
 def join_ints(arr: Column | str, sep: str = ",") -> Column:
     """Text form of an int array with NULL items shown as ``null`` (for display/compare)."""
     a = _c(arr)
-    return F.concat_ws(sep, F.transform(a, lambda x: F.coalesce(x.cast("string"), F.lit("null"))))
+    text = F.concat_ws(sep, F.transform(a, lambda x: F.coalesce(x.cast("string"), F.lit("null"))))
+    return F.when(a.isNotNull(), text)

@@ -10,10 +10,10 @@ from encore.registry.common import DAY, Registry
 
 
 def build() -> Registry:
-    from encore.registry import songs
+    from encore.registry import dims, songs
 
     reg = Registry()
-    for mod in (songs,):
+    for mod in (songs, dims):
         reg.merge(mod.R)
     return reg
 
