@@ -10,10 +10,10 @@ from encore.registry.common import DAY, Registry
 
 
 def build() -> Registry:
-    from encore.registry import dims, songs
+    from encore.registry import dims, ops, songs
 
     reg = Registry()
-    for mod in (songs, dims):
+    for mod in (songs, dims, ops):
         reg.merge(mod.R)
     return reg
 

@@ -227,7 +227,7 @@ def standin_sql(name: str, spark_dir: str | None = None) -> str:
 
 
 # Stand-ins stored like the reference's day-partitioned source tables.
-DAY_PARTITIONED = {"plays", "cnsm", "logins", "loc_reports"}
+DAY_PARTITIONED = {"plays", "logins", "loc_reports"}
 _STORED: dict[tuple[str, str, str], tuple[str, object]] = {}
 _LOCK = threading.Lock()
 
