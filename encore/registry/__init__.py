@@ -10,10 +10,10 @@ from encore.registry.common import DAY, Registry
 
 
 def build() -> Registry:
-    from encore.registry import dims, ops, songs
+    from encore.registry import dims, io, ops, songs
 
     reg = Registry()
-    for mod in (songs, dims, ops):
+    for mod in (songs, dims, ops, io):
         reg.merge(mod.R)
     return reg
 
