@@ -23,6 +23,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFr
     return df
 
 
+def broadcast_all_if_small(frames: list[DataFrame], max_rows: int = LOOKUP_MAX_ROWS) -> list[DataFrame]:
+    """``broadcast_if_small`` for several lookups with ONE bounded counting job."""
+    from functools import reduce
+
+    probes = [f.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, f in enumerate(frames)]
+    counts = {r["_i"]: r["n"] for r in reduce(lambda a, b: a.unionByName(b), probes)
+              .groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [F.broadcast(f) if counts.get(i, 0) <= max_rows else f for i, f in enumerate(frames)]
+
+
 def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
              max_rows: int | None = None) -> DataFrame:
     """Fact-to-dimension join.  With ``max_rows`` the dimension is broadcast behind a

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from encore.functions.address import city_from_address, province_from_address
 from encore.functions.dates import normalise_time14
-from encore.operators.joins import LOOKUP_MAX_ROWS, broadcast_if_small
+from encore.operators.joins import LOOKUP_MAX_ROWS, broadcast_all_if_small
 from encore.operators.sets import key_universe
 
 # Fixed values (must equal the reference's labels).
@@ -104,17 +104,18 @@ def machine_scene(ids: DataFrame, mac_b: DataFrame, prvc: DataFrame, cty: DataFr
                   store_map: DataFrame, store: DataFrame, lookup_max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
     """System B's view of each machine: contract, scene region names (three lookups keyed
     from the contract row) and store (through the machine-store bridge)."""
-    p = broadcast_if_small(prvc.select("prvc_id", F.col("prvc").alias("b_prvc")), lookup_max_rows)
-    c = broadcast_if_small(cty.select("cty_id", F.col("cty").alias("b_cty")), lookup_max_rows)
-    a = broadcast_if_small(area.select("area_id", F.col("area").alias("b_area")), lookup_max_rows)
-    st = store.select(F.col("id").alias("store_id"), F.col("ground_nm").alias("b_store_nm"), "tag_nm", "sub_tag_nm",
-                      "sub_scene_catgy_nm", "sub_scene_nm", "brnd_nm", "sub_brnd_nm")
+    p, c, a, st = broadcast_all_if_small([
+        prvc.select("prvc_id", F.col("prvc").alias("b_prvc")),
+        cty.select("cty_id", F.col("cty").alias("b_cty")),
+        area.select("area_id", F.col("area").alias("b_area")),
+        store.select(F.col("id").alias("store_id"), F.col("ground_nm").alias("b_store_nm"), "tag_nm", "sub_tag_nm",
+                     "sub_scene_catgy_nm", "sub_scene_nm", "brnd_nm", "sub_brnd_nm")], lookup_max_rows)
     return (ids.join(mac_b, "mid", "left")
                .join(p, F.col("scene_prvc_id") == F.col("prvc_id"), "left")
                .join(c, F.col("scene_cty_id") == F.col("cty_id"), "left")
                .join(a, F.col("scene_area_id") == F.col("area_id"), "left")
                .join(store_map.select("mid", "store_id"), "mid", "left")
-               .join(broadcast_if_small(st, lookup_max_rows), "store_id", "left")
+               .join(st, "store_id", "left")
                .select("mid", "mac_nm", "pkg_nm", "inv_rate", "age_rate", "com_rate", "par_rate", "is_actv",
                        "actv_tm", F.col("had_mpay_func").alias("b_pay_sw"), "b_prvc", "b_cty", "b_area",
                        F.concat("scene_addr", "ground_nm").alias("b_addr"), "b_store_nm", "tag_nm", "sub_tag_nm",

@@ -59,6 +59,33 @@ def revenue_by_package(brief: DataFrame, abn_typ: int, prefix: str) -> DataFrame
                       F.count("ordr_id").alias(orders)))
 
 
+def package_money(brief: DataFrame) -> DataFrame:
+    """Revenue and refund per (machine, package, pay type) in ONE pass over the detail.
+
+    Stage 1 groups by (keys, abnormality code, user) with a map-side partial aggregate;
+    stage 2 folds users into distinct counts per key.  Only keys with revenue rows are
+    returned (refunds without revenue drop, as a left join on the revenue keys does);
+    refund columns are NULL when the key had no refund."""
+    keys = ["mid", "pkg_id", "pay_type"]
+    s1 = (brief.where(F.col("abn_typ").isin(ABN_NORMAL, ABN_REFUND))
+               .groupBy(*keys, "abn_typ", "uid")
+               .agg(F.sum(F.col("coin_cnt") * F.col("coin_prc")).alias("amt"), F.count("ordr_id").alias("n")))
+    rev, ref = F.col("abn_typ") == ABN_NORMAL, F.col("abn_typ") == ABN_REFUND
+    has_uid = F.col("uid").isNotNull()
+    s2 = s1.groupBy(*keys).agg(
+        F.max(rev.cast("int")).alias("_has_rev"), F.max(ref.cast("int")).alias("_has_ref"),
+        F.count(F.when(rev & has_uid, 1)).alias("cnsm_usr_cnt"), F.sum(F.when(rev, F.col("amt"))).alias("tot_rev"),
+        F.sum(F.when(rev, F.col("n"))).alias("rev_ordr_cnt"),
+        F.count(F.when(ref & has_uid, 1)).alias("ref_usr_cnt"), F.sum(F.when(ref, F.col("amt"))).alias("tot_ref"),
+        F.sum(F.when(ref, F.col("n"))).alias("ref_ordr_cnt"))
+    # A refund matches only on non-NULL keys (equality with NULL never holds).
+    keep_ref = (F.col("_has_ref") == 1) & F.col("mid").isNotNull() & F.col("pkg_id").isNotNull() \
+        & F.col("pay_type").isNotNull()
+    return s2.where(F.col("_has_rev") == 1).select(
+        *keys, "cnsm_usr_cnt", "tot_rev", "rev_ordr_cnt",
+        *[F.when(keep_ref, F.col(c)).alias(c) for c in ("ref_usr_cnt", "tot_ref", "ref_ordr_cnt")])
+
+
 def new_users_by_machine(users_today: DataFrame, day: str) -> DataFrame:
     """Users registered on ``day``, counted by the machine they registered on."""
     check_day(day)
@@ -71,13 +98,11 @@ def machine_stats(machines: DataFrame, locations: DataFrame, brief: DataFrame, u
                   day: str) -> DataFrame:
     """29 columns per machine x package x pay type.
 
-    Refunds join on the revenue row's keys (a refund group without revenue is dropped;
-    NULL keys never match).  The new-user count repeats on each package row of a machine,
-    so it must not be summed later.  The location snapshot overrides province, city and
+    Refunds count only on the revenue rows' keys (a refund group without revenue is
+    dropped; NULL keys never match - see ``package_money``).  The new-user count repeats
+    on each package row of a machine, so it must not be summed later.  The location snapshot overrides province, city and
     area.  All joins are on the machine id of pre-aggregated inputs."""
-    rev = revenue_by_package(brief, ABN_NORMAL, "rev")
-    ref = revenue_by_package(brief, ABN_REFUND, "ref")
-    money = rev.join(ref, ["mid", "pkg_id", "pay_type"], "left")
+    money = package_money(brief)
     loc = locations.select("mid", F.col("prvc").alias("l_prvc"), F.col("cty").alias("l_cty"),
                            F.col("district").alias("l_area"))
     out = (machines.join(loc, "mid", "left")

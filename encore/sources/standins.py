@@ -228,7 +228,7 @@ def standin_sql(name: str, spark_dir: str | None = None) -> str:
 
 # Stand-ins stored like the reference's day-partitioned source tables.
 DAY_PARTITIONED = {"plays", "logins", "loc_reports"}
-_STORED: dict[tuple[str, str, str], tuple[str, object]] = {}
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
 _LOCK = threading.Lock()
 
 
@@ -252,10 +252,10 @@ def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             if name in DAY_PARTITIONED:
                 writer = writer.partitionBy("data_dt")
             writer.parquet(path)
-            hit = (path, df.schema)
+            # One DataFrame per stored table: its file listing is done once and reused.
+            hit = spark.read.schema(df.schema).parquet(path)
             _STORED[key] = hit
-    path, schema = hit
-    return spark.read.schema(schema).parquet(path)
+    return hit
 
 
 def with_standins(names: list[str], body: str) -> str:

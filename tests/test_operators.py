@@ -65,3 +65,20 @@ def test_snapshot_merge_keeps_each_key_once(spark):
     new = spark.createDataFrame([(2, "n2"), (3, "n3"), (None, "nn")], "mid int, v string")
     got = sorted((r.mid, r.v) for r in snapshot_merge(new, old, "mid").collect())
     assert got == [(1, "o1"), (2, "n2"), (3, "n3")]
+
+
+def test_package_money_matches_join_form(spark):
+    from encore.plans.money import package_money, revenue_by_package
+
+    data = [("1", "u1", "m1", "p", "A", 5.0, 1, 0), ("2", "u2", "m1", "p", "A", 3.0, 1, 0),
+            ("3", "u1", "m1", "p", "A", 2.0, 1, 2), ("4", "u3", "m1", "q", "B", 7.0, 1, 2),
+            ("5", None, "m2", None, "A", 1.0, 1, 0), ("6", "u4", "m2", None, "A", 4.0, 1, 2),
+            ("7", "u5", "m3", "p", "A", 6.0, 1, 1)]
+    brief = spark.createDataFrame(data, "ordr_id string, uid string, mid string, pkg_id string, pay_type string, "
+                                        "coin_prc double, coin_cnt int, abn_typ int")
+    keys = ["mid", "pkg_id", "pay_type"]
+    want = revenue_by_package(brief, 0, "rev").join(revenue_by_package(brief, 2, "ref"), keys, "left")
+    cols = keys + ["cnsm_usr_cnt", "tot_rev", "rev_ordr_cnt", "ref_usr_cnt", "tot_ref", "ref_ordr_cnt"]
+    got = package_money(brief).select(*cols)
+    norm = lambda df: sorted(tuple("N" if v is None else v for v in r) for r in df.select(*cols).collect())
+    assert norm(got) == norm(want)
