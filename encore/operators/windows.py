@@ -43,13 +43,15 @@ def trailing_windows(plays: DataFrame, day: str, key: str = "song_id", user: str
     prev = day_minus(day, 1)
     lo = {n: day_minus(day, n) for n in spans}
     d = F.col(day_col)
+    # yyyyMMdd orders like the integer it spells; an int day keeps every aggregate
+    # buffer fixed-width, so both stages run as hash aggregates.
     base = plays.where(d.between(lo[longest], day)).select(
-        F.col(key).alias("_k"), F.col(user).alias("_u"), F.col(order).alias("_o"), d.alias("_d"))
+        F.col(key).alias("_k"), F.col(user).alias("_u"), F.col(order).alias("_o"), d.try_cast("int").alias("_d"))
     utype = dict(base.dtypes)["_u"]
     otype = dict(base.dtypes)["_o"]
 
     def entry(kind: int, kd: Column, ku: Column, ko: Column) -> Column:
-        return F.struct(F.lit(kind).cast("tinyint").alias("kind"), kd.cast("string").alias("kd"),
+        return F.struct(F.lit(kind).cast("tinyint").alias("kind"), kd.cast("int").alias("kd"),
                         ku.cast(utype).alias("ku"), ko.cast(otype).alias("ko"))
 
     null = F.lit(None)
@@ -66,6 +68,8 @@ def trailing_windows(plays: DataFrame, day: str, key: str = "song_id", user: str
     is_user = (F.col("kind") == _KIND_USER) & F.col("ku").isNotNull()
     is_order = (F.col("kind") == _KIND_ORDER) & F.col("ko").isNotNull()
     kd, last, n = F.col("kd"), F.col("last"), F.col("n")
+    day, prev = int(day), int(prev)
+    lo = {s: int(v) for s, v in lo.items()}
     aggs = [
         F.coalesce(F.sum(F.when(is_day & (kd == day), n)), F.lit(0)).cast("bigint").alias("sing_cnt"),
         F.count(F.when(is_user & (last == day), 1)).alias("usr_cnt"),

@@ -248,9 +248,13 @@ def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if hit is None:
             df = standin_query(spark, sf_dir, name)
             path = scratch_path(spark, f"standin-{name}")
-            writer = df.write.mode("overwrite")
+            # Stored like a real table: many files (one per day in a day partition), so
+            # scans get one task per file instead of one task for a single source file.
+            parts = spark.sparkContext.defaultParallelism
             if name in DAY_PARTITIONED:
-                writer = writer.partitionBy("data_dt")
+                writer = df.repartition("data_dt").write.mode("overwrite").partitionBy("data_dt")
+            else:
+                writer = df.repartition(parts).write.mode("overwrite")
             writer.parquet(path)
             # One DataFrame per stored table: its file listing is done once and reused.
             hit = spark.read.schema(df.schema).parquet(path)
