@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.dates import check_day, day_minus
-from encore.functions.text import blank_if_null
 from encore.operators.sets import snapshot_merge
 from encore.operators.windows import global_row_number, top1_by
 
@@ -75,7 +74,8 @@ def lookup_enricher(lookup: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """Enrichment by a location table with unique (x, y) and the 18 address fields."""
     def enrich(top: DataFrame) -> DataFrame:
         j = top.join(lookup.select("x", "y", *ADDRESS_FIELDS), ["x", "y"], "left")
-        return j.select("mid", "x", "y", "cnt", *[blank_if_null(c).alias(c) for c in ADDRESS_FIELDS])
+        # NULL or missing fields become '' (as a blank-if-null rule).
+        return j.selectExpr("mid", "x", "y", "cnt", *[f"coalesce(`{c}`, '') AS `{c}`" for c in ADDRESS_FIELDS])
     return enrich
 
 
@@ -113,8 +113,8 @@ def flatten_geocode(responses: DataFrame, requests: DataFrame) -> DataFrame:
                   .where((F.col("r.infocode") == GEOCODE_OK) & (F.size("r.regeocodes") == F.col("n"))))
     elems = good.select("batch_id", F.posexplode("r.regeocodes").alias("pos", "g"))
     j = requests.join(elems, ["batch_id", "pos"], "inner")
-    return j.select("mid", "x", "y", "cnt",
-                    *[blank_if_null(F.col("g." + path)).alias(c) for c, path in RESPONSE_PATHS.items()])
+    return j.selectExpr("mid", "x", "y", "cnt",
+                        *[f"coalesce(g.{path}, '') AS `{c}`" for c, path in RESPONSE_PATHS.items()])
 
 
 def machine_location(reports: DataFrame, prev: DataFrame | None, day: str,

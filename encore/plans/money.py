@@ -108,17 +108,13 @@ def machine_stats(machines: DataFrame, locations: DataFrame, brief: DataFrame, u
     out = (machines.join(loc, "mid", "left")
                    .join(money, "mid", "left")
                    .join(new_users_by_machine(users_today, day), "mid", "left"))
-    zero = F.lit(0)
-    return out.select(
+    return out.selectExpr(
         "mid", "mac_nm", "prdct_typ", "store_nm", "bus_mode", "pay_sw", "scence_catgy", "sub_scence_catgy", "scene",
         "sub_scene", "brnd", "sub_brnd",
-        F.coalesce("l_prvc", "prvc").alias("prvc"), F.coalesce("l_cty", "cty").alias("cty"),
-        F.coalesce("l_area", "area").alias("area"), F.col("prtn_nm").alias("age_id"),
-        "inv_rate", "age_rate", "com_rate", "par_rate", "pkg_id", "pay_type",
-        F.coalesce("cnsm_usr_cnt", zero).alias("cnsm_usr_cnt"), F.coalesce("ref_usr_cnt", zero).alias("ref_usr_cnt"),
-        F.coalesce("new_usr_cnt", zero).alias("new_usr_cnt"), F.coalesce("rev_ordr_cnt", zero).alias("rev_ordr_cnt"),
-        F.coalesce("ref_ordr_cnt", zero).alias("ref_ordr_cnt"), F.coalesce("tot_rev", zero).alias("tot_rev"),
-        F.coalesce("tot_ref", zero).alias("tot_ref"))
+        "coalesce(l_prvc, prvc) AS prvc", "coalesce(l_cty, cty) AS cty", "coalesce(l_area, area) AS area",
+        "prtn_nm AS age_id", "inv_rate", "age_rate", "com_rate", "par_rate", "pkg_id", "pay_type",
+        *[f"coalesce({c}, 0) AS {c}" for c in ("cnsm_usr_cnt", "ref_usr_cnt", "new_usr_cnt", "rev_ordr_cnt",
+                                               "ref_ordr_cnt", "tot_rev", "tot_ref")])
 
 
 def merchant_share(stats: DataFrame, base: str = "refund") -> DataFrame:

@@ -24,12 +24,11 @@ NEW_USER_COLUMNS = ["uid", "reg_chnl", "ref_uid", "gnr", "birthday", "msisdn", "
 def _channel(df: DataFrame, code: str, id_col: str, usr_type: Column, has_log_mode: bool = True,
              has_score: bool = True) -> DataFrame:
     reg_dt, reg_tm = split_timestamp("reg_tm")
-    return df.select(
-        "uid", "reg_mid", F.lit(code).alias("reg_chnl"), F.col(id_col).alias("ref_uid"), "gdr", "birthday", "msisdn",
-        "loc_id", (F.col("log_mde") if has_log_mode else F.lit(None)).alias("log_mde"),
-        reg_dt.alias("reg_dt"), reg_tm.alias("reg_tm"), "usr_exp",
-        (F.col("score") if has_score else F.lit(0)).alias("score"), "level", usr_type.alias("usr_type"),
-        F.lit(None).alias("is_cert"), F.lit(None).alias("is_stdnt"))
+    return df.withColumns({
+        "reg_chnl": F.lit(code), "ref_uid": F.col(id_col), "reg_dt": reg_dt, "reg_tm": reg_tm,
+        "log_mde": F.col("log_mde") if has_log_mode else F.lit(None).cast("string"),
+        "score": F.col("score") if has_score else F.lit(0), "usr_type": usr_type,
+        "is_cert": F.lit(None).cast("string"), "is_stdnt": F.lit(None).cast("string")})
 
 
 def channel_union(wx: DataFrame, ali: DataFrame, qq: DataFrame, app: DataFrame) -> DataFrame:

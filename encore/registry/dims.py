@@ -118,10 +118,17 @@ R.add("singer_fields", sql_with(["songs_raw"], f"""SELECT nbr,
 R.add("auth_company", sql_with(["songs_raw"], f"SELECT nbr, auth_co, {sql_company('auth_co')} AS company FROM songs_raw"))(
     lambda spark, d: S(spark, d, "songs_raw").select("nbr", "auth_co", auth_company("auth_co").alias("company")))
 
-R.add("product_types", sql_with(["songs_raw"], f"""SELECT nbr, prdct_type, {sql_types_text('prdct_type')} AS types
-    FROM songs_raw"""))(
-    lambda spark, d: S(spark, d, "songs_raw").select("nbr", "prdct_type",
-                                                    join_ints(product_types("prdct_type")).alias("types")))
+def sql_types_count(col: str) -> str:
+    stripped = rf"regexp_replace(regexp_replace(regexp_replace({col}, '^\[', ''), '\]$', ''), ',+$', '')"
+    return (f"CASE WHEN {col} IS NULL OR trim({col}) = '' OR trim({stripped}) = '' THEN NULL "
+            f"ELSE CAST(len(string_split({stripped}, ',')) AS INTEGER) END")
+
+
+R.add("product_types", sql_with(["songs_raw"], f"""SELECT nbr, prdct_type, {sql_types_text('prdct_type')} AS types,
+    {sql_types_count('prdct_type')} AS n_types FROM songs_raw"""))(
+    lambda spark, d: S(spark, d, "songs_raw").select(
+        "nbr", "prdct_type", join_ints(product_types("prdct_type")).alias("types"),
+        F.size(product_types("prdct_type")).alias("n_types")))
 
 R.add("filter_nonempty", sql_with(["songs_raw"], "SELECT nbr, name FROM songs_raw WHERE nbr <> ''"))(
     lambda spark, d: S(spark, d, "songs_raw").where(F.col("nbr") != "").select("nbr", "name"))

@@ -103,6 +103,19 @@ def locations(spark, d):
 
 R.add("machine_location", sql_with(LOC_T, f", {LOCATION_CTES} SELECT * FROM mloc"))(locations)
 
+LONG_DAYS = 700   # the long-window variant of the location job
+LONG_CTES = sql_location("lprev", D1, LONG_DAYS) + ",\n" + sql_location("lcur", DAY, LONG_DAYS) + \
+    f",\nlloc AS ({sql_merge('lcur_loc', 'lprev_loc')})"
+
+
+def _locations_long(spark, d):
+    reports = S(spark, d, "loc_reports")
+    prev = machine_location(reports, None, D1, _enrich(spark, d), days=LONG_DAYS)
+    return machine_location(reports, prev, DAY, _enrich(spark, d), days=LONG_DAYS)
+
+
+R.add("machine_location_long", sql_with(LOC_T, f", {LONG_CTES} SELECT * FROM lloc"))(_locations_long)
+
 SQL_REQUESTS = f"""req AS (SELECT mid, x, y, cnt, CAST(floor((rn - 1) / {GEO_BATCH}) AS BIGINT) AS batch_id,
         CAST((rn - 1) % {GEO_BATCH} AS INTEGER) AS pos
     FROM (SELECT *, row_number() OVER (ORDER BY mid ASC NULLS FIRST, x, y) AS rn FROM d_top) t)"""

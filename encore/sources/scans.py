@@ -11,11 +11,12 @@ from encore.functions.dates import check_day
 DAY_COL = "data_dt"
 
 
-def scan_table(spark: SparkSession, source: str) -> DataFrame:
-    """A catalog table by name, or a parquet path (``/`` or ``:`` in ``source``)."""
+def scan_table(spark: SparkSession, source: str, database: str | None = None) -> DataFrame:
+    """A catalog table by name (in ``database`` when given), or a parquet path (``/`` or
+    ``:`` in ``source``)."""
     if "/" in source or ":" in source:
         return spark.read.parquet(source)
-    return spark.table(source)
+    return spark.table(f"{database}.{source}" if database else source)
 
 
 def scan_day(df: DataFrame, day: str, day_col: str = DAY_COL) -> DataFrame:
