@@ -39,13 +39,13 @@ def trailing_windows(plays: DataFrame, day: str, key: str = "song_id", user: str
     """
     check_day(day)
     spans = sorted(set(spans))
-    longest = spans[-1]
     prev = day_minus(day, 1)
     lo = {n: day_minus(day, n) for n in spans}
+    first = lo[spans[-1]] if spans else day      # no spans: the day alone
     d = F.col(day_col)
     # yyyyMMdd orders like the integer it spells; an int day keeps every aggregate
     # buffer fixed-width, so both stages run as hash aggregates.
-    base = plays.where(d.between(lo[longest], day)).select(
+    base = plays.where(d.between(first, day)).select(
         F.col(key).alias("_k"), F.col(user).alias("_u"), F.col(order).alias("_o"), d.try_cast("int").alias("_d"))
     utype = dict(base.dtypes)["_u"]
     otype = dict(base.dtypes)["_o"]
