@@ -57,7 +57,9 @@ def sql_merge(new: str, old: str) -> str:
 
 
 LOC_T = ["loc_reports", "loc_lookup"]
-NEW_FILTER = f"AND data_dt > '{OLD_DAY}' AND mid % 2 = 0"
+MERGE_T = LOC_T + ["mac_b"]
+# "new" side of the merge checks: later reports of machines known to system B.
+NEW_FILTER = f"AND data_dt > '{OLD_DAY}' AND mid IN (SELECT mid FROM mac_b)"
 MERGE_CTES = (sql_location("old", OLD_DAY) + ",\n"
               + sql_location("new", DAY, 14, NEW_FILTER))
 
@@ -71,7 +73,8 @@ def _old(spark, d):
 
 
 def _new(spark, d):
-    reports = S(spark, d, "loc_reports").where((F.col("data_dt") > OLD_DAY) & (F.col("mid") % 2 == 0))
+    reports = (S(spark, d, "loc_reports").where(F.col("data_dt") > OLD_DAY)
+               .join(S(spark, d, "mac_b").select("mid"), "mid", "left_semi"))
     return machine_location(reports, None, DAY, _enrich(spark, d), days=14)
 
 
@@ -81,14 +84,14 @@ R.add("location_votes", sql_with(["loc_reports"], f", {sql_votes('d', DAY)} SELE
 R.add("top1_per_group", sql_with(LOC_T, f", {sql_location('d', DAY)} SELECT * FROM d_top"))(
     lambda spark, d: top_location(location_votes(S(spark, d, "loc_reports"), DAY)))
 
-R.add("anti_join", sql_with(LOC_T, f""", {MERGE_CTES}
+R.add("anti_join", sql_with(MERGE_T, f""", {MERGE_CTES}
     SELECT * FROM old_loc o WHERE NOT EXISTS (SELECT 1 FROM new_loc n WHERE n.mid = o.mid)"""))(
     lambda spark, d: anti_join(_old(spark, d), _new(spark, d).select("mid"), "mid"))
 
-R.add("set_except", sql_with(LOC_T, f", {MERGE_CTES} SELECT mid FROM old_loc EXCEPT SELECT mid FROM new_loc"))(
+R.add("set_except", sql_with(MERGE_T, f", {MERGE_CTES} SELECT mid FROM old_loc EXCEPT SELECT mid FROM new_loc"))(
     lambda spark, d: set_except(_old(spark, d).select("mid"), _new(spark, d).select("mid")))
 
-R.add("snapshot_merge", sql_with(LOC_T, f", {MERGE_CTES} " + sql_merge("new_loc", "old_loc")))(
+R.add("snapshot_merge", sql_with(MERGE_T, f", {MERGE_CTES} " + sql_merge("new_loc", "old_loc")))(
     lambda spark, d: snapshot_merge(_new(spark, d), _old(spark, d), "mid"))
 
 LOCATION_CTES = sql_location("prev", D1) + ",\n" + sql_location("cur", DAY) + \

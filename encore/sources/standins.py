@@ -90,7 +90,7 @@ SELECT s_suppkey AS mid, concat('SRL', CAST(s_suppkey AS STRING)) AS srl_id,
        concat('w', CAST(s_suppkey % 3 AS STRING)) AS song_whse_ver, 'e1' AS exec_ver, 'u1' AS ui_ver,
        CASE WHEN s_suppkey % 2 = 0 THEN '1' END AS sts, '20240130101010' AS cur_login_tm,
        CASE WHEN s_suppkey % 3 = 0 THEN '1' END AS pay_sw, '1' AS is_online
-FROM {supplier} WHERE s_suppkey % 4 <> 3
+FROM {supplier} WHERE s_acctbal >= 1000
 """
 
 # Machine system B (contracts, shares, scene).
@@ -104,9 +104,9 @@ SELECT s_suppkey AS mid, 2 AS prdct_type, s_name AS mac_nm,
        CASE WHEN s_suppkey % 4 = 0 THEN '20200101' WHEN s_suppkey % 4 = 1 THEN '20200101120000' ELSE '2020' END AS actv_tm,
        CASE WHEN s_suppkey % 2 = 0 THEN '20210101' END AS order_tm,
        '0' AS had_mpay_func, n_regionkey AS scene_prvc_id, s_nationkey AS scene_cty_id,
-       s_nationkey % 5 AS scene_area_id,
+       n_regionkey AS scene_area_id,
        CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE concat(n_name, ' road ') END AS scene_addr, s_name AS ground_nm
-FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey WHERE s_suppkey % 4 <> 0
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey WHERE s_acctbal < 5000
 """
 
 # Machine address rows; text 'null' marks a missing province/city.
@@ -135,8 +135,8 @@ FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_re
 
 STANDINS["prvc_lookup"] = "SELECT r_regionkey AS prvc_id, r_name AS prvc FROM {region}"
 STANDINS["cty_lookup"] = "SELECT n_nationkey AS cty_id, n_name AS cty FROM {nation}"
-STANDINS["area_lookup"] = "SELECT n_nationkey AS area_id, concat(n_name, ' area') AS area FROM {nation} WHERE n_nationkey < 5"
-STANDINS["store_map"] = "SELECT s_suppkey AS mid, s_nationkey AS store_id FROM {supplier} WHERE s_suppkey % 5 <> 0"
+STANDINS["area_lookup"] = "SELECT r_regionkey AS area_id, concat(r_name, ' area') AS area FROM {region}"
+STANDINS["store_map"] = "SELECT s_suppkey AS mid, s_nationkey AS store_id FROM {supplier} WHERE s_acctbal >= 2000"
 STANDINS["store"] = """
 SELECT n_nationkey AS id, concat('store ', n_name) AS ground_nm, concat('tag', CAST(n_regionkey AS STRING)) AS tag_nm,
        'subtag' AS sub_tag_nm, 'catgy' AS sub_scene_catgy_nm, 'scene' AS sub_scene_nm,
@@ -181,10 +181,11 @@ SELECT c_custkey AS uid, c_custkey % 10 AS reg_mid, c_name AS ref_uid,
 FROM {customer}
 """
 
-# Users seen per day (sparse, so that "seen once in 8 days" keeps a few users).
+# Users seen per day: logins with a high-value purchase (sparse, so that "seen once in 8
+# days" keeps some users).
 STANDINS["logins"] = f"""
 SELECT DISTINCT user_id AS uid, {_DAY.format(col='ts')} AS data_dt
-FROM {{events}} WHERE event_type = 'purchase' AND event_id % 5 = 0
+FROM {{events}} WHERE event_type = 'purchase' AND value >= 80
 """
 
 # Location reports; about one in twenty is blank.
@@ -196,7 +197,8 @@ SELECT user_id AS uid, event_id % 10 AS mid,
 FROM {{events}}
 """
 
-# Location lookup keyed by (lat, lng): the address fields a geocoder would return.
+# Location lookup keyed by (lat, lng) - unique per nation - with the address fields a
+# geocoder would return.
 STANDINS["loc_lookup"] = """
 SELECT CAST(30 + n_nationkey % 4 AS STRING) AS x, CAST(120 + CAST(floor(n_nationkey / 4) AS BIGINT) AS STRING) AS y,
        concat(r_name, ' ', n_name, ' road 1') AS addr, r_name AS prvc, n_name AS cty,
@@ -208,7 +210,7 @@ SELECT CAST(30 + n_nationkey % 4 AS STRING) AS x, CAST(120 + CAST(floor(n_nation
        concat(n_name, ' street') AS street, CAST(n_nationkey AS STRING) AS street_nb,
        concat(CAST(120 + CAST(floor(n_nationkey / 4) AS BIGINT) AS STRING), ',', CAST(30 + n_nationkey % 4 AS STRING)) AS street_loc,
        'north' AS street_drction, '10' AS street_dstance, CAST(NULL AS STRING) AS bus_info
-FROM {nation} JOIN {region} ON n_regionkey = r_regionkey WHERE n_nationkey < 12
+FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
 """
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
