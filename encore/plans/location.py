@@ -117,6 +117,31 @@ def flatten_geocode(responses: DataFrame, requests: DataFrame) -> DataFrame:
                         *[f"coalesce(g.{path}, '') AS `{c}`" for c, path in RESPONSE_PATHS.items()])
 
 
+def service_enricher(call: Callable[[str], str], responses_path: str,
+                     batch_size: int = BATCH_SIZE) -> Callable[[DataFrame], DataFrame]:
+    """Enrichment through an outside geocoding service.
+
+    ``call(location)`` receives one batch's ``lng,lat|lng,lat|...`` string and returns the
+    service's JSON body; it runs inside the tasks (``mapInPandas``), one call per batch.
+    Responses are written to ``responses_path`` (shared storage) before they are used, so
+    each batch is requested exactly once even if later stages are retried, then joined
+    back by (batch, position)."""
+    import pandas as pd
+
+    def enrich(top: DataFrame) -> DataFrame:
+        requests = geocode_requests(top, batch_size)
+
+        def run(it):
+            for pdf in it:
+                yield pd.DataFrame({"batch_id": pdf["batch_id"], "body": [call(loc) for loc in pdf["location"]]})
+
+        (geocode_batches(requests).mapInPandas(run, "batch_id long, body string")
+         .write.mode("overwrite").parquet(responses_path))
+        responses = top.sparkSession.read.schema("batch_id long, body string").parquet(responses_path)
+        return flatten_geocode(responses, requests)
+    return enrich
+
+
 def machine_location(reports: DataFrame, prev: DataFrame | None, day: str,
                      enrich: Callable[[DataFrame], DataFrame], days: int = 30) -> DataFrame:
     """Today's snapshot: freshly located machines win; machines not located in the window

@@ -24,7 +24,7 @@ from encore.plans.songs import SONG_DIM_COLUMNS
 from encore.session import scratch_path
 from encore.sources.scans import scan_day, scan_text_log
 from encore.sources.sinks import export_jdbc, fanout_by_key, write_day, write_snapshot
-from encore.streaming.client_log_stream import land_client_log
+from encore.streaming.client_log_stream import land_client_log, land_play_table
 
 R = Registry()
 
@@ -81,6 +81,19 @@ def _stream(spark, d):
 R.add("client_log_stream", sql_with(["client_log"], SQL_RECORDS))(_stream)
 
 
+def _stream_table(spark, d):
+    src = _write_log_text(spark, d, "stream-src")
+    out = scratch_path(spark, "stream-table")
+    land_play_table(spark, src, out, checkpoint=scratch_path(spark, "stream-table-ckpt"), event_name=PLAY) \
+        .awaitTermination()
+    return spark.read.schema(", ".join(f"{f} string" for f in PLAY_FIELDS)).parquet(out)
+
+
+R.add("client_log_stream_table", sql_with(["client_log"], f", {SQL_REC} SELECT "
+                                          + ", ".join(f"json_extract_string(p[4], '$.{f}') AS {f}" for f in PLAY_FIELDS)
+                                          + f" FROM rec WHERE len(p) = 6 AND p[3] = '{PLAY}' AND {SQL_IS_OBJ}"))(_stream_table)
+
+
 def _write_day(spark, d):
     path = scratch_path(spark, "song-features")
     plays, songs = S(spark, d, "plays"), S(spark, d, "songs")

@@ -165,6 +165,38 @@ R.add("geocode_flatten", sql_with(LOC_T, f""", {sql_location('d', DAY)}, {SQL_RE
     SELECT r.mid, r.x, r.y, r.cnt, {', '.join(f"coalesce(l.{c}, '') AS {c}" for c in ADDRESS_FIELDS)}
     FROM req r LEFT JOIN loc_lookup l ON r.x = l.x AND r.y = l.y WHERE r.batch_id <> {FAILED_BATCH}"""))(_flatten)
 
+
+
+def fake_geocoder(location: str) -> str:
+    """Stand-in for the outside service: answers every position of a batch; a batch with a
+    single position gets an error code (the job must drop its machine)."""
+    import json
+
+    pairs = [p.split(",") for p in location.split("|")]
+    if len(pairs) == 1:
+        return json.dumps({"infocode": "10003", "regeocodes": []})
+    geo = [{"formatted_address": f"near {lng},{lat}",
+            "addressComponent": {"province": f"P{lat}", "city": f"C{lng}", "citycode": lng,
+                                 "neighborhood": {"name": f"N{lat}"}, "businessAreas": []}}
+           for lng, lat in pairs]
+    return json.dumps({"infocode": "10000", "regeocodes": geo})
+
+
+def _service(spark, d):
+    from encore.plans.location import service_enricher
+    from encore.session import scratch_path
+
+    enrich = service_enricher(fake_geocoder, scratch_path(spark, "geo-responses"), GEO_BATCH)
+    return enrich(top_location(location_votes(S(spark, d, "loc_reports"), DAY)))
+
+
+_SERVICE_FIELDS = {"addr": "'near ' || r.y || ',' || r.x", "prvc": "'P' || r.x", "cty": "'C' || r.y",
+                   "cty_cd": "r.y", "nb_nm": "'N' || r.x", "bus_info": "'[]'"}
+R.add("geocode_service", sql_with(LOC_T, f""", {sql_location('d', DAY)}, {SQL_REQUESTS},
+    sizes AS (SELECT batch_id, count(*) AS n FROM req GROUP BY batch_id)
+    SELECT r.mid, r.x, r.y, r.cnt, {', '.join(f"{_SERVICE_FIELDS.get(c, "''")} AS {c}" for c in ADDRESS_FIELDS)}
+    FROM req r JOIN sizes s ON r.batch_id = s.batch_id WHERE s.n <> 1"""))(_service)
+
 # ---------------------------------------------------------------- consumption and marts
 
 SQL_BRIEF = """brief AS (SELECT id, trd_id, CAST(uid AS VARCHAR) AS uid, mid, prdcd_type, pay_type, act_tm, pkg_id,

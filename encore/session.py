@@ -18,9 +18,26 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Remove checkpoint files (global_row_number) once their DataFrame is garbage.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
+def cluster_conf(largest_shuffle_bytes: int, target_partition_bytes: int = 256 << 20,
+                 max_partitions: int = 200_000) -> dict[str, str]:
+    """Settings for a cluster run sized by the largest shuffle of the day's jobs (e.g. the
+    30-day play scan after column pruning).  AQE coalesces small partitions and splits
+    skewed ones at run time, so this is an upper bound, not an exact count."""
+    parts = max(200, min(max_partitions, -(-largest_shuffle_bytes // target_partition_bytes)))
+    return {
+        **{k: v for k, v in DEFAULT_CONF.items() if k != "spark.ui.enabled"},
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app: str = "encore", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
