@@ -70,7 +70,9 @@ def release_time(s: Column | str) -> Column:
     prefix = F.regexp_extract(c, _DATETIME_PREFIX, 1)
     parsed = F.try_to_timestamp(F.nullif(prefix, F.lit("")), F.lit("y-M-d H:m:s"))
     as_dt = F.date_format(parsed, RELEASE_FORMAT)
-    millis = c.try_cast("decimal(38,6)").try_cast("bigint")
+    # Plain decimal text only (no padding): what Java's BigDecimal accepts.
+    numeric = c.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
+    millis = F.when(numeric, c.try_cast("decimal(38,6)").try_cast("bigint"))
     epoch = F.timestamp_add("MILLISECOND", millis, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     as_epoch = F.date_format(epoch, RELEASE_FORMAT)
     return F.coalesce(as_dt, as_epoch, F.lit(""))

@@ -17,6 +17,7 @@ PLAY_EVENT = "MINIK_CLIENT_SONG_PLAY_OPERATE_REQ"
 PLAY_FIELDS = ["songid", "mid", "optrate_type", "uid", "consume_type", "play_time", "dur_time", "session_id",
                "songname", "pkg_id", "order_id"]
 TEXT_NULL = "\\N"     # NULL marker in tab-separated text (Hive's convention)
+REJECTED_SUFFIX = "_REJECTED"   # fan-out key of play records whose payload is not a JSON object
 
 PLAY_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in PLAY_FIELDS])
 
@@ -47,11 +48,15 @@ def rejected_lines(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: st
 
 def client_log_records(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: str = "value") -> DataFrame:
     """``event, value`` text records for the per-event fan-out: play records become
-    tab-separated fields (NULL as ``\\N``, positions kept); other events pass through."""
+    tab-separated fields (NULL as ``\\N``, positions kept); other events pass through;
+    play records with a malformed payload go, unchanged, to ``<event>_REJECTED`` - kept
+    for inspection and counting in the same pass, out of the play table."""
     rec = split_records(lines, value_col)
     is_play = F.col("event") == event_name
     ok = F.json_object_keys("payload").isNotNull()
     j = F.from_json("payload", PLAY_SCHEMA)
     tsv = F.concat_ws("\t", *[F.coalesce(j[f], F.lit(TEXT_NULL)) for f in PLAY_FIELDS])
-    return (rec.where(~is_play | ok)
-               .select("event", F.when(is_play, tsv).otherwise(F.col("payload")).alias("value")))
+    good_play = is_play & ok
+    return rec.select(
+        F.when(is_play & ~ok, F.concat(F.col("event"), F.lit(REJECTED_SUFFIX))).otherwise(F.col("event")).alias("event"),
+        F.when(good_play, tsv).otherwise(F.col("payload")).alias("value"))

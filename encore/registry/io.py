@@ -43,9 +43,11 @@ R.add("client_log_parse", sql_with(["client_log"], f", {SQL_REC} SELECT "
                                    + f" FROM rec WHERE len(p) = 6 AND p[3] = '{PLAY}' AND {SQL_IS_OBJ}"))(
     lambda spark, d: client_log_parse(_lines(spark, d), PLAY, value_col="line"))
 
-SQL_RECORDS = (f", {SQL_REC} SELECT p[3] AS event, CASE WHEN p[3] = '{PLAY}' THEN concat_ws(chr(9), "
+SQL_GOOD_PLAY = f"(p[3] = '{PLAY}' AND coalesce({SQL_IS_OBJ}, false))"
+SQL_RECORDS = (f", {SQL_REC} SELECT CASE WHEN p[3] = '{PLAY}' AND NOT {SQL_GOOD_PLAY} THEN p[3] || '_REJECTED' "
+               f"ELSE p[3] END AS event, CASE WHEN {SQL_GOOD_PLAY} THEN concat_ws(chr(9), "
                + ", ".join(f"coalesce(json_extract_string(p[4], '$.{f}'), '\\N')" for f in PLAY_FIELDS)
-               + f") ELSE p[4] END AS value FROM rec WHERE len(p) = 6 AND (p[3] <> '{PLAY}' OR {SQL_IS_OBJ})")
+               + ") ELSE p[4] END AS value FROM rec WHERE len(p) = 6")
 
 
 def _write_log_text(spark, d, name):

@@ -82,3 +82,8 @@ def test_product_types(spark):
 def test_day_minus():
     assert day_minus("20240301", 1) == "20240229"
     assert day_minus("20240130", 30) == "20231231"
+
+
+def test_release_time_padding_is_not_a_number(spark):
+    assert one_col(spark, [" 1577145600000", "1577145600000 ", "+1577145600000"], release_time) == \
+        ["", "", "2019-12-24 00:00:00"]

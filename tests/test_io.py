@@ -24,8 +24,8 @@ def test_client_log_parse(spark):
     got = [(r.songid, r.uid, r.mid) for r in client_log_parse(df, "EV").collect()]
     assert sorted(got, key=str) == sorted([("5", "9", None), ("8", None, None)], key=str)
     assert rejected_lines(df, "EV").count() == 1
-    rec = {r.event: r.value for r in client_log_records(df, "EV").collect() if r.event == "OTHER"}
-    assert rec == {"OTHER": "{\"k\":1}"}
+    rec = {r.event: r.value for r in client_log_records(df, "EV").collect() if r.event != "EV"}
+    assert rec == {"OTHER": "{\"k\":1}", "EV_REJECTED": "{bad json"}
 
 
 def test_write_day_is_idempotent(spark):
