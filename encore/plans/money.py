@@ -37,9 +37,15 @@ def abs_amount(amt: Column | str) -> Column:
     return F.when(c < 0, -c).otherwise(c)
 
 
-def consumption_detail(cnsm: DataFrame) -> DataFrame:
+def consumption_detail(cnsm: DataFrame, day: str | None = None) -> DataFrame:
     """17-column consumption detail: one coin per order line at the absolute amount,
-    order type mapped to the abnormality code.  Narrow: no shuffle."""
+    order type mapped to the abnormality code.  Narrow: no shuffle.
+
+    The reference stores the whole source table every day; with ``day`` only that day's
+    rows (``data_dt``) are kept, which at scale turns a full-table copy into one
+    partition's worth of work."""
+    if day is not None:
+        cnsm = cnsm.where(F.col("data_dt") == check_day(day))
     return cnsm.select(
         "id", "trd_id", F.col("uid").cast("string").alias("uid"), "mid", "prdcd_type", "pay_type", "act_tm",
         "pkg_id", abs_amount("amt").alias("coin_prc"), F.lit(1).alias("coin_cnt"),

@@ -217,6 +217,10 @@ SQL_REF = _sql_rev("ref", 2, "ref_usr_cnt", "tot_ref", "ref_ordr_cnt")
 R.add("consumption_detail", sql_with(["cnsm"], f", {SQL_BRIEF} SELECT * FROM brief"))(
     lambda spark, d: consumption_detail(S(spark, d, "cnsm")))
 
+CNSM_DAY = "19950601"     # a ship day present at every scale of the driver tables
+R.add("consumption_day", sql_with(["cnsm"], f""", {SQL_BRIEF.replace('FROM cnsm)', f"FROM cnsm WHERE data_dt = '{CNSM_DAY}')")}
+    SELECT * FROM brief"""))(lambda spark, d: consumption_detail(S(spark, d, "cnsm"), CNSM_DAY))
+
 R.add("abs_amount", sql_with(["cnsm"], "SELECT id, amt, CASE WHEN amt < 0 THEN -amt ELSE amt END AS coin_prc FROM cnsm"))(
     lambda spark, d: S(spark, d, "cnsm").select("id", "amt", abs_amount("amt").alias("coin_prc")))
 
