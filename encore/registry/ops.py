@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from encore.functions.dates import day_minus, split_timestamp
 from encore.operators.sets import anti_join, set_except, snapshot_merge
-from encore.plans.location import (ADDRESS_FIELDS, LOCATION_COLUMNS, geocode_batches, geocode_requests,
+from encore.plans.location import (ADDRESS_FIELDS, geocode_batches, geocode_requests,
                                    flatten_geocode, location_votes, lookup_enricher, machine_location, top_location)
 from encore.plans.money import (abs_amount, consumption_detail, machine_stats, merchant_share, order_type_code,
                                 region_stats, revenue_by_package)
 from encore.plans.users import (CHANNEL_LABELS, GENDER_LABELS, active_users, active_users_range, channel_union, decode,
                                 newly_active_users, seen_once)
-from encore.registry.common import D1, D7, D30, DAY, S, Registry, sql_with
+from encore.registry.common import D1, D7, DAY, S, Registry, sql_with
 from encore.registry.dims import MACHINE_TABLES, SQL_MACHINE_DIM, machines
 
 R = Registry()
