@@ -20,6 +20,16 @@ TEXT_NULL = "\\N"     # NULL marker in tab-separated text (Hive's convention)
 REJECTED_SUFFIX = "_REJECTED"   # fan-out key of play records whose payload is not a JSON object
 
 PLAY_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in PLAY_FIELDS])
+_CORRUPT = "_corrupt_payload"
+# One parse per payload: text that is not a JSON object lands in the corrupt-record field.
+_PARSE_SCHEMA = T.StructType(PLAY_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType())])
+_PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+
+
+def _parsed(payload: str = "payload"):
+    """(parsed struct, is-a-JSON-object flag) from a single ``from_json``."""
+    j = F.from_json(F.col(payload), _PARSE_SCHEMA, _PARSE_OPTIONS)
+    return j, j.isNotNull() & j[_CORRUPT].isNull()
 
 
 def split_records(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -35,15 +45,16 @@ def client_log_parse(lines: DataFrame, event_name: str = PLAY_EVENT, value_col:
     """The play table: 11 string columns from the JSON payload of ``event_name`` records.
     A missing key is NULL; a payload that is not a JSON object (malformed) is dropped."""
     rec = split_records(lines, value_col).where(F.col("event") == event_name)
-    rec = rec.where(F.json_object_keys("payload").isNotNull())
-    parsed = rec.select(F.from_json("payload", PLAY_SCHEMA).alias("j"))
+    j, ok = _parsed()
+    parsed = rec.select(j.alias("j"), ok.alias("_ok")).where("_ok")
     return parsed.select(*[F.col(f"j.{f}").alias(f) for f in PLAY_FIELDS])
 
 
 def rejected_lines(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: str = "value") -> DataFrame:
     """Play records whose payload is not a JSON object (the rows ``client_log_parse`` drops)."""
     rec = split_records(lines, value_col).where(F.col("event") == event_name)
-    return rec.where(F.json_object_keys("payload").isNull())
+    _, ok = _parsed()
+    return rec.where(~ok)
 
 
 def client_log_records(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: str = "value") -> DataFrame:
@@ -53,8 +64,7 @@ def client_log_records(lines: DataFrame, event_name: str = PLAY_EVENT, value_col
     for inspection and counting in the same pass, out of the play table."""
     rec = split_records(lines, value_col)
     is_play = F.col("event") == event_name
-    ok = F.json_object_keys("payload").isNotNull()
-    j = F.from_json("payload", PLAY_SCHEMA)
+    j, ok = _parsed()
     tsv = F.concat_ws("\t", *[F.coalesce(j[f], F.lit(TEXT_NULL)) for f in PLAY_FIELDS])
     good_play = is_play & ok
     return rec.select(
