@@ -268,3 +268,38 @@ def with_standins(names: list[str], body: str) -> str:
     """``WITH <stand-ins> <body>`` for the DuckDB check (tables are registered views)."""
     ctes = ",\n".join(f"{n} AS ({standin_sql(n)})" for n in names)
     return f"WITH {ctes}\n{body}"
+
+
+def build_warehouse(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Lay the stand-ins out as the daily jobs' source tables under ``root`` (the folder
+    names of ``encore.jobs``), so the job runner can be exercised on the driver data."""
+    from pyspark.sql import functions as F
+
+    from encore import jobs as J
+
+    def S(n: str) -> DataFrame:
+        return standin(spark, sf_dir, n)
+
+    def path(t: str) -> str:
+        return f"{root.rstrip('/')}/{t}"
+
+    plays = S("plays").select(
+        F.col("song_id").cast("string").alias("songid"), F.col("mid").cast("string").alias("mid"),
+        F.col("operate_type").alias("optrate_type"), F.col("uid").cast("string").alias("uid"),
+        *[F.lit(None).cast("string").alias(c) for c in ("consume_type", "play_time")],
+        F.col("dur_time").cast("string").alias("dur_time"),
+        *[F.lit(None).cast("string").alias(c) for c in ("session_id", "songname", "pkg_id")],
+        F.col("order_id").cast("string").alias("order_id"), "data_dt")
+    plays.write.mode("overwrite").partitionBy("data_dt").parquet(path(J.PLAYS))
+    for name, table in [("songs_raw", J.SONG_SRC), ("mac_a", J.MAC_A), ("mac_b", J.MAC_B), ("mac_addr", J.MAC_ADDR),
+                        ("prvc_lookup", J.PRVC), ("cty_lookup", J.CITY), ("area_lookup", J.AREA),
+                        ("store_map", J.STORE_MAP), ("store", J.STORE), ("loc_lookup", J.LOC_LOOKUP),
+                        ("cnsm", J.CNSM)]:
+        S(name).write.mode("overwrite").parquet(path(table))
+    for name, table in [("loc_reports", J.LOC_REPORTS), ("logins", J.LOGINS)]:
+        S(name).write.mode("overwrite").partitionBy("data_dt").parquet(path(table))
+    users = S("users")
+    for code, id_col, table in [("1", "wx_id", J.USR_WX), ("2", "aly_id", J.USR_ALI), ("3", "qqid", J.USR_QQ),
+                                ("4", "app_id", J.USR_APP)]:
+        (users.where(F.col("channel") == code).withColumnRenamed("ref_uid", id_col)
+              .write.mode("overwrite").parquet(path(table)))

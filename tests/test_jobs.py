@@ -9,7 +9,7 @@ from encore import jobs as J
 from encore.plans.influence import song_influence
 from encore.plans.songs import song_dim, song_features
 from encore.session import scratch_path
-from encore.sources.standins import standin
+from encore.sources.standins import build_warehouse, standin
 
 DAY, PREV = "20240130", "20240129"
 
@@ -18,26 +18,7 @@ DAY, PREV = "20240130", "20240129"
 def warehouse(spark):
     root = scratch_path(spark, "warehouse")
     wh = J.Warehouse(spark, root)
-    S = lambda n: standin(spark, SF_SMALL, n)
-    plays = S("plays").select(
-        F.col("song_id").cast("string").alias("songid"), F.col("mid").cast("string").alias("mid"),
-        F.col("operate_type").alias("optrate_type"), F.col("uid").cast("string").alias("uid"),
-        *[F.lit(None).cast("string").alias(c) for c in ("consume_type", "play_time")],
-        F.col("dur_time").cast("string").alias("dur_time"),
-        *[F.lit(None).cast("string").alias(c) for c in ("session_id", "songname", "pkg_id")],
-        F.col("order_id").cast("string").alias("order_id"), "data_dt")
-    plays.write.partitionBy("data_dt").parquet(wh.path(J.PLAYS))
-    for name, table in [("songs_raw", J.SONG_SRC), ("mac_a", J.MAC_A), ("mac_b", J.MAC_B), ("mac_addr", J.MAC_ADDR),
-                        ("prvc_lookup", J.PRVC), ("cty_lookup", J.CITY), ("area_lookup", J.AREA),
-                        ("store_map", J.STORE_MAP), ("store", J.STORE), ("loc_lookup", J.LOC_LOOKUP),
-                        ("cnsm", J.CNSM)]:
-        S(name).write.parquet(wh.path(table))
-    for name, table in [("loc_reports", J.LOC_REPORTS), ("logins", J.LOGINS)]:
-        S(name).write.partitionBy("data_dt").parquet(wh.path(table))
-    users = S("users")
-    for code, id_col, table in [("1", "wx_id", J.USR_WX), ("2", "aly_id", J.USR_ALI), ("3", "qqid", J.USR_QQ),
-                                ("4", "app_id", J.USR_APP)]:
-        users.where(F.col("channel") == code).withColumnRenamed("ref_uid", id_col).write.parquet(wh.path(table))
+    build_warehouse(spark, SF_SMALL, root)
     J.run_day(wh, PREV)
     J.run_day(wh, DAY)
     J.run_day(wh, DAY)          # a rerun replaces the day
