@@ -28,7 +28,8 @@ from encore.plans.influence import TOP_EXPORT, singer_influence, song_influence
 from encore.plans.location import lookup_enricher, machine_location
 from encore.plans.machines import machine_dim
 from encore.plans.money import consumption_detail, machine_stats, merchant_share, region_stats
-from encore.plans.songs import song_dim, song_features
+from encore.operators.windows import advance_window_state, window_state
+from encore.plans.songs import song_dim, song_features_from_state
 from encore.plans.users import active_users, channel_union, newly_active_users
 from encore.sources.scans import scan_day, scan_day_range
 from encore.sources.sinks import export_jdbc, fanout_by_key, stamp_date, write_day, write_snapshot
@@ -36,6 +37,7 @@ from encore.sources.sinks import export_jdbc, fanout_by_key, stamp_date, write_d
 # Table names (folders under the warehouse root).
 PLAYS = "to_client_song_play_operate_req_d"
 SONG_SRC, SONG_DIM, SONG_FTUR = "to_song_info_d", "tw_song_baseinfo_d", "tw_song_ftur_d"
+SONG_STATE = "tw_song_window_state_d"      # kept 30-day window state of the play log
 SONG_RSI, SINGER_RSI = "tw_song_rsi_d", "tw_singer_rsi_d"
 MAC_A, MAC_B, MAC_ADDR = "to_ycak_mac_d", "to_ycbk_mac_admin_map_d", "to_ycak_mac_loc_d"
 PRVC, CITY, AREA, STORE_MAP, STORE = ("to_ycbk_prvc_d", "to_ycbk_city_d", "to_ycbk_area_d", "to_ycbk_mac_store_map_d",
@@ -94,12 +96,24 @@ def job_song_dim(wh: Warehouse, day: str | None = None) -> None:
 
 
 def job_song_features(wh: Warehouse, day: str) -> None:
-    """Song features of ``day`` from the play table (trailing 30 days)."""
-    plays = scan_day_range(wh.read(PLAYS), day_minus(day, 30), day)
-    plays = plays.select(F.col("songid").alias("song_id"), "uid", "order_id", "data_dt")
+    """Song features of ``day``.
+
+    The 30-day window is kept as a compact state table (one row per song-day, song-user
+    and song-order).  When yesterday's state exists, only today's plays are read and
+    folded in; otherwise the state is built from the whole window once."""
+    plays = wh.read(PLAYS).select(F.col("songid").cast("string").alias("song_id"), "uid", "order_id", "data_dt")
+    try:
+        prev = wh.day(SONG_STATE, day_minus(day, 1))
+        has_prev = bool(prev.limit(1).count())
+    except Exception:  # noqa: BLE001 - first run: no state table yet
+        has_prev = False
+    if has_prev:
+        state = advance_window_state(prev, scan_day(plays, day), day)
+    else:
+        state = window_state(plays, day_minus(day, 30), day)
+    state = wh.write_day(state, SONG_STATE, day)          # stored: the next day starts from it
     songs = wh.read(SONG_DIM).withColumn("nbr", F.col("nbr").cast("string"))
-    feats = song_features(plays.withColumn("song_id", F.col("song_id").cast("string")), songs, day)
-    wh.write_day(feats, SONG_FTUR, day)
+    wh.write_day(song_features_from_state(state, songs, day), SONG_FTUR, day)
 
 
 def job_song_rsi(wh: Warehouse, day: str) -> None:

@@ -22,30 +22,19 @@ from encore.session import ensure_checkpoint_dir
 _KIND_DAY, _KIND_USER, _KIND_ORDER = 0, 1, 2
 
 
-def trailing_windows(plays: DataFrame, day: str, key: str = "song_id", user: str = "uid",
-                     order: str = "order_id", spans: Sequence[int] = (7, 30),
-                     day_col: str = "data_dt", out_key: str | None = None) -> DataFrame:
-    """Per ``key``: counts on ``day`` and over ``[day-n, day]`` for each ``n`` in ``spans``.
+STATE_COLUMNS = ["_k", "kind", "kd", "ku", "ko", "n", "last"]
 
-    Columns: ``sing_cnt, usr_cnt, ordr_cnt`` (the day), ``rct_{n}_sing_cnt``,
-    ``rct_{n}_usr_cnt``, ``rct_{n}_ordr_cnt`` and ``rct_{n}_top_sing_cnt`` (largest daily
-    play count in ``[day-n, day-1]``, 0 if none).  Keys with no play in the longest span
-    are absent.
 
-    Plan: one scan of the longest span; every play is turned into three keyed rows
-    (its day, its user, its order) and aggregated once by ``(key, kind, value)`` with a
-    map-side partial aggregate, then once by ``key``.  This replaces separate scans per
-    window and the row copies Catalyst makes for several ``count(distinct)``.
-    """
-    check_day(day)
-    spans = sorted(set(spans))
-    prev = day_minus(day, 1)
-    lo = {n: day_minus(day, n) for n in spans}
-    first = lo[spans[-1]] if spans else day      # no spans: the day alone
+def window_state(plays: DataFrame, start: str, end: str, key: str = "song_id", user: str = "uid",
+                 order: str = "order_id", day_col: str = "data_dt") -> DataFrame:
+    """Compact state of the plays in ``[start, end]``: one row per (key, day) with its play
+    count, per (key, user) and per (key, order) with the last day seen (``yyyyMMdd`` as int).
+
+    Every play becomes three keyed rows (``inline``) aggregated once by
+    ``(key, kind, value)`` with a map-side partial aggregate; the int day keeps the
+    buffers fixed-width (hash aggregation)."""
     d = F.col(day_col)
-    # yyyyMMdd orders like the integer it spells; an int day keeps every aggregate
-    # buffer fixed-width, so both stages run as hash aggregates.
-    base = plays.where(d.between(first, day)).select(
+    base = plays.where(d.between(check_day(start), check_day(end))).select(
         F.col(key).alias("_k"), F.col(user).alias("_u"), F.col(order).alias("_o"), d.try_cast("int").alias("_d"))
     utype = dict(base.dtypes)["_u"]
     otype = dict(base.dtypes)["_o"]
@@ -60,20 +49,42 @@ def trailing_windows(plays: DataFrame, day: str, key: str = "song_id", user: str
         entry(_KIND_USER, null, F.col("_u"), null),
         entry(_KIND_ORDER, null, null, F.col("_o")),
     )))
-    # Stage 1: one row per (key, day) / (key, user) / (key, order).
-    stage1 = keyed.groupBy("_k", "kind", "kd", "ku", "ko").agg(
-        F.count(F.lit(1)).alias("n"), F.max("_d").alias("last"))
-
+    # n: plays of a (key, day) row; NULL on user/order rows, whose last day is all that
+    # matters - so a kept state never carries counts from days that left the window.
+    return keyed.groupBy("_k", "kind", "kd", "ku", "ko").agg(
+        F.sum(F.when(F.col("kind") == _KIND_DAY, F.lit(1))).alias("n"), F.max("_d").alias("last"))
+
+
+def advance_window_state(state: DataFrame, plays: DataFrame, day: str, longest: int = 30, key: str = "song_id",
+                         user: str = "uid", order: str = "order_id", day_col: str = "data_dt") -> DataFrame:
+    """Yesterday's state -> today's: drop what left ``[day-longest, day]``, fold in the
+    plays of ``day`` only.  Equal to ``window_state`` over the whole window, reading one
+    day of the play log instead of ``longest + 1``.  ``state`` must not contain ``day``
+    yet (start from the previous day's state, as the daily job does)."""
+    lo = int(day_minus(day, longest))
+    kept = state.select(*STATE_COLUMNS).where(F.col("last") >= lo)
+    today = window_state(plays, day, day, key, user, order, day_col)
+    return (kept.unionByName(today)
+                .groupBy("_k", "kind", "kd", "ku", "ko")
+                .agg(F.sum("n").alias("n"), F.max("last").alias("last")))
+
+
+def windows_from_state(state: DataFrame, day: str, spans: Sequence[int] = (7, 30),
+                       out_key: str = "song_id") -> DataFrame:
+    """Per key: counts on ``day`` and over ``[day-n, day]`` for each ``n`` in ``spans``, and
+    the best single day of ``[day-n, day-1]`` (see ``trailing_windows``)."""
+    check_day(day)
+    spans = sorted(set(spans))
     is_day = F.col("kind") == _KIND_DAY
     is_user = (F.col("kind") == _KIND_USER) & F.col("ku").isNotNull()
     is_order = (F.col("kind") == _KIND_ORDER) & F.col("ko").isNotNull()
     kd, last, n = F.col("kd"), F.col("last"), F.col("n")
-    day, prev = int(day), int(prev)
-    lo = {s: int(v) for s, v in lo.items()}
+    today, prev = int(day), int(day_minus(day, 1))
+    lo = {s: int(day_minus(day, s)) for s in spans}
     aggs = [
-        F.coalesce(F.sum(F.when(is_day & (kd == day), n)), F.lit(0)).cast("bigint").alias("sing_cnt"),
-        F.count(F.when(is_user & (last == day), 1)).alias("usr_cnt"),
-        F.count(F.when(is_order & (last == day), 1)).alias("ordr_cnt"),
+        F.coalesce(F.sum(F.when(is_day & (kd == today), n)), F.lit(0)).cast("bigint").alias("sing_cnt"),
+        F.count(F.when(is_user & (last == today), 1)).alias("usr_cnt"),
+        F.count(F.when(is_order & (last == today), 1)).alias("ordr_cnt"),
     ]
     for s in spans:
         p = f"rct_{s}_"
@@ -84,7 +95,29 @@ def trailing_windows(plays: DataFrame, day: str, key: str = "song_id", user: str
             F.max(F.when(is_day & kd.between(lo[s], prev), n).otherwise(0)).cast("bigint")
              .alias(p + "top_sing_cnt"),
         ]
-    return stage1.groupBy(F.col("_k").alias(out_key or key)).agg(*aggs)
+    return state.groupBy(F.col("_k").alias(out_key)).agg(*aggs)
+
+
+def trailing_windows(plays: DataFrame, day: str, key: str = "song_id", user: str = "uid",
+                     order: str = "order_id", spans: Sequence[int] = (7, 30),
+                     day_col: str = "data_dt", out_key: str | None = None) -> DataFrame:
+    """Per ``key``: counts on ``day`` and over ``[day-n, day]`` for each ``n`` in ``spans``.
+
+    Columns: ``sing_cnt, usr_cnt, ordr_cnt`` (the day), ``rct_{n}_sing_cnt``,
+    ``rct_{n}_usr_cnt``, ``rct_{n}_ordr_cnt`` and ``rct_{n}_top_sing_cnt`` (largest daily
+    play count in ``[day-n, day-1]``, 0 if none).  Keys with no play in the longest span
+    are absent.
+
+    Plan: ONE scan of the longest span into the compact ``window_state`` (two shuffles in
+    all: by (key, kind, value), then by key).  This replaces separate scans per window and
+    the row copies Catalyst makes for several ``count(distinct)``.  A daily job can keep
+    the state and ``advance_window_state`` it instead of rescanning the window.
+    """
+    check_day(day)
+    spans = sorted(set(spans))
+    first = day_minus(day, spans[-1]) if spans else day      # no spans: the day alone
+    state = window_state(plays, first, day, key, user, order, day_col)
+    return windows_from_state(state, day, spans, out_key or key)
 
 
 def top_n(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column], n: int,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from encore.functions.dates import check_day, day_minus, release_time
 from encore.functions.text import album_name, auth_company, product_types, singer_field
 from encore.operators.joins import join_dim
-from encore.operators.windows import trailing_windows
+from encore.operators.windows import trailing_windows, windows_from_state
 
 # Column order of the song dimension (43 columns).
 SONG_DIM_COLUMNS = [
@@ -63,15 +63,8 @@ def song_day_counts(plays: DataFrame, day: str, key: str = "song_id") -> DataFra
         "nbr", "sing_cnt", F.lit(0).cast("bigint").alias("supp_cnt"), "usr_cnt", "ordr_cnt")
 
 
-def song_features(plays: DataFrame, songs: DataFrame, day: str, key: str = "song_id",
-                  dim_max_rows: int | None = None) -> DataFrame:
-    """Songs played on ``day`` that exist in the dimension, with day / 7-day / 30-day
-    counts and best days (29 columns).  Likes are not logged and stay 0.
-
-    "7 days" is ``[day-7, day]`` and "30 days" ``[day-30, day]``; best days come from the
-    days before ``day`` (``[day-7, day-1]`` and ``[day-30, day-1]``), 0 when none.
-    """
-    tw = trailing_windows(plays, day, key=key, out_key="nbr").where(F.col("sing_cnt") > 0)
+def _features(tw: DataFrame, songs: DataFrame, dim_max_rows: int | None) -> DataFrame:
+    tw = tw.where(F.col("sing_cnt") > 0)
     zero = F.lit(0).cast("bigint")
     feats = tw.select(
         "nbr", "sing_cnt", zero.alias("supp_cnt"), "usr_cnt", "ordr_cnt",
@@ -83,6 +76,23 @@ def song_features(plays: DataFrame, songs: DataFrame, day: str, key: str = "song
     return join_dim(feats, dim, "nbr", "inner", max_rows=dim_max_rows).select(*SONG_FEATURE_COLUMNS)
 
 
+def song_features(plays: DataFrame, songs: DataFrame, day: str, key: str = "song_id",
+                  dim_max_rows: int | None = None) -> DataFrame:
+    """Songs played on ``day`` that exist in the dimension, with day / 7-day / 30-day
+    counts and best days (29 columns).  Likes are not logged and stay 0.
+
+    "7 days" is ``[day-7, day]`` and "30 days" ``[day-30, day]``; best days come from the
+    days before ``day`` (``[day-7, day-1]`` and ``[day-30, day-1]``), 0 when none.
+    """
+    return _features(trailing_windows(plays, day, key=key, out_key="nbr"), songs, dim_max_rows)
+
+
+def song_features_from_state(state: DataFrame, songs: DataFrame, day: str,
+                             dim_max_rows: int | None = None) -> DataFrame:
+    """``song_features`` from a kept window state (see ``operators.windows.advance_window_state``)."""
+    return _features(windows_from_state(state, day, out_key="nbr"), songs, dim_max_rows)
+
+
 def history_best_day(plays: DataFrame, day: str, key: str = "song_id") -> DataFrame:
     """Best single-day play count per song in ``[day-7, day-1]`` and ``[day-30, day-1]``
     (likes are not logged: 0).  Songs with no play in ``[day-30, day-1]`` are absent."""

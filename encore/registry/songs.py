@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from encore.functions.dates import day_minus_col
+from encore.functions.dates import day_minus, day_minus_col
 from encore.operators.joins import left_chain
-from encore.operators.windows import trailing_windows
+from encore.operators.windows import advance_window_state, trailing_windows, window_state, windows_from_state
 from encore.plans.influence import (singer_features, singer_influence, song_influence, stack_periods,
                                     top_influence, with_scores)
-from encore.plans.songs import history_best_day, song_day_counts, song_features
+from encore.plans.songs import history_best_day, song_day_counts, song_features, song_features_from_state
 from encore.registry.common import D1, D7, D30, DAY, S, Registry, sql_with
 from encore.sources.scans import scan_day, scan_day_range, scan_table
 from encore.sources.sinks import stamp_date
@@ -97,6 +97,18 @@ R.add("trailing_windows", sql_with(["plays"], f""", {WINDOW_CTES}
             LEFT JOIN e ON dd.nbr IS NOT DISTINCT FROM e.nbr"""))(
     lambda spark, d: trailing_windows(S(spark, d, "plays"), DAY, out_key="nbr"))
 
+
+
+def _incremental_state(spark, d):
+    """Yesterday's state built from its own window, then advanced by today's plays only."""
+    plays = S(spark, d, "plays")
+    yesterday = window_state(plays, day_minus(D1, 30), D1)
+    return advance_window_state(yesterday, plays, DAY)
+
+
+R.add("trailing_windows_incremental", R.oracle["trailing_windows"])(
+    lambda spark, d: windows_from_state(_incremental_state(spark, d), DAY, out_key="nbr"))
+
 R.add("join_inner", sql_with(["plays", "songs"], f""", a AS ({SQL_DAY_COUNTS})
     SELECT a.nbr, b.name, b.singer1, a.sing_cnt, a.usr_cnt, a.ordr_cnt FROM a JOIN songs b ON a.nbr = b.nbr"""))(
     lambda spark, d: song_day_counts(S(spark, d, "plays"), DAY)
@@ -155,6 +167,9 @@ def features(spark, d):
 
 R.add("song_features", sql_with(["plays", "songs"], f", {FEATURE_CTES} SELECT * FROM feat"))(features)
 
+R.add("song_features_incremental", sql_with(["plays", "songs"], f", {FEATURE_CTES} SELECT * FROM feat"))(
+    lambda spark, d: song_features_from_state(_incremental_state(spark, d), S(spark, d, "songs"), DAY))
+
 # ---------------------------------------------------------------- influence
 
 

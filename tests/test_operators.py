@@ -82,3 +82,23 @@ def test_package_money_matches_join_form(spark):
     got = package_money(brief).select(*cols)
     norm = lambda df: sorted(tuple("N" if v is None else v for v in r) for r in df.select(*cols).collect())
     assert norm(got) == norm(want)
+
+
+def test_advancing_the_window_state_day_by_day_equals_a_fresh_scan(spark):
+    from encore.operators.windows import advance_window_state, window_state, windows_from_state
+
+    random.seed(11)
+    days = [day_minus("20240130", k) for k in range(0, 40)]
+    data = [(random.randint(1, 5), random.choice([1, 2, 3, 4, None]), random.randint(1, 30), random.choice(days))
+            for _ in range(1500)]
+    df = spark.createDataFrame(data, "song_id long, uid long, order_id long, data_dt string")
+    start = "20240125"
+    state = window_state(df, day_minus(start, 30), start)
+    for day in ["20240126", "20240127", "20240128", "20240129", "20240130"]:
+        state = advance_window_state(state, df, day)
+    fresh = window_state(df, day_minus("20240130", 30), "20240130")
+    key = lambda r: tuple((0, 0) if v is None else (1, v) for v in r)
+    assert sorted(map(key, state.collect())) == sorted(map(key, fresh.select(*state.columns).collect()))
+    a = sorted(map(key, windows_from_state(state, "20240130").collect()))
+    b = sorted(map(key, trailing_windows(df, "20240130").collect()))
+    assert a == b
