@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from encore.functions.dates import check_day, day_minus
 from encore.plans.client_log import PLAY_EVENT, client_log_parse, client_log_records
 from encore.plans.influence import TOP_EXPORT, singer_influence, song_influence
-from encore.plans.location import lookup_enricher, machine_location
+from encore.plans.location import (advance_location_state, location_state, lookup_enricher, machine_location,
+                                   votes_from_state)
 from encore.plans.machines import machine_dim
 from encore.plans.money import consumption_detail, machine_stats, merchant_share, region_stats
 from encore.operators.windows import advance_window_state, window_state
@@ -43,6 +44,7 @@ MAC_A, MAC_B, MAC_ADDR = "to_ycak_mac_d", "to_ycbk_mac_admin_map_d", "to_ycak_ma
 PRVC, CITY, AREA, STORE_MAP, STORE = ("to_ycbk_prvc_d", "to_ycbk_city_d", "to_ycbk_area_d", "to_ycbk_mac_store_map_d",
                                       "to_ycbk_store_d")
 MAC_DIM, LOC_REPORTS, LOC_LOOKUP, MAC_LOC = "tw_mac_baseinfo_d", "to_ycak_usr_loc_d", "to_loc_lookup", "tw_mac_loc_d"
+LOC_STATE = "tw_mac_loc_report_state_d"   # kept distinct reports of the location window
 CNSM, CNSM_BRIEF, MAC_STAT = "to_ycak_cnsm_d", "tw_cnsm_brief_d", "tw_mac_stat_d"
 USR_WX, USR_ALI, USR_QQ, USR_APP, LOGINS = ("to_ycak_usr_d", "to_ycak_usr_ali_d", "to_ycak_usr_qq_d",
                                              "to_ycak_usr_app_d", "to_ycak_usr_login_d")
@@ -102,12 +104,8 @@ def job_song_features(wh: Warehouse, day: str) -> None:
     and song-order).  When yesterday's state exists, only today's plays are read and
     folded in; otherwise the state is built from the whole window once."""
     plays = wh.read(PLAYS).select(F.col("songid").cast("string").alias("song_id"), "uid", "order_id", "data_dt")
-    try:
-        prev = wh.day(SONG_STATE, day_minus(day, 1))
-        has_prev = bool(prev.limit(1).count())
-    except Exception:  # noqa: BLE001 - first run: no state table yet
-        has_prev = False
-    if has_prev:
+    prev = _day_or_none(wh, SONG_STATE, day_minus(day, 1))
+    if prev is not None:
         state = advance_window_state(prev, scan_day(plays, day), day)
     else:
         state = window_state(plays, day_minus(day, 30), day)
@@ -135,15 +133,28 @@ def job_machine_dim(wh: Warehouse, day: str) -> None:
     wh.export(out, "machine_dim", day)
 
 
+def _day_or_none(wh: Warehouse, table: str, day: str) -> DataFrame | None:
+    try:
+        df = wh.day(table, day)
+        return df if df.limit(1).count() else None
+    except Exception:  # noqa: BLE001 - first run: the table does not exist yet
+        return None
+
+
 def job_machine_location(wh: Warehouse, day: str, days: int = 30) -> None:
-    """Location snapshot of ``day`` merged over yesterday's."""
-    reports = scan_day_range(wh.read(LOC_REPORTS), day_minus(day, days), day)
+    """Location snapshot of ``day`` merged over yesterday's.  The distinct reports of
+    the window are kept as a state table, so a day reads only that day's reports."""
+    reports = wh.read(LOC_REPORTS)
     prev_day = day_minus(day, 1)
-    try:
-        prev = wh.day(MAC_LOC, prev_day)
-    except Exception:  # noqa: BLE001 - first run: no snapshot yet
-        prev = None
-    wh.write_day(machine_location(reports, prev, day, lookup_enricher(wh.read(LOC_LOOKUP)), days), MAC_LOC, day)
+    state = _day_or_none(wh, LOC_STATE, prev_day)
+    if state is not None:
+        state = advance_location_state(state, reports, day, days)
+    else:
+        state = location_state(reports, day_minus(day, days), day)
+    state = wh.write_day(state, LOC_STATE, day)
+    prev = _day_or_none(wh, MAC_LOC, prev_day)
+    wh.write_day(machine_location(reports, prev, day, lookup_enricher(wh.read(LOC_LOOKUP)), days,
+                                  votes=votes_from_state(state)), MAC_LOC, day)
 
 
 def job_consumption(wh: Warehouse, day: str) -> None:

@@ -52,15 +52,34 @@ RESPONSE_SCHEMA = (
     "distance: string>, businessAreas: string>>>")
 
 
+def location_state(reports: DataFrame, start: str, end: str) -> DataFrame:
+    """Distinct (user, machine, lat, lng) reports of ``[start, end]`` with the last day seen
+    (``yyyyMMdd`` as int) - the state the votes are counted from."""
+    return (reports.where(F.col("data_dt").between(check_day(start), check_day(end)))
+                   .groupBy("uid", "mid", "lat", "lng")
+                   .agg(F.max(F.col("data_dt").try_cast("int")).alias("last")))
+
+
+def advance_location_state(state: DataFrame, reports: DataFrame, day: str, days: int = 30) -> DataFrame:
+    """Yesterday's state -> today's: drop reports older than ``day-days``, fold in the
+    reports of ``day`` only (reads one day instead of ``days + 1``)."""
+    lo = int(day_minus(day, days))
+    kept = state.select("uid", "mid", "lat", "lng", "last").where(F.col("last") >= lo)
+    return (kept.unionByName(location_state(reports, day, day))
+                .groupBy("uid", "mid", "lat", "lng").agg(F.max("last").alias("last")))
+
+
+def votes_from_state(state: DataFrame) -> DataFrame:
+    """One vote per user and position: ``mid, x (lat), y (lng), cnt``."""
+    return (state.groupBy("mid", "lat", "lng").count()
+                 .select("mid", F.col("lat").alias("x"), F.col("lng").alias("y"), F.col("count").alias("cnt")))
+
+
 def location_votes(reports: DataFrame, day: str, days: int = 30) -> DataFrame:
     """Distinct reporters per (machine, lat, lng) over ``[day-days, day]``: one vote per
     user and position.  Columns ``mid, x (lat), y (lng), cnt``."""
     check_day(day)
-    lo = day_minus(day, days)
-    return (reports.where(F.col("data_dt").between(lo, day))
-                   .select("uid", "mid", "lat", "lng").distinct()
-                   .groupBy("mid", "lat", "lng").count()
-                   .select("mid", F.col("lat").alias("x"), F.col("lng").alias("y"), F.col("count").alias("cnt")))
+    return votes_from_state(location_state(reports, day_minus(day, days), day))
 
 
 def top_location(votes: DataFrame) -> DataFrame:
@@ -143,10 +162,14 @@ def service_enricher(call: Callable[[str], str], responses_path: str,
 
 
 def machine_location(reports: DataFrame, prev: DataFrame | None, day: str,
-                     enrich: Callable[[DataFrame], DataFrame], days: int = 30) -> DataFrame:
+                     enrich: Callable[[DataFrame], DataFrame], days: int = 30,
+                     votes: DataFrame | None = None) -> DataFrame:
     """Today's snapshot: freshly located machines win; machines not located in the window
-    keep yesterday's row (``prev``, may be None).  NULL machine ids are dropped."""
-    new = enrich(top_location(location_votes(reports, day, days))).select(*LOCATION_COLUMNS)
+    keep yesterday's row (``prev``, may be None).  NULL machine ids are dropped.
+    ``votes`` (e.g. from a kept ``location_state``) replaces the scan of ``reports``."""
+    if votes is None:
+        votes = location_votes(reports, day, days)
+    new = enrich(top_location(votes)).select(*LOCATION_COLUMNS)
     if prev is None:
         return new.where(F.col("mid").isNotNull())
     return snapshot_merge(new, prev.select(*LOCATION_COLUMNS), "mid")

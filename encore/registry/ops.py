@@ -106,6 +106,19 @@ def locations(spark, d):
 
 R.add("machine_location", sql_with(LOC_T, f", {LOCATION_CTES} SELECT * FROM mloc"))(locations)
 
+
+def _locations_incremental(spark, d):
+    """Today's votes from yesterday's kept report state advanced by today's reports only."""
+    from encore.plans.location import advance_location_state, location_state, votes_from_state
+
+    reports = S(spark, d, "loc_reports")
+    prev = machine_location(reports, None, D1, _enrich(spark, d))
+    state = advance_location_state(location_state(reports, day_minus(D1, 30), D1), reports, DAY)
+    return machine_location(reports, prev, DAY, _enrich(spark, d), votes=votes_from_state(state))
+
+
+R.add("machine_location_incremental", sql_with(LOC_T, f", {LOCATION_CTES} SELECT * FROM mloc"))(_locations_incremental)
+
 LONG_DAYS = 700   # the long-window variant of the location job
 LONG_CTES = sql_location("lprev", D1, LONG_DAYS) + ",\n" + sql_location("lcur", DAY, LONG_DAYS) + \
     f",\nlloc AS ({sql_merge('lcur_loc', 'lprev_loc')})"

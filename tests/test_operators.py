@@ -102,3 +102,19 @@ def test_advancing_the_window_state_day_by_day_equals_a_fresh_scan(spark):
     a = sorted(map(key, windows_from_state(state, "20240130").collect()))
     b = sorted(map(key, trailing_windows(df, "20240130").collect()))
     assert a == b
+
+
+def test_advancing_the_location_state_equals_a_fresh_scan(spark):
+    from encore.plans.location import advance_location_state, location_state, votes_from_state
+
+    random.seed(5)
+    days = [day_minus("20240130", k) for k in range(0, 40)]
+    data = [(random.randint(1, 20), random.randint(0, 4), random.choice(["", "30", "31"]), random.choice(["120", "121"]),
+             random.choice(days)) for _ in range(800)]
+    df = spark.createDataFrame(data, "uid long, mid long, lat string, lng string, data_dt string")
+    state = location_state(df, day_minus("20240127", 30), "20240127")
+    for day in ["20240128", "20240129", "20240130"]:
+        state = advance_location_state(state, df, day)
+    fresh = location_state(df, day_minus("20240130", 30), "20240130")
+    assert sorted(state.collect()) == sorted(fresh.select(*state.columns).collect())
+    assert sorted(votes_from_state(state).collect()) == sorted(votes_from_state(fresh).collect())
