@@ -85,10 +85,13 @@ class Warehouse:
             export_jdbc(out, self.jdbc_url, EXPORTS[job], self.jdbc_props)
 
 
-def job_client_log(wh: Warehouse, day: str, log_path: str, event_name: str = PLAY_EVENT) -> None:
-    """Raw log text -> per-event text folders and the play table's day partition."""
+def job_client_log(wh: Warehouse, day: str, log_path: str, event_name: str = PLAY_EVENT,
+                   files_per_key: int | None = None) -> None:
+    """Raw log text -> per-event text folders and the play table's day partition.
+    ``files_per_key`` bounds the files written per event (see ``fanout_by_key``)."""
     lines = wh.spark.read.text(log_path)
-    fanout_by_key(client_log_records(lines, event_name), "event", "value", wh.path(f"all_client_tables/{day}"))
+    fanout_by_key(client_log_records(lines, event_name), "event", "value", wh.path(f"all_client_tables/{day}"),
+                  files_per_key)
     wh.write_day(client_log_parse(lines, event_name), PLAYS, day)
 
 
@@ -211,6 +214,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--warehouse", required=True, help="root folder of the tables")
     p.add_argument("--log-path", help="raw log files (client_log job)")
     p.add_argument("--event", default=PLAY_EVENT)
+    p.add_argument("--files-per-key", type=int, default=None, help="client_log: max files per event folder")
     p.add_argument("--jdbc-url", default=os.environ.get("ENCORE_JDBC_URL"))
     p.add_argument("--jdbc-user", default=os.environ.get("ENCORE_JDBC_USER"))
     p.add_argument("--jdbc-password-env", default="ENCORE_JDBC_PASSWORD",
@@ -229,7 +233,7 @@ def main(argv: list[str] | None = None) -> None:
     if a.job == "client_log":
         if not a.log_path:
             p.error("--log-path is required for client_log")
-        job_client_log(wh, a.day, a.log_path, a.event)
+        job_client_log(wh, a.day, a.log_path, a.event, a.files_per_key)
     elif a.job == "all":
         run_day(wh, a.day)
     else:

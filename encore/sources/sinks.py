@@ -31,19 +31,30 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def fanout_by_key(df: DataFrame, key_col: str, value_col: str, path: str) -> None:
+def fanout_by_key(df: DataFrame, key_col: str, value_col: str, path: str,
+                  files_per_key: int | None = None) -> None:
     """One text output folder per key value (``path/key=...``), value only.
 
-    Every task writes its own files, so two tasks with the same key never collide."""
-    (df.select(F.col(value_col).cast("string").alias("value"), F.col(key_col))
-       .write.mode("overwrite").partitionBy(key_col).text(path))
+    Every task writes its own files, so two tasks with the same key never collide.
+    Without ``files_per_key`` no shuffle is added, and each input task writes one file per
+    key it sees. With it, rows are shuffled by (key, hash(value) mod ``files_per_key``):
+    at most ``files_per_key`` files per key, and a hot key is split over that many tasks.
+    The bucket is a hash of the row, not a random salt, so a retried task writes the same
+    rows."""
+    out = df.select(F.col(value_col).cast("string").alias("value"), F.col(key_col))
+    if files_per_key:
+        bucket = F.pmod(F.xxhash64("value"), F.lit(files_per_key))
+        out = out.repartition(F.col(key_col), bucket)
+    out.write.mode("overwrite").partitionBy(key_col).text(path)
 
 
 def export_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
-                mode: str = "overwrite", num_partitions: int | None = None) -> None:
+                mode: str = "overwrite", num_partitions: int | None = 8) -> None:
     """Write a mart to a relational table (overwrite replaces the whole table).
 
-    Connection settings come from the caller; ``num_partitions`` caps concurrent
-    connections to the database."""
+    Connection settings come from the caller.  Each Spark partition opens its own
+    connection, so ``num_partitions`` (default 8; ``None`` keeps the DataFrame's
+    partitioning) caps concurrent connections to the database; marts are small after
+    aggregation."""
     out = df.coalesce(num_partitions) if num_partitions else df
     out.write.mode(mode).jdbc(url, table, properties=dict(properties or {}))

@@ -45,6 +45,15 @@ def test_fanout_and_jdbc(spark):
     fanout_by_key(df.repartition(3), "event", "value", path)
     back = spark.read.schema("value string, event string").text(path)
     assert sorted((r.event, r.value) for r in back.collect()) == [("a", "x1"), ("a", "x2"), ("b", "y")]
+    # bounded files per key: same rows, at most 2 files in each key folder
+    import glob
+    path2 = scratch_path(spark, "t-fan2")
+    many = spark.createDataFrame([("a", f"v{i}") for i in range(200)] + [("b", "y")], "event string, value string")
+    fanout_by_key(many.repartition(7), "event", "value", path2, files_per_key=2)
+    back2 = spark.read.schema("value string, event string").text(path2)
+    assert back2.count() == 201
+    local = path2.replace("file:", "")
+    assert len([f for f in glob.glob(f"{local}/event=a/part-*")]) <= 2
     url = f"jdbc:derby:memory:t{uuid.uuid4().hex[:8]};create=true"
     props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
     export_jdbc(df, url, "T1", props)

@@ -45,7 +45,7 @@ def test_every_daily_table_has_the_day(warehouse):
 def test_client_log_job(spark, warehouse):
     log = scratch_path(spark, "log")
     standin(spark, SF_SMALL, "client_log").select(F.col("line").alias("value")).write.text(log)
-    J.job_client_log(warehouse, "20240201", log, "SONG_PLAY")
+    J.job_client_log(warehouse, "20240201", log, "SONG_PLAY", files_per_key=4)
     assert warehouse.day(J.PLAYS, "20240201").count() > 0
     fan = spark.read.text(warehouse.path("all_client_tables/20240201"))
     assert set(r.event for r in fan.select("event").distinct().collect()) == {"SONG_PLAY", "OTHER_EVENT"}
