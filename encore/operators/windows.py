@@ -152,7 +152,8 @@ def global_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
     """``row_number() over (partition by group_cols order by order_cols)`` for FEW, LARGE groups.
 
     A plain window sends each group to one task; here the rows are range-partitioned on
-    ``(group, order)`` across ``partitions`` tasks, numbered inside each task, and shifted
+    ``(group, order)`` (``partitions`` tasks, or as many as AQE's advisory partition size
+    gives when ``None``), numbered inside each task, and shifted
     by the count of the group's rows in earlier tasks.  The offset table has at most
     ``partitions + groups`` rows; it is broadcast only when its counted size is within
     ``OFFSET_BROADCAST_ROWS``.  The numbered rows are checkpointed (reliable storage under
@@ -161,9 +162,12 @@ def global_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = [F.col(c) for c in group_cols]
-    numbered = (df.repartitionByRange(parts, *g, *order_cols)
+    # Without an explicit count AQE may merge adjacent range partitions to its advisory
+    # size; merged ids still increase with the range, which is all the numbering needs.
+    ranged = (df.repartitionByRange(partitions, *g, *order_cols) if partitions
+              else df.repartitionByRange(*g, *order_cols))
+    numbered = (ranged
                   .sortWithinPartitions(*g, *order_cols)
                   .withColumn("_rp", F.spark_partition_id())
                   .withColumn("_rpos", F.monotonically_increasing_id()))

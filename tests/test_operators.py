@@ -16,6 +16,9 @@ def test_global_row_number_matches_window(spark):
     df = spark.createDataFrame(data, "g string, score int, id int")
     order = [F.col("score").desc(), F.col("id").asc()]
     got = global_row_number(df, ["g"], order, name="rn", partitions=7)
+    auto = global_row_number(df, ["g"], order, name="rn")       # AQE-sized range partitions
+    assert sorted(((r.g or ""), r.id, r.rn) for r in auto.collect()) == \
+        sorted(((r.g or ""), r.id, r.rn) for r in got.collect())
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     a = sorted(((r.g or ""), r.id, r.rn) for r in got.collect())
     b = sorted(((r.g or ""), r.id, r.rn) for r in want.collect())
