@@ -19,11 +19,12 @@ import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.functions.dates import check_day, day_minus
-from encore.plans.client_log import PLAY_EVENT, client_log_parse, client_log_records
+from encore.plans.client_log import PLAY_EVENT, fanout_records, parse_client_log, play_table
 from encore.plans.influence import TOP_EXPORT, singer_influence, song_influence
 from encore.plans.location import (advance_location_state, location_state, lookup_enricher, machine_location,
                                    votes_from_state)
@@ -89,10 +90,14 @@ def job_client_log(wh: Warehouse, day: str, log_path: str, event_name: str = PLA
                    files_per_key: int | None = None) -> None:
     """Raw log text -> per-event text folders and the play table's day partition.
     ``files_per_key`` bounds the files written per event (see ``fanout_by_key``)."""
-    lines = wh.spark.read.text(log_path)
-    fanout_by_key(client_log_records(lines, event_name), "event", "value", wh.path(f"all_client_tables/{day}"),
-                  files_per_key)
-    wh.write_day(client_log_parse(lines, event_name), PLAYS, day)
+    # Read and parse the log once for both outputs; a lost executor's cached blocks are
+    # recomputed from the log by lineage.
+    parsed = parse_client_log(wh.spark.read.text(log_path), event_name).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fanout_by_key(fanout_records(parsed), "event", "value", wh.path(f"all_client_tables/{day}"), files_per_key)
+        wh.write_day(play_table(parsed), PLAYS, day)
+    finally:
+        parsed.unpersist()
 
 
 def job_song_dim(wh: Warehouse, day: str | None = None) -> None:

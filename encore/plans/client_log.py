@@ -41,13 +41,41 @@ def split_records(lines: DataFrame, value_col: str = "value") -> DataFrame:
                  .select(F.col("_p")[EVENT_INDEX].alias("event"), F.col("_p")[PAYLOAD_INDEX].alias("payload")))
 
 
+def parse_client_log(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: str = "value") -> DataFrame:
+    """Every well-formed record, parsed once: ``event`` (fan-out key), ``value`` (fan-out
+    text), ``_play`` (a play record with a JSON-object payload) and the 11 play fields
+    (NULL unless ``_play``).  Both the play table and the fan-out derive from it, so a job
+    that writes both can persist this frame and read and parse the log only once.
+
+    Play records become tab-separated fields (NULL as ``\\N``, positions kept); other
+    events pass through; play records with a malformed payload keep their text under
+    ``<event>_REJECTED`` - counted and inspectable, out of the play table."""
+    rec = split_records(lines, value_col)
+    is_play = F.col("event") == event_name
+    j, ok = _parsed()
+    good_play = is_play & ok
+    tsv = F.concat_ws("\t", *[F.coalesce(j[f], F.lit(TEXT_NULL)) for f in PLAY_FIELDS])
+    return rec.select(
+        F.when(is_play & ~ok, F.concat(F.col("event"), F.lit(REJECTED_SUFFIX))).otherwise(F.col("event")).alias("event"),
+        F.when(good_play, tsv).otherwise(F.col("payload")).alias("value"),
+        good_play.alias("_play"),
+        *[F.when(good_play, j[f]).alias(f) for f in PLAY_FIELDS])
+
+
+def play_table(parsed: DataFrame) -> DataFrame:
+    """The play table from ``parse_client_log``."""
+    return parsed.where(F.col("_play")).select(*PLAY_FIELDS)
+
+
+def fanout_records(parsed: DataFrame) -> DataFrame:
+    """``event, value`` fan-out records from ``parse_client_log``."""
+    return parsed.select("event", "value")
+
+
 def client_log_parse(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: str = "value") -> DataFrame:
     """The play table: 11 string columns from the JSON payload of ``event_name`` records.
     A missing key is NULL; a payload that is not a JSON object (malformed) is dropped."""
-    rec = split_records(lines, value_col).where(F.col("event") == event_name)
-    j, ok = _parsed()
-    parsed = rec.select(j.alias("j"), ok.alias("_ok")).where("_ok")
-    return parsed.select(*[F.col(f"j.{f}").alias(f) for f in PLAY_FIELDS])
+    return play_table(parse_client_log(lines, event_name, value_col))
 
 
 def rejected_lines(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: str = "value") -> DataFrame:
@@ -58,15 +86,5 @@ def rejected_lines(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: st
 
 
 def client_log_records(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: str = "value") -> DataFrame:
-    """``event, value`` text records for the per-event fan-out: play records become
-    tab-separated fields (NULL as ``\\N``, positions kept); other events pass through;
-    play records with a malformed payload go, unchanged, to ``<event>_REJECTED`` - kept
-    for inspection and counting in the same pass, out of the play table."""
-    rec = split_records(lines, value_col)
-    is_play = F.col("event") == event_name
-    j, ok = _parsed()
-    tsv = F.concat_ws("\t", *[F.coalesce(j[f], F.lit(TEXT_NULL)) for f in PLAY_FIELDS])
-    good_play = is_play & ok
-    return rec.select(
-        F.when(is_play & ~ok, F.concat(F.col("event"), F.lit(REJECTED_SUFFIX))).otherwise(F.col("event")).alias("event"),
-        F.when(good_play, tsv).otherwise(F.col("payload")).alias("value"))
+    """``event, value`` text records for the per-event fan-out (see ``parse_client_log``)."""
+    return fanout_records(parse_client_log(lines, event_name, value_col))
