@@ -121,3 +121,26 @@ def test_advancing_the_location_state_equals_a_fresh_scan(spark):
     fresh = location_state(df, day_minus("20240130", 30), "20240130")
     assert sorted(state.collect()) == sorted(fresh.select(*state.columns).collect())
     assert sorted(votes_from_state(state).collect()) == sorted(votes_from_state(fresh).collect())
+
+
+def test_broadcast_only_under_the_bound(spark):
+    from encore.operators.joins import broadcast_all_if_small
+
+    small = spark.range(5).withColumnRenamed("id", "k")
+    big = spark.range(50).withColumnRenamed("id", "k")
+    fact = spark.range(100).withColumnRenamed("id", "k")
+    s, b = broadcast_all_if_small([small, big], max_rows=10)
+    plan_s = fact.join(s, "k")._jdf.queryExecution().optimizedPlan().toString()
+    plan_b = fact.join(b, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan_s.lower()
+    assert "broadcast" not in plan_b.lower()
+
+
+def test_cluster_conf_sizes_shuffle_partitions():
+    from encore.session import cluster_conf
+
+    conf = cluster_conf(100 * (1 << 40))              # 100 TiB shuffled
+    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000       # capped
+    assert int(cluster_conf(10 << 30)["spark.sql.shuffle.partitions"]) == 200   # floor
+    assert int(cluster_conf(1 << 40)["spark.sql.shuffle.partitions"]) == 4096
+    assert conf["spark.sql.adaptive.enabled"] == "true"
