@@ -29,10 +29,12 @@ def with_scores(features: DataFrame) -> DataFrame:
     return features.withColumns(influence_columns())
 
 
-def stack_periods(scored: DataFrame, id_cols: Sequence[str]) -> DataFrame:
+def stack_periods(scored: DataFrame, id_cols: Sequence[str], periods: Sequence[str] = PERIODS) -> DataFrame:
     """One row per (period, id) with the period's score (unpivot, no self-union)."""
-    args = ", ".join(f"'{p}', rsi_{p}d" for p in PERIODS)
-    return (scored.selectExpr(f"stack({len(PERIODS)}, {args}) AS (period, rsi)", *[f"`{c}`" for c in id_cols])
+    if not set(periods) <= set(PERIODS):
+        raise ValueError(f"periods must be among {PERIODS}")
+    args = ", ".join(f"'{p}', rsi_{p}d" for p in periods)
+    return (scored.selectExpr(f"stack({len(periods)}, {args}) AS (period, rsi)", *[f"`{c}`" for c in id_cols])
                   .select("period", *id_cols, "rsi"))
 
 
@@ -46,9 +48,9 @@ def rank_periods(stacked: DataFrame, id_cols: Sequence[str], name: str = "rsi_ra
     return global_row_number(stacked, ["period"], rank_order(id_cols), name=name)
 
 
-def song_influence(features: DataFrame) -> DataFrame:
+def song_influence(features: DataFrame, periods: Sequence[str] = PERIODS) -> DataFrame:
     """``period, nbr, name, rsi, rsi_rank`` for every song of the day's feature table."""
-    stacked = stack_periods(with_scores(features), ["nbr", "name"])
+    stacked = stack_periods(with_scores(features), ["nbr", "name"], periods)
     return rank_periods(stacked, ["nbr"]).select("period", "nbr", "name", "rsi", "rsi_rank")
 
 
@@ -59,9 +61,9 @@ def singer_features(features: DataFrame) -> DataFrame:
         *[F.sum(c).cast("bigint").alias(c) for c in SINGER_SUM_COLUMNS])
 
 
-def singer_influence(features: DataFrame) -> DataFrame:
+def singer_influence(features: DataFrame, periods: Sequence[str] = PERIODS) -> DataFrame:
     """``period, singer1id, singer1, rsi, rsi_rank`` per first singer."""
-    stacked = stack_periods(with_scores(singer_features(features)), ["singer1id", "singer1"])
+    stacked = stack_periods(with_scores(singer_features(features)), ["singer1id", "singer1"], periods)
     return rank_periods(stacked, ["singer1id", "singer1"]).select("period", "singer1id", "singer1", "rsi", "rsi_rank")
 
 

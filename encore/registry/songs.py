@@ -216,7 +216,7 @@ R.add("influence_score", sql_with(["plays", "songs"], f""", {INFLUENCE_CTES}
 
 R.add("rank_influence", sql_with(["plays", "songs"], f", {INFLUENCE_CTES} "
                                   + _rank_sql("stacked", ["nbr", "name"], "WHERE period = '1'")))(
-    lambda spark, d: _r6(song_influence(features(spark, d)).where(F.col("period") == "1")))
+    lambda spark, d: _r6(song_influence(features(spark, d), periods=("1",))))
 
 R.add("song_influence", sql_with(["plays", "songs"], f", {INFLUENCE_CTES} " + _rank_sql("stacked", ["nbr", "name"])))(
     lambda spark, d: _r6(song_influence(features(spark, d))))
