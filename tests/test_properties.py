@@ -45,3 +45,23 @@ def test_hot_song_holding_a_third_of_plays(spark):
     assert got[1].rct_30_usr_cnt == len({r[1] for r in hot})
     assert got[1].rct_30_ordr_cnt == len({r[2] for r in hot})
     assert got[1].sing_cnt == sum(1 for r in hot if r[3] == day)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from(["u1", "u2", None]), st.sampled_from(["m1", "m2", None]),
+                               st.sampled_from(["p", "q", None]), st.sampled_from(["A", None]),
+                               st.integers(1, 9), st.sampled_from([0, 1, 2, None])), min_size=1, max_size=40))
+def test_package_money_equals_the_join_form(spark, rows):
+    from encore.plans.money import package_money, revenue_by_package
+
+    data = [(str(i), u, m, p, pay, float(a), 1, abn) for i, (u, m, p, pay, a, abn) in enumerate(rows)]
+    brief = spark.createDataFrame(data, "ordr_id string, uid string, mid string, pkg_id string, pay_type string, "
+                                        "coin_prc double, coin_cnt int, abn_typ int")
+    keys = ["mid", "pkg_id", "pay_type"]
+    cols = keys + ["cnsm_usr_cnt", "tot_rev", "rev_ordr_cnt", "ref_usr_cnt", "tot_ref", "ref_ordr_cnt"]
+    want = revenue_by_package(brief, 0, "rev").join(revenue_by_package(brief, 2, "ref"), keys, "left")
+
+    def norm(df):
+        return sorted(tuple((0, 0) if v is None else (1, v) for v in r) for r in df.select(*cols).collect())
+
+    assert norm(package_money(brief)) == norm(want)
