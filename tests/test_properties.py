@@ -65,3 +65,60 @@ def test_package_money_equals_the_join_form(spark, rows):
         return sorted(tuple((0, 0) if v is None else (1, v) for v in r) for r in df.select(*cols).collect())
 
     assert norm(package_money(brief)) == norm(want)
+
+
+# Independent model of the address rules.
+_REGIONS = ["内蒙古自治区", "宁夏回族自治区", "广西壮族自治区"]
+_PROVINCES = [("内蒙古自治区", "内蒙古"), ("宁夏回族自治区", "宁夏"), ("西藏自治区", "西藏"), ("广西壮族自治区", "广西"),
+              ("新疆维吾尔自治区", "新疆"), ("北京市", "北京"), ("上海市", "上海"), ("重庆市", "重庆"), ("天津市", "天津")]
+
+
+def _model_province(a):
+    for marker, short in _PROVINCES:
+        if marker in a:
+            return short
+    return a[:a.find("省")] if "省" in a else ""
+
+
+def _model_city(a):
+    def cut(s, e):
+        i, j = a.find(s), a.find(e)
+        return a[i + 1:j] if i >= 0 and j > i else ""
+
+    def upto(text, m):
+        return text[:text.find(m)] if m in text else ""
+
+    if any(m in a for m in _REGIONS):
+        return cut("区", "市")
+    if "新疆维吾尔自治区" in a:
+        if a.find("市") > a.find("区"):
+            return cut("区", "市")
+        rest = a[a.find("区") + 1:]
+        return upto(rest, "区") if "区" in rest else upto(rest, "州")
+    if "北京市" in a or "上海市" in a:
+        return cut("市", "区")
+    if "重庆市" in a:
+        rest = a[a.find("市") + 1:]
+        return cut("市", "区") if "区" in rest else (cut("市", "县") if "县" in rest else "")
+    if "天津市" in a:
+        return cut("市", "区")
+    if "省" in a:
+        rest = a[a.find("省") + 1:]
+        return cut("省", "市") if "市" in rest else upto(rest, "州")
+    return ""
+
+
+_TOKENS = [m for m, _ in _PROVINCES] + ["省", "市", "区", "县", "州", "甲", "乙"]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(addrs=st.lists(st.lists(st.sampled_from(_TOKENS), min_size=1, max_size=5).map("".join),
+                      min_size=1, max_size=60))
+def test_address_rules_match_an_independent_model(spark, addrs):
+    from encore.functions.address import city_from_address, province_from_address
+
+    df = spark.createDataFrame([(a,) for a in addrs], "a string")
+    got = [(r.a, r.p, r.c) for r in df.select("a", province_from_address("a").alias("p"),
+                                              city_from_address("a").alias("c")).collect()]
+    for a, p, c in got:
+        assert (p, c) == (_model_province(a), _model_city(a)), a
