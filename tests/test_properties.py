@@ -122,3 +122,37 @@ def test_address_rules_match_an_independent_model(spark, addrs):
                                               city_from_address("a").alias("c")).collect()]
     for a, p, c in got:
         assert (p, c) == (_model_province(a), _model_city(a)), a
+
+
+def _model_product_types(s):
+    """Independent model of X5: strip one '[' and one ']', drop trailing commas (Java split),
+    blank -> NULL, items -> int by truncation, bad item -> NULL item."""
+    if s is None or s.strip() == "":
+        return None
+    t = s[1:] if s.startswith("[") else s
+    t = t[:-1] if t.endswith("]") else t
+    t = t.rstrip(",")
+    if t.strip() == "":
+        return None
+    out = []
+    for item in t.split(","):
+        try:
+            v = float(item)
+            out.append(int(v) if -2**31 <= int(v) <= 2**31 - 1 else None)
+        except ValueError:
+            out.append(None)
+    return out
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(st.one_of(
+    st.none(),
+    st.lists(st.sampled_from(["8.0", "9", "2.9", "-1.5", "a", "", " 3 ", "1e3"]), max_size=4).map(
+        lambda xs: "[" + ",".join(xs) + "]"),
+    st.sampled_from(["", "  ", "[]", "[,]", "8.0,", "[7]"])), min_size=1, max_size=40))
+def test_product_types_match_an_independent_model(spark, texts):
+    from encore.functions.text import product_types
+
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for r in df.select("s", product_types("s").alias("t")).collect():
+        assert r.t == _model_product_types(r.s), repr(r.s)
