@@ -156,3 +156,45 @@ def test_product_types_match_an_independent_model(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     for r in df.select("s", product_types("s").alias("t")).collect():
         assert r.t == _model_product_types(r.s), repr(r.s)
+
+
+def _model_release_time(s):
+    """Independent model of X2: leading y-M-d H:m:s (valid calendar values) normalised;
+    else plain decimal text as epoch milliseconds (UTC, truncated); else ''."""
+    import re
+    from datetime import datetime, timedelta, timezone
+    from decimal import Decimal, InvalidOperation
+
+    if s is None:
+        return ""
+    m = re.match(r"^(\d{1,4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})", s)
+    if m:
+        try:
+            return datetime(*map(int, m.groups())).strftime("%Y-%m-%d %H:%M:%S")
+        except ValueError:
+            pass
+    if re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", s):
+        try:
+            ms = int(Decimal(s))
+        except InvalidOperation:
+            return ""
+        t = datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(milliseconds=ms)
+        return t.strftime("%Y-%m-%d %H:%M:%S")
+    return ""
+
+
+_DT = st.builds(lambda y, mo, d, h, mi, se, tail: f"{y}-{mo}-{d} {h}:{mi}:{se}{tail}",
+                st.integers(1971, 2030), st.integers(0, 13), st.integers(0, 32), st.integers(0, 25),
+                st.integers(0, 61), st.integers(0, 61), st.sampled_from(["", " x", ".5"]))
+_MS = st.builds(lambda v, form: form.format(v), st.integers(0, 4_000_000_000_000),
+                st.sampled_from(["{}", "{}.9", "+{}", " {}"]))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(st.one_of(_DT, _MS, st.sampled_from(["x", "", "2020-01-02", None])), min_size=1, max_size=40))
+def test_release_time_matches_an_independent_model(spark, texts):
+    from encore.functions.dates import release_time
+
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for r in df.select("s", release_time("s").alias("t")).collect():
+        assert r.t == _model_release_time(r.s), repr(r.s)
