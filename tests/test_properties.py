@@ -198,3 +198,25 @@ def test_release_time_matches_an_independent_model(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     for r in df.select("s", release_time("s").alias("t")).collect():
         assert r.t == _model_release_time(r.s), repr(r.s)
+
+
+def _model_split(line):
+    """Java String.split('&'): trailing empty fields dropped; keep lines with exactly 6."""
+    parts = line.split("&")
+    while parts and parts[-1] == "":
+        parts.pop()
+    if line == "":
+        parts = [""]
+    return (parts[2], parts[3]) if len(parts) == 6 else None
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines=st.lists(st.lists(st.sampled_from(["a", "", "EV", '{"songid":"1"}', "x y"]), min_size=1, max_size=8)
+                      .map("&".join), min_size=1, max_size=40))
+def test_record_split_matches_java_split(spark, lines):
+    from encore.plans.client_log import split_records
+
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = sorted((r.event, r.payload) for r in split_records(df).collect())
+    want = sorted(m for m in map(_model_split, lines) if m is not None)
+    assert got == want
