@@ -74,7 +74,11 @@ class Warehouse:
         return df
 
     def day(self, table: str, day: str) -> DataFrame:
-        return scan_day(self.read(table), day).drop("data_dt")
+        """One day partition, read from its own folder: only that folder is listed, not
+        every day the table has accumulated.  Raises if the day was never written."""
+        base = self.path(table)
+        df = self.spark.read.option("basePath", base).parquet(f"{base}/data_dt={check_day(day)}")
+        return df.drop("data_dt")
 
     def write_day(self, df: DataFrame, table: str, day: str) -> DataFrame:
         write_day(df, self.path(table), day)
