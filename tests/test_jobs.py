@@ -54,3 +54,9 @@ def test_client_log_job(spark, warehouse):
 def test_cli_validates_the_date_first():
     with pytest.raises(ValueError):
         J.main(["song_rsi", "2024-01-30", "--warehouse", "/nonexistent"])
+
+
+def test_missing_day_or_table_means_no_previous_state(spark, warehouse):
+    assert J._day_or_none(warehouse, J.SONG_STATE, "20200101") is None        # day never written
+    assert J._day_or_none(warehouse, "no_such_table", DAY) is None            # table never written
+    assert J._day_or_none(warehouse, J.SONG_STATE, DAY) is not None
