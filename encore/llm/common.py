@@ -79,12 +79,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class RollingHash:
-    """Polynomial hash modulo 2**64 of any span of a byte buffer, from one prefix sum."""
+    """Polynomial hash modulo 2**64 of any span of a byte buffer, or of a sequence of 64-bit
+    symbols, from one prefix sum."""
 
     def __init__(self, buffer: np.ndarray):
         up, self.down = _powers(len(buffer) + 1)
         self.prefix = np.zeros(len(buffer) + 1, dtype=np.uint64)
-        np.cumsum(BYTE_VALUES[buffer] * up[: len(buffer)], out=self.prefix[1:])
+        values = BYTE_VALUES[buffer] if buffer.dtype == np.uint8 else buffer
+        np.cumsum(values * up[: len(buffer)], out=self.prefix[1:])
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         length = (ends - starts).astype(np.uint64)
