@@ -15,6 +15,7 @@ strings in a text become their ids, as the library does.  Extra columns are igno
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
@@ -278,7 +279,9 @@ _SIGMA = {0x3A3: 0x3C3}  # a capital sigma becomes the plain small one wherever
 
 @lru_cache(maxsize=2)
 def load(path: str) -> WordBpe:
-    return WordBpe(path)
+    bpe = WordBpe(path)
+    gc.freeze()  # the tables stay; collecting garbage need not visit them
+    return bpe
 
 
 def _digests(path: str):
@@ -309,6 +312,28 @@ def _tokens(path: str):
     return run
 
 
+def _corpus(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(path)
+        for batch in batches:
+            for part in slices(batch, 1):
+                rows = bpe.look_up(part.column(1).to_pylist())
+                counts = [sum([x[0] for x in r]) for r in rows]
+                flat = np.fromiter((t for r in rows for x in r for t in x[1]), dtype=np.int32, count=sum(counts))
+                ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(flat))
+                yield pa.record_batch({
+                    "doc_id": part.column(0).cast(pa.int64()), "n_tokens": pa.array(counts, pa.int64()), "ids": ids,
+                    "decoded_sha256": pa.array([hashlib.sha256(" ".join([x[3] for x in r]).encode()).hexdigest() for r in rows], pa.string())})
+
+    return run
+
+
+def tokenised(docs: DataFrame, path: str) -> DataFrame:
+    """The corpus as token ids, with the digest of the text that they decode to."""
+    importable(docs.sparkSession)
+    return docs.select("doc_id", "text").mapInArrow(_corpus(path), "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string")
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """One row per document: its token ids and the text they decode to."""
     importable(docs.sparkSession)

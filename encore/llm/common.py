@@ -3,6 +3,7 @@ hashes over a byte buffer in numpy, scratch tables in the shared folder."""
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -11,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from encore.session import scratch_path
 
@@ -150,3 +152,32 @@ def covered(first: np.ndarray, length: np.ndarray | int, n: int) -> np.ndarray:
     """Which of ``n`` positions lie in a run [first, first + length)."""
     change = np.bincount(first, minlength=n + 1) - np.bincount(first + length, minlength=n + 1)
     return np.cumsum(change[:n]) > 0
+
+
+def release(spark: SparkSession) -> None:
+    """Let the JVM drop finished steps, so that Spark's cleaner removes their shuffle files."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def components(edges: DataFrame, name: str) -> DataFrame:
+    """(v, root): each vertex of ``edges`` (columns a, b of one type) with the least vertex of
+    its component, by alternating large-star and small-star steps.  A step is an aggregate and
+    a join, so a vertex with many neighbours is never gathered anywhere."""
+    spark = edges.sparkSession
+    now = stored(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    before = None
+    while True:
+        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        if state == before:
+            return now.select(F.col("a").alias("v"), F.col("b").alias("root"))
+        before = state
+        both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        large = both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large.where(F.col("a") != F.col("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a")
+        now = stored(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b"))
+                     .unionAll(least.select("a", F.col("m").alias("b"))).distinct(), name)
+        release(spark)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import bpe, decontaminate, html_extract, pii, quality, secret_scan, substring_dedup, suffix_dedup, toxicity
+from encore.llm import bpe, decontaminate, html_extract, jaccard_join, pii, quality, secret_scan, substring_dedup, suffix_dedup, toxicity
 from encore.registry.common import Registry
 
 R = Registry()
@@ -62,6 +63,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@R.add("op5_jaccard_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_groups(table(spark, sf_dir, "documents"))
+
+
 @R.add("op6_html")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
@@ -89,3 +95,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", F.round("severity", 6).alias("severity"), F.round("p_toxic", 6).alias("p_toxic"), "grade", "toxic")
+
+
+R.add("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
