@@ -41,6 +41,7 @@ SHINGLE = 5
 PERCENT = 80
 BLOCK = 512
 BLOCK_SHINGLES = 1 << 20
+MAX_BROADCAST_BYTES = 16 << 20  # digests of the sets that stay; beyond it they join by a shuffle
 OFTEN = 8  # sets of a slice from which a shared shingle is counted in place
 SID = "struct<a:bigint,b:bigint>"
 
@@ -296,22 +297,27 @@ def _labels(identity: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") / 10) * percent / 100))
     staying = stored(sets.join(credit, sets["sid.a"] == credit["a"]).where(F.col("credit") >= least).select("sid", "n", "k.*"), "jaccard-staying")
     release(spark)
-    held = texts.select("text", "k1", "k2").join(staying.select("k1", "k2").distinct(), ["k1", "k2"]).select("text")
+    wanted = staying.select("k1", "k2").distinct()
+    if staying.count() * 24 <= MAX_BROADCAST_BYTES:
+        wanted = F.broadcast(wanted)
+    held = texts.select("text", "k1", "k2").join(wanted, ["k1", "k2"]).select("text")
     full = held.mapInArrow(_full_sets(size), f"sid {SID}, n long, shingles array<bigint>")
-    full = stored(full, "jaccard-sets")  # copies of a text may stand here more than once
+    full = stored(full.dropDuplicates(["sid"]), "jaccard-sets")  # copies of a text come more than once
     release(spark)
-    each = full.select("sid", "n", F.explode("shingles").alias("h")).distinct()
-    often = each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    # Half of the digest names a set here: were two sets to share it, each would only get
+    # the other's shingles on top of its own prefix.
+    each = full.select(F.col("sid.a").alias("s"), F.explode("shingles").alias("h"))
+    often = each.groupBy("h").agg(F.count("*").cast("int").alias("df")).where("df > 1")
+    ranked = each.join(often, "h").groupBy("s").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("known"))  # a set's own shingles
     kept = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1  # length of the prefix
-    ranked = (each.join(often, "h").groupBy("sid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("known"))  # a set's own shingles
-              .withColumn("take", kept - (F.col("n") - F.size("known"))).where("take > 0"))
-    firsts = stored(ranked.select("sid", F.explode(F.slice("known", F.lit(1), F.col("take").cast("int"))).alias("x")).select("sid", "x.h"), "jaccard-firsts")
+    taken = (full.select("sid", "n").join(ranked, F.col("sid.a") == F.col("s"))
+             .withColumn("take", kept - (F.col("n") - F.size("known"))).where("take > 0"))
+    firsts = stored(taken.select("sid", F.explode(F.slice("known", F.lit(1), F.col("take").cast("int"))).alias("x")).select("sid", "x.h"), "jaccard-firsts")
     release(spark)
     least_set = firsts.groupBy("h").agg(F.min("sid").alias("b"))
     group = components(firsts.join(least_set, "h").select(F.col("sid").alias("a"), "b"), "jaccard-group")
     member = group.select(F.col("v").alias("sid"), "root").unionByName(group.select(F.col("root").alias("sid"), "root").distinct())
-    one = full.join(member, "sid").dropDuplicates(["sid"])
-    member = stored(one, "jaccard-members")
+    member = stored(full.join(member, "sid"), "jaccard-members")
     weights = member.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("weight"))
     members = member.join(weights, "root")
     large = (F.col("members") > BLOCK) | ((F.col("weight") > 2 * BLOCK_SHINGLES) & (F.col("members") > 2))

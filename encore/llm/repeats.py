@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import RollingHash, Words, as_bytes, importable, slices, stored
+from encore.llm.common import RollingHash, Words, as_bytes, importable, release, slices, stored
 from encore.llm.windows import Fragments, fragments
 
 HOT = 20_000
@@ -225,6 +225,7 @@ def marked(docs: DataFrame, unit: Unit, judge: Callable[[list[bytes], list[int]]
     texts = keyed(docs)
     rows = texts.select("text", "k1", "k2").mapInArrow(_rows(unit), ROW)
     judged = stored(rows.repartition("route").sortWithinPartitions("kind", "anchor", "frag").mapInArrow(_judge, JUDGED), f"{name}-judged")
+    release(docs.sparkSession)
 
     ship = judged.where("ship").groupBy("k1", "k2").agg(  # at most the fragments of one text
         F.collect_list(F.struct("ord", "frag", "anchor", "n", "hot")).alias("wanted"))
