@@ -317,13 +317,14 @@ def _labels(identity: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     least_set = firsts.groupBy("h").agg(F.min("sid").alias("b"))
     group = components(firsts.join(least_set, "h").select(F.col("sid").alias("a"), "b"), "jaccard-group")
     member = group.select(F.col("v").alias("sid"), "root").unionByName(group.select(F.col("root").alias("sid"), "root").distinct())
-    member = stored(full.join(member, "sid"), "jaccard-members")
+    member = member.join(full.select("sid", "n"), "sid")
     weights = member.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("weight"))
-    members = member.join(weights, "root")
+    placed = stored(member.join(weights, "root"), "jaccard-members")  # the sets themselves join once, below
+    members = full.select("sid", "shingles").join(placed, "sid")
     large = (F.col("members") > BLOCK) | ((F.col("weight") > 2 * BLOCK_SHINGLES) & (F.col("members") > 2))
     edges = stored(_search(members.where(~large).withColumn("key", _key(F.col("root.a"), F.col("root.b"))), percent), "jaccard-links")
     out = edges.select(F.col("a").alias("sid"), F.col("b").alias("root"))
-    if weights.where(large).limit(1).count():
+    if placed.where(large).limit(1).count():
         big = components(_blocks(members.where(large), percent), "jaccard-large")
         out = out.unionByName(big.select(F.col("v").alias("sid"), "root"))
     release(spark)
