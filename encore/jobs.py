@@ -20,6 +20,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,11 +147,29 @@ def job_machine_dim(wh: Warehouse, day: str) -> None:
 
 
 def _day_or_none(wh: Warehouse, table: str, day: str) -> DataFrame | None:
+    """One day of a table, or None if it was never written.  Other errors are raised."""
     try:
         df = wh.day(table, day)
-        return df if df.limit(1).count() else None
-    except Exception:  # noqa: BLE001 - first run: the table does not exist yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return df if df.limit(1).count() else None
+
+
+def _latest_before(wh: Warehouse, table: str, day: str) -> DataFrame | None:
+    """The latest stored day before ``day``: the day before if it is there, else a look at
+    the table's partitions."""
+    found = _day_or_none(wh, table, day_minus(day, 1))
+    if found is not None:
+        return found
+    try:
+        last = wh.read(table).where(F.col("data_dt") < day).agg(F.max("data_dt")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return wh.day(table, last) if last else None
 
 
 def job_machine_location(wh: Warehouse, day: str, days: int = 30) -> None:
@@ -158,13 +177,14 @@ def job_machine_location(wh: Warehouse, day: str, days: int = 30) -> None:
     the window are kept as a state table, so a day reads only that day's reports."""
     reports = wh.read(LOC_REPORTS)
     prev_day = day_minus(day, 1)
-    state = _day_or_none(wh, LOC_STATE, prev_day)
+    table = LOC_STATE if days == 30 else f"{LOC_STATE}_{days}"   # a state serves one window length
+    state = _day_or_none(wh, table, prev_day)
     if state is not None:
         state = advance_location_state(state, reports, day, days)
     else:
         state = location_state(reports, day_minus(day, days), day)
-    state = wh.write_day(state, LOC_STATE, day)
-    prev = _day_or_none(wh, MAC_LOC, prev_day)
+    state = wh.write_day(state, table, day)
+    prev = _latest_before(wh, MAC_LOC, day)
     wh.write_day(machine_location(reports, prev, day, lookup_enricher(wh.read(LOC_LOOKUP)), days,
                                   votes=votes_from_state(state)), MAC_LOC, day)
 

@@ -90,9 +90,10 @@ def top_location(votes: DataFrame) -> DataFrame:
 
 
 def lookup_enricher(lookup: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Enrichment by a location table with unique (x, y) and the 18 address fields."""
+    """Enrichment by a location table with unique (x, y) and the 18 address fields.  A
+    position that the table lacks gives no row, so yesterday's row of the machine stays."""
     def enrich(top: DataFrame) -> DataFrame:
-        j = top.join(lookup.select("x", "y", *ADDRESS_FIELDS), ["x", "y"], "left")
+        j = top.join(lookup.select("x", "y", *ADDRESS_FIELDS), ["x", "y"])
         # NULL or missing fields become '' (as a blank-if-null rule).
         return j.selectExpr("mid", "x", "y", "cnt", *[f"coalesce(`{c}`, '') AS `{c}`" for c in ADDRESS_FIELDS])
     return enrich
@@ -143,8 +144,8 @@ def service_enricher(call: Callable[[str], str], responses_path: str,
     ``call(location)`` receives one batch's ``lng,lat|lng,lat|...`` string and returns the
     service's JSON body; it runs inside the tasks (``mapInPandas``), one call per batch.
     Responses are written to ``responses_path`` (shared storage) before they are used, so
-    each batch is requested exactly once even if later stages are retried, then joined
-    back by (batch, position)."""
+    later stages never repeat a call; a retried or speculative task of the write itself may,
+    so a batch is requested at least once.  Responses join back by (batch, position)."""
     import pandas as pd
 
     def enrich(top: DataFrame) -> DataFrame:

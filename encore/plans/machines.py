@@ -53,19 +53,27 @@ def machine_locations(addr_rows: DataFrame) -> DataFrame:
             .withColumn("sale_tm", normalise_time14("sale_tm")))
 
 
+def one_per_machine(df: DataFrame) -> DataFrame:
+    """One row per ``mid``: the least of its rows, column by column (NULL first).  A partial
+    aggregate, so a machine with many rows costs one per task."""
+    rest = [c for c in df.columns if c != "mid"]
+    return df.groupBy("mid").agg(F.min(F.struct(*rest)).alias("_row")).select("mid", "_row.*")
+
+
 def machine_dim(mac_a: DataFrame, mac_b: DataFrame, mac_addr: DataFrame, prvc: DataFrame, cty: DataFrame,
                 area: DataFrame, store_map: DataFrame, store: DataFrame,
                 lookup_max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
     """32-column machine dimension.
 
-    The key universe is every machine id known to either system (distinct ids, so a
-    machine listed under two product types is not doubled).  System A's values win over
+    The key universe is every machine id known to either system; each source is cut to one
+    row per machine first, so a machine listed twice is not doubled.  System A's values win over
     system B's for province, city, address, active flag and payment switch.  The region
     and store lookups are broadcast only after a size check."""
     b = (mac_b.withColumn("actv_tm", normalise_time14("actv_tm"))
               .withColumn("order_tm", normalise_time14("order_tm")))
     ids = key_universe([mac_a, b], "mid")
-    loc = machine_locations(mac_addr)
+    mac_a, b, store_map = one_per_machine(mac_a), one_per_machine(b), one_per_machine(store_map.select("mid", "store_id"))
+    loc = one_per_machine(machine_locations(mac_addr))
 
     ycak = (ids.join(mac_a, "mid", "left")
                .join(loc.select("mid", "prvc", "cty", "addr_fmt", "rev_tm", "sale_tm"), "mid", "left")

@@ -11,7 +11,9 @@ from encore.functions.dates import check_day
 # Order type -> abnormality code (1 -> 0 normal, 2 -> 1, 3 and 4 -> 2 refund).
 ORDER_TYPE_CODES = {1: 0, 2: 1, 3: 2, 4: 2}
 ABN_NORMAL, ABN_REFUND = 0, 2
-SHARE_DECIMAL = "decimal(10,4)"
+# Totals are exact decimal sums: wide enough for any total, where decimal(10,4) would turn
+# everything from a million on into NULL.
+AMOUNT, RATE, TOTAL = "decimal(18,4)", "decimal(10,4)", "decimal(38,4)"
 
 CONSUMPTION_COLUMNS = ["id", "trd_id", "uid", "mid", "prdcd_type", "pay_type", "act_tm", "pkg_id", "coin_prc",
                        "coin_cnt", "update_tm", "ordr_id", "actv_nm", "pkg_prc", "pkg_dscnt", "cpn_type", "abn_typ"]
@@ -134,7 +136,7 @@ def merchant_share(stats: DataFrame, base: str = "refund") -> DataFrame:
     amount = F.col("tot_ref") if base == "refund" else F.col("tot_rev")
 
     def share(rate: str) -> Column:
-        return F.sum(amount * F.coalesce(F.col(rate), F.lit(0))).try_cast(SHARE_DECIMAL)
+        return F.sum(amount.cast(AMOUNT) * F.coalesce(F.col(rate), F.lit(0)).cast(RATE)).cast(TOTAL)
 
     return stats.groupBy(F.col("age_id").alias("admin_id"), "pay_type").agg(
         F.sum("rev_ordr_cnt").alias("rev_ordr_cnt"), F.sum("ref_ordr_cnt").alias("ref_ordr_cnt"),
@@ -148,7 +150,7 @@ def region_stats(stats: DataFrame) -> DataFrame:
     package x pay type), as the reference does, not distinct machines."""
     return stats.groupBy("prvc", "cty").agg(
         F.count("mid").alias("mac_cnt"),
-        F.sum("tot_rev").try_cast(SHARE_DECIMAL).alias("mac_rev"),
-        F.sum("tot_ref").try_cast(SHARE_DECIMAL).alias("mac_ref"),
+        F.sum(F.col("tot_rev").cast(AMOUNT)).cast(TOTAL).alias("mac_rev"),
+        F.sum(F.col("tot_ref").cast(AMOUNT)).cast(TOTAL).alias("mac_ref"),
         F.sum("rev_ordr_cnt").alias("mac_rev_ordr_cnt"), F.sum("ref_ordr_cnt").alias("mac_ref_ordr_cnt"),
         F.sum("cnsm_usr_cnt").alias("mac_cnsm_usr_cnt"), F.sum("ref_usr_cnt").alias("mac_ref_usr_cnt"))

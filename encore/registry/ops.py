@@ -48,7 +48,7 @@ def sql_location(name: str, day: str, days: int = 30, extra: str = "") -> str:
         ORDER BY cnt DESC, x ASC NULLS FIRST, y ASC NULLS FIRST) AS rk FROM {name}_votes) v
     WHERE rk = 1 AND x <> '' AND y <> ''),
 {name}_loc AS (SELECT t.mid, t.x, t.y, t.cnt, {fields} FROM {name}_top t
-    LEFT JOIN loc_lookup l ON t.x = l.x AND t.y = l.y)"""
+    JOIN loc_lookup l ON t.x = l.x AND t.y = l.y)"""
 
 
 def sql_merge(new: str, old: str) -> str:
@@ -359,7 +359,7 @@ R.add("machine_stats", sql_with(STAT_T, f""", {SQL_STATS}
 
 
 def _share_sql(base: str) -> str:
-    sh = ", ".join(f"TRY_CAST(sum({base} * coalesce({r}, 0)) AS DECIMAL(10,4)) AS tot_{n}_rev"
+    sh = ", ".join(f"CAST(sum(CAST({base} AS DECIMAL(18,4)) * CAST(coalesce({r}, 0) AS DECIMAL(10,4))) AS DECIMAL(38,4)) AS tot_{n}_rev"
                    for r, n in (("inv_rate", "inv"), ("age_rate", "age"), ("com_rate", "com"), ("par_rate", "par")))
     return (f"SELECT age_id AS admin_id, pay_type, CAST(sum(rev_ordr_cnt) AS BIGINT) AS rev_ordr_cnt, "
             f"CAST(sum(ref_ordr_cnt) AS BIGINT) AS ref_ordr_cnt, {r4('CAST(sum(tot_rev) AS DOUBLE)')} AS tot_rev, "
@@ -372,18 +372,18 @@ R.add("merchant_share", sql_with(STAT_T, f", {SQL_STATS} " + _share_sql("tot_ref
 R.add("merchant_share_revenue", sql_with(STAT_T, f", {SQL_STATS} " + _share_sql("tot_rev")))(
     lambda spark, d: money4(merchant_share(stats(spark, d), base="revenue"), "tot_rev", "tot_ref"))
 
-SQL_REGION = """SELECT prvc, cty, count(mid) AS mac_cnt, TRY_CAST(sum(tot_rev) AS DECIMAL(10,4)) AS mac_rev,
-    TRY_CAST(sum(tot_ref) AS DECIMAL(10,4)) AS mac_ref, CAST(sum(rev_ordr_cnt) AS BIGINT) AS mac_rev_ordr_cnt,
+SQL_REGION = """SELECT prvc, cty, count(mid) AS mac_cnt, CAST(sum(CAST(tot_rev AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS mac_rev,
+    CAST(sum(CAST(tot_ref AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS mac_ref, CAST(sum(rev_ordr_cnt) AS BIGINT) AS mac_rev_ordr_cnt,
     CAST(sum(ref_ordr_cnt) AS BIGINT) AS mac_ref_ordr_cnt, CAST(sum(cnsm_usr_cnt) AS BIGINT) AS mac_cnsm_usr_cnt,
     CAST(sum(ref_usr_cnt) AS BIGINT) AS mac_ref_usr_cnt FROM stats GROUP BY prvc, cty"""
 
 R.add("region_stats", sql_with(STAT_T, f", {SQL_STATS} " + SQL_REGION))(lambda spark, d: region_stats(stats(spark, d)))
 
 R.add("decimal_totals", sql_with(STAT_T, f""", {SQL_STATS}
-    SELECT prvc, TRY_CAST(floor(sum(tot_rev)) / 1000 AS DECIMAL(10,4)) AS rev_k,
-        TRY_CAST(sum(tot_ref) AS DECIMAL(10,4)) AS ref, round(CAST(sum(tot_rev) AS DOUBLE), 4) AS rev
+    SELECT prvc, CAST(floor(sum(tot_rev)) / 1000 AS DECIMAL(38,4)) AS rev_k,
+        CAST(sum(CAST(tot_ref AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS ref, round(CAST(sum(tot_rev) AS DOUBLE), 4) AS rev
     FROM stats GROUP BY prvc"""))(
     lambda spark, d: stats(spark, d).groupBy("prvc").agg(
-        (F.floor(F.sum("tot_rev")) / 1000).try_cast("decimal(10,4)").alias("rev_k"),
-        F.sum("tot_ref").try_cast("decimal(10,4)").alias("ref"),
+        (F.floor(F.sum("tot_rev")) / 1000).cast("decimal(38,4)").alias("rev_k"),
+        F.sum(F.col("tot_ref").cast("decimal(18,4)")).cast("decimal(38,4)").alias("ref"),
         F.round(F.sum("tot_rev").cast("double"), 4).alias("rev")))

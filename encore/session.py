@@ -68,12 +68,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             conf_dir = None
     if not conf_dir:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("name a folder that all machines share in spark.checkpoint.dir")
         conf_dir = tempfile.mkdtemp(prefix="encore-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never a machine-local path)."""
+    """A fresh folder under the shared checkpoint folder (on a cluster the one that spark.checkpoint.dir names)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/scratch/{name}-{uuid.uuid4().hex[:12]}"

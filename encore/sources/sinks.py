@@ -56,5 +56,5 @@ def export_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, st
     connection, so ``num_partitions`` (default 8; ``None`` keeps the DataFrame's
     partitioning) caps concurrent connections to the database; marts are small after
     aggregation."""
-    out = df.coalesce(num_partitions) if num_partitions else df
+    out = df.repartition(num_partitions) if num_partitions else df
     out.write.mode(mode).jdbc(url, table, properties=dict(properties or {}))
