@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 
 from encore.llm.common import importable, slices
 
-WORD_CACHE = 200_000  # entries in a generation of a worker's caches: a bound on memory, not on the input
+WORD_CACHE = 100_000  # entries in a generation of a worker's caches: a bound on memory, not on the input
 _END = "\0"  # stands for the word-end suffix while matching
 SCHEMA = "doc_id long, n_tokens long, ids array<int>, decoded string"
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

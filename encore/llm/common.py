@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from encore.session import scratch_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-SLICE_BYTES = 4 << 20  # text handled at once inside a task; a longer document is a slice of its own
+SLICE_BYTES = 1 << 20  # text handled at once inside a task; a longer document is a slice of its own
 BASE = np.uint64(0x9E3779B97F4A7C13)  # odd, 3 mod 8: multiplier of the rolling hash modulo 2**64
 _POWERS: dict[str, np.ndarray] = {}
 

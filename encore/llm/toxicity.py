@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from encore.llm.common import importable, slices
 
 SCHEMA = "doc_id long, severity double, p_toxic double, grade int, toxic boolean"
-MEMORY = 200_000  # words whose features a worker remembers
+MEMORY = 100_000  # words whose features a worker remembers
 _WORD = re.compile(r"[^\W\d_]+")
 
 
