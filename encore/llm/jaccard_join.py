@@ -41,7 +41,8 @@ SHINGLE = 5
 PERCENT = 80
 BLOCK = 512
 BLOCK_SHINGLES = 1 << 20
-MAX_BROADCAST_BYTES = 16 << 20  # digests of the sets that stay; beyond it they join by a shuffle
+MAX_BROADCAST_BYTES = 16 << 20  # keys of the sets that stay, or their groups; beyond it they join by a shuffle
+KEY_BYTES, PLACE_BYTES = 32, 64  # of a row of either
 OFTEN = 8  # sets of a slice from which a shared shingle is counted in place
 SID = "struct<a:bigint,b:bigint>"
 
@@ -268,6 +269,7 @@ def _blocks(members: DataFrame, percent: int) -> DataFrame:
     outside the largest component against all."""
     n = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("long")
     cut = members.withColumn("blocks", n).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")))
+    cut = stored(cut, "jaccard-cut")  # read by each of the steps below
     meets = F.when(F.col("block") == 0, F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
     name = _key(F.col("root.a"), F.col("root.b"), F.lit("first"), F.col("meet"))
     edges = stored(_search(cut.withColumn("meet", F.explode(meets)).withColumn("key", name), percent), "jaccard-first")
@@ -289,7 +291,8 @@ def _blocks(members: DataFrame, percent: int) -> DataFrame:
 def _labels(identity: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(sid, root): sets that link with another one and their component."""
     spark = texts.sparkSession
-    sets = identity.where("n > 0").groupBy("sid", "n").agg(F.min(F.struct("k1", "k2")).alias("k"))
+    # One row stands for a set, so that copies of its text are not read again.
+    sets = identity.where("n > 0").groupBy("sid", "n").agg(F.min(F.struct("k1", "k2", "doc_id")).alias("k"))
     rows = texts.select("text").mapInArrow(_prefixes(size, percent), "route long, a long, n int")
     credit = (rows.repartition("route").sortWithinPartitions("route", F.col("n").desc(), "a").mapInArrow(_credits, "a long, credit long")
               .groupBy("a").agg(F.sum("credit").alias("credit")))
@@ -297,12 +300,12 @@ def _labels(identity: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") / 10) * percent / 100))
     staying = stored(sets.join(credit, sets["sid.a"] == credit["a"]).where(F.col("credit") >= least).select("sid", "n", "k.*"), "jaccard-staying")
     release(spark)
-    wanted = staying.select("k1", "k2").distinct()
-    if staying.count() * 24 <= MAX_BROADCAST_BYTES:
+    wanted = staying.select("k1", "k2", F.col("doc_id").alias("id")).distinct()
+    if staying.count() * KEY_BYTES <= MAX_BROADCAST_BYTES:
         wanted = F.broadcast(wanted)
-    held = texts.select("text", "k1", "k2").join(wanted, ["k1", "k2"]).select("text")
+    held = texts.join(wanted, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("id"))).select("text")
     full = held.mapInArrow(_full_sets(size), f"sid {SID}, n long, shingles array<bigint>")
-    full = stored(full.dropDuplicates(["sid"]), "jaccard-sets")  # copies of a text come more than once
+    full = stored(full.dropDuplicates(["sid"]), "jaccard-sets")  # a row that is repeated with its id comes more than once
     release(spark)
     # Half of the digest names a set here: were two sets to share it, each would only get
     # the other's shingles on top of its own prefix.
@@ -320,7 +323,7 @@ def _labels(identity: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     member = member.join(full.select("sid", "n"), "sid")
     weights = member.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("weight"))
     placed = stored(member.join(weights, "root"), "jaccard-members")  # the sets themselves join once, below
-    members = full.select("sid", "shingles").join(placed, "sid")
+    members = full.select("sid", "shingles").join(F.broadcast(placed) if placed.count() * PLACE_BYTES <= MAX_BROADCAST_BYTES else placed, "sid")
     large = (F.col("members") > BLOCK) | ((F.col("weight") > 2 * BLOCK_SHINGLES) & (F.col("members") > 2))
     edges = stored(_search(members.where(~large).withColumn("key", _key(F.col("root.a"), F.col("root.b"))), percent), "jaccard-links")
     out = edges.select(F.col("a").alias("sid"), F.col("b").alias("root"))
