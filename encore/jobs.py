@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import argparse
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -27,26 +27,26 @@ from pyspark.sql import functions as F
 from encore.functions.dates import check_day, day_minus
 from encore.plans.client_log import PLAY_EVENT, fanout_records, parse_client_log, play_table
 from encore.plans.influence import TOP_EXPORT, singer_influence, song_influence
-from encore.plans.location import (advance_location_state, location_state, lookup_enricher, machine_location,
+from encore.plans.location import (combine_location_partials, location_state, lookup_enricher, machine_location,
                                    votes_from_state)
 from encore.plans.machines import machine_dim
 from encore.plans.money import consumption_detail, machine_stats, merchant_share, region_stats
-from encore.operators.windows import advance_window_state, window_state
+from encore.operators.windows import combine_window_partials, window_state
 from encore.plans.songs import song_dim, song_features_from_state
 from encore.plans.users import active_users, channel_union, newly_active_users
-from encore.sources.scans import scan_day, scan_day_range
+from encore.sources.scans import scan_day_range
 from encore.sources.sinks import export_jdbc, fanout_by_key, stamp_date, write_day, write_snapshot
 
 # Table names (folders under the warehouse root).
 PLAYS = "to_client_song_play_operate_req_d"
 SONG_SRC, SONG_DIM, SONG_FTUR = "to_song_info_d", "tw_song_baseinfo_d", "tw_song_ftur_d"
-SONG_STATE = "tw_song_window_state_d"      # kept 30-day window state of the play log
+SONG_STATE = "tw_song_day_partial_d"       # one partial aggregate per day of the play log
 SONG_RSI, SINGER_RSI = "tw_song_rsi_d", "tw_singer_rsi_d"
 MAC_A, MAC_B, MAC_ADDR = "to_ycak_mac_d", "to_ycbk_mac_admin_map_d", "to_ycak_mac_loc_d"
 PRVC, CITY, AREA, STORE_MAP, STORE = ("to_ycbk_prvc_d", "to_ycbk_city_d", "to_ycbk_area_d", "to_ycbk_mac_store_map_d",
                                       "to_ycbk_store_d")
 MAC_DIM, LOC_REPORTS, LOC_LOOKUP, MAC_LOC = "tw_mac_baseinfo_d", "to_ycak_usr_loc_d", "to_loc_lookup", "tw_mac_loc_d"
-LOC_STATE = "tw_mac_loc_report_state_d"   # kept distinct reports of the location window
+LOC_STATE = "tw_mac_loc_day_partial_d"    # distinct location reports of each day
 CNSM, CNSM_BRIEF, MAC_STAT = "to_ycak_cnsm_d", "tw_cnsm_brief_d", "tw_mac_stat_d"
 USR_WX, USR_ALI, USR_QQ, USR_APP, LOGINS = ("to_ycak_usr_d", "to_ycak_usr_ali_d", "to_ycak_usr_qq_d",
                                              "to_ycak_usr_app_d", "to_ycak_usr_login_d")
@@ -110,19 +110,41 @@ def job_song_dim(wh: Warehouse, day: str | None = None) -> None:
     write_snapshot(song_dim(wh.read(SONG_SRC)), wh.path(SONG_DIM))
 
 
-def job_song_features(wh: Warehouse, day: str) -> None:
-    """Song features of ``day``.
-
-    The 30-day window is kept as a compact state table (one row per song-day, song-user
-    and song-order).  When yesterday's state exists, only today's plays are read and
-    folded in; otherwise the state is built from the whole window once."""
-    plays = wh.read(PLAYS).select(F.col("songid").cast("string").alias("song_id"), "uid", "order_id", "data_dt")
-    prev = _day_or_none(wh, SONG_STATE, day_minus(day, 1))
-    if prev is not None:
-        state = advance_window_state(prev, scan_day(plays, day), day)
+def _partials(wh: Warehouse, table: str, source: DataFrame, build: Callable[..., DataFrame], day: str, days: int,
+              changed: Sequence[str] = ()) -> DataFrame:
+    """The day partials of ``[day-days, day]``, one immutable partition per day.  The day
+    itself, days never stored and those named in ``changed`` are built from the source;
+    no other day of it is read, and nothing stored for another day is written again."""
+    window = [day_minus(day, k) for k in range(days, -1, -1)]
+    schema = build(source, day, day, by_day=True).schema
+    have: set[str] = set()
+    try:
+        wh.read(table)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
     else:
-        state = window_state(plays, day_minus(day, 30), day)
-    state = wh.write_day(state, SONG_STATE, day)          # stored: the next day starts from it
+        stored = wh.spark.read.schema(schema).parquet(wh.path(table))
+        have = {r[0] for r in stored.where(F.col("data_dt").between(window[0], day)).select("data_dt").distinct().collect()}
+    todo = [d for d in window if d == day or d not in have or d in changed]
+    built = build(source.where(F.col("data_dt").isin(todo)), window[0], day, by_day=True)
+    # Empty the stored days first (an empty day counts as not stored, so a run that fails here
+    # is made good by the next): a day whose source has lost all its rows keeps none of before.
+    for d in set(todo) & have:
+        empty = wh.spark.createDataFrame([], schema).drop("data_dt")
+        write_snapshot(empty, f"{wh.path(table)}/data_dt={d}")
+    (built.hint("rebalance", "data_dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("data_dt").parquet(wh.path(table)))
+    return wh.spark.read.schema(schema).parquet(wh.path(table)).where(F.col("data_dt").between(window[0], day))
+
+
+def job_song_features(wh: Warehouse, day: str, changed: Sequence[str] = ()) -> None:
+    """Song features of ``day`` from one partial aggregate per day of the 30-day window.
+
+    Only days without a partial, ``day`` itself and the ``changed`` days of the play log
+    are read; a corrected past day is built anew by naming it (or by its own run)."""
+    plays = wh.read(PLAYS).select(F.col("songid").cast("string").alias("song_id"), "uid", "order_id", "data_dt")
+    state = combine_window_partials(_partials(wh, SONG_STATE, plays, window_state, day, 30, changed))
     songs = wh.read(SONG_DIM).withColumn("nbr", F.col("nbr").cast("string"))
     wh.write_day(song_features_from_state(state, songs, day), SONG_FTUR, day)
 
@@ -172,18 +194,11 @@ def _latest_before(wh: Warehouse, table: str, day: str) -> DataFrame | None:
     return wh.day(table, last) if last else None
 
 
-def job_machine_location(wh: Warehouse, day: str, days: int = 30) -> None:
-    """Location snapshot of ``day`` merged over yesterday's.  The distinct reports of
-    the window are kept as a state table, so a day reads only that day's reports."""
+def job_machine_location(wh: Warehouse, day: str, days: int = 30, changed: Sequence[str] = ()) -> None:
+    """Location snapshot of ``day`` merged over the latest earlier one, from one partial
+    of distinct reports per day; any window length is made from the same partials."""
     reports = wh.read(LOC_REPORTS)
-    prev_day = day_minus(day, 1)
-    table = LOC_STATE if days == 30 else f"{LOC_STATE}_{days}"   # a state serves one window length
-    state = _day_or_none(wh, table, prev_day)
-    if state is not None:
-        state = advance_location_state(state, reports, day, days)
-    else:
-        state = location_state(reports, day_minus(day, days), day)
-    state = wh.write_day(state, table, day)
+    state = combine_location_partials(_partials(wh, LOC_STATE, reports, location_state, day, days, changed))
     prev = _latest_before(wh, MAC_LOC, day)
     wh.write_day(machine_location(reports, prev, day, lookup_enricher(wh.read(LOC_LOOKUP)), days,
                                   votes=votes_from_state(state)), MAC_LOC, day)
@@ -244,6 +259,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--log-path", help="raw log files (client_log job)")
     p.add_argument("--event", default=PLAY_EVENT)
     p.add_argument("--files-per-key", type=int, default=None, help="client_log: max files per event folder")
+    p.add_argument("--days", type=int, default=30, help="machine_location: length of the window")
+    p.add_argument("--changed-days", default="", help="song_features, machine_location: past days corrected since, comma-joined")
     p.add_argument("--jdbc-url", default=os.environ.get("ENCORE_JDBC_URL"))
     p.add_argument("--jdbc-user", default=os.environ.get("ENCORE_JDBC_USER"))
     p.add_argument("--jdbc-password-env", default="ENCORE_JDBC_PASSWORD",
@@ -251,6 +268,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--jdbc-driver", default=None)
     a = p.parse_args(argv)
     check_day(a.day)                     # validate before starting Spark
+    changed = [check_day(d) for d in a.changed_days.split(",") if d]
 
     from encore.session import build_session, ensure_checkpoint_dir
 
@@ -265,6 +283,10 @@ def main(argv: list[str] | None = None) -> None:
         job_client_log(wh, a.day, a.log_path, a.event, a.files_per_key)
     elif a.job == "all":
         run_day(wh, a.day)
+    elif a.job == "song_features":
+        job_song_features(wh, a.day, changed)
+    elif a.job == "machine_location":
+        job_machine_location(wh, a.day, a.days, changed)
     else:
         JOBS[a.job](wh, a.day)
 

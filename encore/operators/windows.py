@@ -26,16 +26,17 @@ STATE_COLUMNS = ["_k", "kind", "kd", "ku", "ko", "n", "last"]
 
 
 def window_state(plays: DataFrame, start: str, end: str, key: str = "song_id", user: str = "uid",
-                 order: str = "order_id", day_col: str = "data_dt") -> DataFrame:
-    """Compact state of the plays in ``[start, end]``: one row per (key, day) with its play
+                 order: str = "order_id", day_col: str = "data_dt", by_day: bool = False) -> DataFrame:
+    """State of the plays in ``[start, end]``: one row per (key, day) with its play
     count, per (key, user) and per (key, order) with the last day seen (``yyyyMMdd`` as int).
 
     Every play becomes three keyed rows (``inline``) aggregated once by
     ``(key, kind, value)`` with a map-side partial aggregate; the int day keeps the
-    buffers fixed-width (hash aggregation)."""
+    buffers fixed-width (hash aggregation).  ``by_day`` keeps one partial per day, with
+    ``data_dt``; ``combine_window_partials`` makes the state from them."""
     d = F.col(day_col)
     base = plays.where(d.between(check_day(start), check_day(end))).select(
-        F.col(key).alias("_k"), F.col(user).alias("_u"), F.col(order).alias("_o"), d.try_cast("int").alias("_d"))
+        F.col(key).alias("_k"), F.col(user).alias("_u"), F.col(order).alias("_o"), d.try_cast("int").alias("_d"), *([d.alias("data_dt")] if by_day else []))
     utype = dict(base.dtypes)["_u"]
     otype = dict(base.dtypes)["_o"]
 
@@ -44,17 +45,23 @@ def window_state(plays: DataFrame, start: str, end: str, key: str = "song_id", u
                         ku.cast(utype).alias("ku"), ko.cast(otype).alias("ko"))
 
     null = F.lit(None)
-    keyed = base.select("_k", "_d", F.inline(F.array(
+    split = ["data_dt"] if by_day else []
+    keyed = base.select("_k", "_d", *split, F.inline(F.array(
         entry(_KIND_DAY, F.col("_d"), null, null),
         entry(_KIND_USER, null, F.col("_u"), null),
         entry(_KIND_ORDER, null, null, F.col("_o")),
     )))
     # n: plays of a (key, day) row; NULL on user/order rows, whose last day is all that
     # matters - so a kept state never carries counts from days that left the window.
-    return keyed.groupBy("_k", "kind", "kd", "ku", "ko").agg(
+    return keyed.groupBy("_k", "kind", "kd", "ku", "ko", *split).agg(
         F.sum(F.when(F.col("kind") == _KIND_DAY, F.lit(1))).alias("n"), F.max("_d").alias("last"))
 
 
+def combine_window_partials(partials: DataFrame) -> DataFrame:
+    """The window state of the days whose partials are given."""
+    return partials.groupBy("_k", "kind", "kd", "ku", "ko").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+
+
 def advance_window_state(state: DataFrame, plays: DataFrame, day: str, longest: int = 30, key: str = "song_id",
                          user: str = "uid", order: str = "order_id", day_col: str = "data_dt") -> DataFrame:
     """Yesterday's state -> today's: drop what left ``[day-longest, day]``, fold in the

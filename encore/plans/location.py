@@ -52,14 +52,20 @@ RESPONSE_SCHEMA = (
     "distance: string>, businessAreas: string>>>")
 
 
-def location_state(reports: DataFrame, start: str, end: str) -> DataFrame:
+def location_state(reports: DataFrame, start: str, end: str, by_day: bool = False) -> DataFrame:
     """Distinct (user, machine, lat, lng) reports of ``[start, end]`` with the last day seen
-    (``yyyyMMdd`` as int) - the state the votes are counted from."""
+    (``yyyyMMdd`` as int) - the state the votes are counted from.  ``by_day`` keeps one
+    partial per day, with ``data_dt``."""
     return (reports.where(F.col("data_dt").between(check_day(start), check_day(end)))
-                   .groupBy("uid", "mid", "lat", "lng")
+                   .groupBy("uid", "mid", "lat", "lng", *(["data_dt"] if by_day else []))
                    .agg(F.max(F.col("data_dt").try_cast("int")).alias("last")))
 
 
+def combine_location_partials(partials: DataFrame) -> DataFrame:
+    """The location state of the days whose partials are given."""
+    return partials.groupBy("uid", "mid", "lat", "lng").agg(F.max("last").alias("last"))
+
+
 def advance_location_state(state: DataFrame, reports: DataFrame, day: str, days: int = 30) -> DataFrame:
     """Yesterday's state -> today's: drop reports older than ``day-days``, fold in the
     reports of ``day`` only (reads one day instead of ``days + 1``)."""

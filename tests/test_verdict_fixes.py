@@ -50,3 +50,38 @@ def test_missing_day_and_read_error(spark, tmp_path):
     with pytest.raises(Exception) as e:
         J._day_or_none(wh, "t", "20240102")
     assert not isinstance(e.value, AnalysisException) or e.value.getCondition() != "PATH_NOT_FOUND"
+
+
+def test_a_corrected_past_day_and_a_longer_window(spark, tmp_path):
+    from encore.plans.location import combine_location_partials, location_state
+
+    wh = J.Warehouse(spark, str(tmp_path))
+    cols = "uid string, mid string, lat string, lng string, data_dt string"
+
+    def reports(*rows):
+        return spark.createDataFrame([(u, "m", "1", "2", d) for u, d in rows], cols)
+
+    def users(source, day, days=30, changed=()):
+        parts = J._partials(wh, J.LOC_STATE, source, location_state, day, days, changed)
+        return sorted((r.uid, r["last"]) for r in combine_location_partials(parts).collect())
+
+    first = reports(("a", "20231201"), ("b", "20240101"), ("c", "20240130"))
+    assert users(first, "20240130") == [("b", 20240101), ("c", 20240130)]
+    assert users(first, "20240131") == [("b", 20240101), ("c", 20240130)]      # [D-30, D]
+    assert users(first, "20240201") == [("c", 20240130)]                       # b has left the window
+    late = reports(("a", "20231201"), ("d", "20240130"))
+    assert users(late, "20240131", changed=["20240130"]) == [("b", 20240101), ("d", 20240130)]
+    gone = reports(("a", "20231201"))
+    assert users(gone, "20240131", changed=["20240130"]) == [("b", 20240101)]
+    assert users(gone, "20240131", days=61) == [("a", 20231201), ("b", 20240101)]
+
+
+def test_gzip_log(spark, tmp_path):
+    import gzip
+
+    from encore.sources.scans import scan_text_log
+
+    (tmp_path / "log").mkdir()
+    with gzip.open(tmp_path / "log" / "a.gz", "wt") as f:
+        f.write("one\ntwo\n")
+    assert sorted(r[0] for r in scan_text_log(spark, str(tmp_path / "log")).collect()) == ["one", "two"]
