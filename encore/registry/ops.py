@@ -230,7 +230,7 @@ SQL_REF = _sql_rev("ref", 2, "ref_usr_cnt", "tot_ref", "ref_ordr_cnt")
 R.add("consumption_detail", sql_with(["cnsm"], f", {SQL_BRIEF} SELECT * FROM brief"))(
     lambda spark, d: consumption_detail(S(spark, d, "cnsm")))
 
-CNSM_DAY = "19950601"     # a ship day present at every scale of the driver tables
+CNSM_DAY = "20240115"
 R.add("consumption_day", sql_with(["cnsm"], f""", {SQL_BRIEF.replace('FROM cnsm)', f"FROM cnsm WHERE data_dt = '{CNSM_DAY}')")}
     SELECT * FROM brief"""))(lambda spark, d: consumption_detail(S(spark, d, "cnsm"), CNSM_DAY))
 

@@ -13,21 +13,26 @@ import re
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from encore.session import scratch_path
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
-_DAY = "replace(CAST(CAST({col} AS DATE) AS STRING), '-', '')"
+# Day of an event: two events in three are moved back 12 or 24 days, so that the log
+# reaches past the lower end of the 30-day window and every bound has rows beyond it.
+_EVENT_DAY = "replace(CAST(CAST(ts AS DATE) - CAST(event_id % 3 * 12 AS INT) AS STRING), '-', '')"
+# Machine of an event: ten machines for every fifteen users, as many as there are suppliers.
+_EVENT_MID = "CAST(floor(user_id / 15) AS BIGINT) * 10 + event_id % 10"
 
 STANDINS: dict[str, str] = {}
 
-# Play log: one row per play; props.k (0-99) is the song.
+# Play log: one row per play; props.k (0-99) and the user's group of 75 give the song.
 STANDINS["plays"] = f"""
-SELECT CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS song_id,
-       event_id % 10 AS mid, event_type AS operate_type, user_id AS uid,
+SELECT CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) + 100 * CAST(floor(user_id / 75) AS BIGINT) AS song_id,
+       {_EVENT_MID} AS mid, event_type AS operate_type, user_id AS uid,
        CAST(floor(event_id / 3) AS BIGINT) AS order_id, value AS dur_time,
-       {_DAY.format(col='ts')} AS data_dt
+       {_EVENT_DAY} AS data_dt
 FROM {{events}}
 """
 
@@ -72,30 +77,41 @@ SELECT CASE WHEN p_partkey % 11 = 0 THEN '' ELSE CAST(p_partkey AS STRING) END A
 FROM {part}
 """
 
-# Raw client log lines: 6 '&'-separated fields, field 2 the event name, field 3 JSON;
-# every 11th line has a field too many.
-STANDINS["client_log"] = """
+# Raw client log lines: 6 '&'-separated fields, field 2 the event name, field 3 JSON.
+# Every 11th line has a field too many and every 7th ends in empty fields; some payloads are
+# cut off, no JSON at all, or a list; each optional key is missing from some.
+STANDINS["client_log"] = f"""
 SELECT concat(CAST(event_id AS STRING), '&', event_type, '&',
               CASE WHEN event_type = 'error' THEN 'OTHER_EVENT' ELSE 'SONG_PLAY' END, '&',
-              '{"songid":"', regexp_extract(props, '([0-9]+)', 1), '","mid":"', CAST(event_id % 10 AS STRING),
-              '","optrate_type":"', event_type, '","uid":"', CAST(user_id AS STRING), '"}',
-              '&v1&end', CASE WHEN event_id % 11 = 0 THEN '&extra' ELSE '' END) AS line
-FROM {events}
+              CASE WHEN event_id % 13 = 0 THEN 'no payload'
+                   WHEN event_id % 17 = 0 THEN concat('{{"songid":"', CAST(event_id AS STRING))
+                   WHEN event_id % 19 = 0 THEN concat('[{{"songid":"', CAST(event_id AS STRING), '"}}]')
+                   ELSE concat(
+              '{{"songid":"', regexp_extract(props, '([0-9]+)', 1), '","mid":"', CAST({_EVENT_MID} AS STRING),
+              '","optrate_type":"', event_type, '","uid":"', CAST(user_id AS STRING), '"',
+              CASE WHEN event_id % 2 = 0 THEN ',"consume_type":"coin","pkg_id":"p 1"' ELSE '' END,
+              CASE WHEN event_id % 3 > 0 THEN concat(',"play_time":"', replace(CAST(CAST(ts AS DATE) AS STRING), '-', ''), '"') ELSE '' END,
+              CASE WHEN event_id % 5 > 0 THEN concat(',"session_id":"s', CAST(user_id AS STRING), '","songname":"n', event_type, '"') ELSE '' END,
+              CASE WHEN event_id % 4 > 0 THEN concat(',"dur_time":"', CAST(event_id % 300 AS STRING), '"') ELSE '' END,
+              CASE WHEN event_id % 6 > 0 THEN concat(',"order_id":"', CAST(CAST(floor(event_id / 3) AS BIGINT) AS STRING), '"') ELSE '' END,
+              '}}') END,
+              '&v1&end', CASE WHEN event_id % 11 = 0 THEN '&extra' WHEN event_id % 7 = 0 THEN '&&' ELSE '' END) AS line
+FROM {{events}}
 """
 
-# Machine system A (booth hardware).
+# Machine system A (booth hardware).  Machines that other systems lack carry another id.
 STANDINS["mac_a"] = """
-SELECT s_suppkey AS mid, concat('SRL', CAST(s_suppkey AS STRING)) AS srl_id,
+SELECT CASE WHEN s_acctbal >= 1000 THEN s_suppkey ELSE s_suppkey + 1000000 END AS mid, concat('SRL', CAST(s_suppkey AS STRING)) AS srl_id,
        concat('HW', CAST(s_nationkey AS STRING)) AS hard_id,
        concat('w', CAST(s_suppkey % 3 AS STRING)) AS song_whse_ver, 'e1' AS exec_ver, 'u1' AS ui_ver,
        CASE WHEN s_suppkey % 2 = 0 THEN '1' END AS sts, '20240130101010' AS cur_login_tm,
        CASE WHEN s_suppkey % 3 = 0 THEN '1' END AS pay_sw, '1' AS is_online
-FROM {supplier} WHERE s_acctbal >= 1000
+FROM {supplier}
 """
 
 # Machine system B (contracts, shares, scene).
 STANDINS["mac_b"] = """
-SELECT s_suppkey AS mid, 2 AS prdct_type, s_name AS mac_nm,
+SELECT CASE WHEN s_acctbal < 5000 THEN s_suppkey ELSE s_suppkey + 2000000 END AS mid, 2 AS prdct_type, s_name AS mac_nm,
        CASE WHEN s_suppkey % 5 = 0 THEN '联营版' ELSE 'std' END AS pkg_nm,
        CAST(CASE WHEN s_suppkey % 3 = 0 THEN 100.0 WHEN s_suppkey % 3 = 1 THEN 40.0 END AS DOUBLE) AS inv_rate,
        CAST(CASE WHEN s_suppkey % 2 = 0 THEN 20.0 END AS DOUBLE) AS age_rate,
@@ -106,7 +122,7 @@ SELECT s_suppkey AS mid, 2 AS prdct_type, s_name AS mac_nm,
        '0' AS had_mpay_func, n_regionkey AS scene_prvc_id, s_nationkey AS scene_cty_id,
        n_regionkey AS scene_area_id,
        CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE concat(n_name, ' road ') END AS scene_addr, s_name AS ground_nm
-FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey WHERE s_acctbal < 5000
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
 """
 
 # Machine address rows; text 'null' marks a missing province/city.
@@ -136,7 +152,10 @@ FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_re
 STANDINS["prvc_lookup"] = "SELECT r_regionkey AS prvc_id, r_name AS prvc FROM {region}"
 STANDINS["cty_lookup"] = "SELECT n_nationkey AS cty_id, n_name AS cty FROM {nation}"
 STANDINS["area_lookup"] = "SELECT r_regionkey AS area_id, concat(r_name, ' area') AS area FROM {region}"
-STANDINS["store_map"] = "SELECT s_suppkey AS mid, s_nationkey AS store_id FROM {supplier} WHERE s_acctbal >= 2000"
+STANDINS["store_map"] = """
+SELECT CASE WHEN s_acctbal >= 2000 THEN s_suppkey ELSE s_suppkey + 3000000 END AS mid, s_nationkey AS store_id
+FROM {supplier}
+"""
 STANDINS["store"] = """
 SELECT n_nationkey AS id, concat('store ', n_name) AS ground_nm, concat('tag', CAST(n_regionkey AS STRING)) AS tag_nm,
        'subtag' AS sub_tag_nm, 'catgy' AS sub_scene_catgy_nm, 'scene' AS sub_scene_nm,
@@ -155,21 +174,22 @@ SELECT s_suppkey AS mid, s_name AS mac_nm, r_name AS prvc, n_name AS cty,
 FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
 """
 
-# Consumption source: one row per order line; amounts may be negative.
+# Consumption source: one row per order line over the last 30 days; amounts may be negative.
+_LINE_DAY = "replace(CAST(CAST('2024-01-30' AS DATE) - CAST(l_orderkey % 30 AS INT) AS STRING), '-', '')"
 STANDINS["cnsm"] = f"""
 SELECT l_orderkey * 10 + l_linenumber AS id, CAST(NULL AS STRING) AS trd_id,
        o_custkey AS uid, l_suppkey AS mid, l_linestatus AS prdcd_type, l_returnflag AS pay_type,
-       concat({_DAY.format(col='l_shipdate')}, '120000') AS act_tm, l_linenumber AS pkg_id,
+       concat({_LINE_DAY}, '120000') AS act_tm, l_linenumber AS pkg_id,
        CASE WHEN l_linestatus = 'F' THEN -l_extendedprice ELSE l_extendedprice END AS amt,
        l_orderkey AS ordr_id, CAST(NULL AS STRING) AS actv_nm, l_extendedprice AS pkg_prc,
        l_discount AS pkg_dscnt, CAST(NULL AS STRING) AS cpn_type, 1 + l_partkey % 4 AS ordr_type,
-       {_DAY.format(col='l_shipdate')} AS data_dt
+       {_LINE_DAY} AS data_dt
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
 """
 
 # Registered users, one sign-up channel per market segment.
 STANDINS["users"] = """
-SELECT c_custkey AS uid, c_custkey % 10 AS reg_mid, c_name AS ref_uid,
+SELECT c_custkey AS uid, CAST(floor(c_custkey / 15) AS BIGINT) AS reg_mid, c_name AS ref_uid,
        CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '1' WHEN 'MACHINERY' THEN '2' WHEN 'FURNITURE' THEN '3' ELSE '4' END AS channel,
        CAST(c_nationkey % 4 AS STRING) AS gdr, '19900101' AS birthday,
        concat('138', CAST(c_custkey AS STRING)) AS msisdn, CAST(c_nationkey AS STRING) AS loc_id,
@@ -181,19 +201,18 @@ SELECT c_custkey AS uid, c_custkey % 10 AS reg_mid, c_name AS ref_uid,
 FROM {customer}
 """
 
-# Users seen per day: logins with a high-value purchase (sparse, so that "seen once in 8
-# days" keeps some users).
+# Users seen per day; every login user stands for ten registered ones, so that "seen once
+# in 8 days" keeps some of them.
 STANDINS["logins"] = f"""
-SELECT DISTINCT user_id AS uid, {_DAY.format(col='ts')} AS data_dt
-FROM {{events}} WHERE event_type = 'purchase' AND value >= 80
+SELECT DISTINCT user_id * 10 + event_id % 10 AS uid, {_EVENT_DAY} AS data_dt FROM {{events}}
 """
 
-# Location reports; about one in twenty is blank.
+# Location reports; about one in twenty is blank, and some positions are not in the lookup.
 STANDINS["loc_reports"] = f"""
-SELECT user_id AS uid, event_id % 10 AS mid,
-       CASE WHEN event_id % 10 = 7 AND user_id % 2 = 0 THEN '' ELSE CAST(30 + user_id % 4 AS STRING) END AS lat,
-       CASE WHEN event_id % 10 = 7 AND user_id % 2 = 0 THEN '' ELSE CAST(120 + user_id % 3 AS STRING) END AS lng,
-       {_DAY.format(col='ts')} AS data_dt
+SELECT user_id AS uid, {_EVENT_MID} AS mid,
+       CASE WHEN event_id % 10 = 7 AND user_id % 2 = 0 THEN '' ELSE CAST(33 - user_id % 4 AS STRING) END AS lat,
+       CASE WHEN event_id % 10 = 7 AND user_id % 2 = 0 THEN '' ELSE CAST(120 + user_id % 8 AS STRING) END AS lng,
+       {_EVENT_DAY} AS data_dt
 FROM {{events}}
 """
 
@@ -229,7 +248,8 @@ def standin_sql(name: str, spark_dir: str | None = None) -> str:
 
 
 # Stand-ins stored like the reference's day-partitioned source tables.
-DAY_PARTITIONED = {"plays", "logins", "loc_reports"}
+DAY_PARTITIONED = {"plays", "logins", "loc_reports", "cnsm"}
+DAY_FILES = 2      # files per day: a large day is written by more than one task
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
 _LOCK = threading.Lock()
 
@@ -254,7 +274,8 @@ def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             # scans get one task per file instead of one task for a single source file.
             parts = spark.sparkContext.defaultParallelism
             if name in DAY_PARTITIONED:
-                writer = df.repartition("data_dt").write.mode("overwrite").partitionBy("data_dt")
+                bucket = F.pmod(F.xxhash64(*[c for c in df.columns if c != "data_dt"]), F.lit(DAY_FILES))
+                writer = df.repartition(F.col("data_dt"), bucket).write.mode("overwrite").partitionBy("data_dt")
             else:
                 writer = df.repartition(parts).write.mode("overwrite")
             writer.parquet(path)
@@ -273,8 +294,6 @@ def with_standins(names: list[str], body: str) -> str:
 def build_warehouse(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Lay the stand-ins out as the daily jobs' source tables under ``root`` (the folder
     names of ``encore.jobs``), so the job runner can be exercised on the driver data."""
-    from pyspark.sql import functions as F
-
     from encore import jobs as J
 
     def S(n: str) -> DataFrame:
@@ -293,10 +312,9 @@ def build_warehouse(spark: SparkSession, sf_dir: str, root: str) -> None:
     plays.write.mode("overwrite").partitionBy("data_dt").parquet(path(J.PLAYS))
     for name, table in [("songs_raw", J.SONG_SRC), ("mac_a", J.MAC_A), ("mac_b", J.MAC_B), ("mac_addr", J.MAC_ADDR),
                         ("prvc_lookup", J.PRVC), ("cty_lookup", J.CITY), ("area_lookup", J.AREA),
-                        ("store_map", J.STORE_MAP), ("store", J.STORE), ("loc_lookup", J.LOC_LOOKUP),
-                        ("cnsm", J.CNSM)]:
+                        ("store_map", J.STORE_MAP), ("store", J.STORE), ("loc_lookup", J.LOC_LOOKUP)]:
         S(name).write.mode("overwrite").parquet(path(table))
-    for name, table in [("loc_reports", J.LOC_REPORTS), ("logins", J.LOGINS)]:
+    for name, table in [("loc_reports", J.LOC_REPORTS), ("logins", J.LOGINS), ("cnsm", J.CNSM)]:
         S(name).write.mode("overwrite").partitionBy("data_dt").parquet(path(table))
     users = S("users")
     for code, id_col, table in [("1", "wx_id", J.USR_WX), ("2", "aly_id", J.USR_ALI), ("3", "qqid", J.USR_QQ),
