@@ -15,11 +15,11 @@ code.  Order implied by the reads:
 from __future__ import annotations
 
 import argparse
+import importlib
 import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +27,14 @@ from pyspark.sql import functions as F
 from encore.functions.dates import check_day, day_minus
 from encore.plans.client_log import PLAY_EVENT, fanout_records, parse_client_log, play_table
 from encore.plans.influence import TOP_EXPORT, singer_influence, song_influence
-from encore.plans.location import (combine_location_partials, location_state, lookup_enricher, machine_location,
-                                   votes_from_state)
+from encore.plans.location import (BATCH_SIZE, LONG_BATCH_SIZE, combine_location_partials, location_state,
+                                   lookup_enricher, machine_location, service_enricher, votes_from_state)
 from encore.plans.machines import machine_dim
 from encore.plans.money import consumption_detail, machine_stats, merchant_share, region_stats
 from encore.operators.windows import combine_window_partials, window_state
 from encore.plans.songs import song_dim, song_features_from_state
 from encore.plans.users import active_users, channel_union, newly_active_users
+from encore.session import remove_scratch, scratch_path
 from encore.sources.scans import scan_day_range
 from encore.sources.sinks import export_jdbc, fanout_by_key, stamp_date, write_day, write_snapshot
 
@@ -47,6 +48,7 @@ PRVC, CITY, AREA, STORE_MAP, STORE = ("to_ycbk_prvc_d", "to_ycbk_city_d", "to_yc
                                       "to_ycbk_store_d")
 MAC_DIM, LOC_REPORTS, LOC_LOOKUP, MAC_LOC = "tw_mac_baseinfo_d", "to_ycak_usr_loc_d", "to_loc_lookup", "tw_mac_loc_d"
 LOC_STATE = "tw_mac_loc_day_partial_d"    # distinct location reports of each day
+GEO_RESPONSES = "to_geocode_response_d"    # what the geocoder answered, by day
 CNSM, CNSM_BRIEF, MAC_STAT = "to_ycak_cnsm_d", "tw_cnsm_brief_d", "tw_mac_stat_d"
 USR_WX, USR_ALI, USR_QQ, USR_APP, LOGINS = ("to_ycak_usr_d", "to_ycak_usr_ali_d", "to_ycak_usr_qq_d",
                                              "to_ycak_usr_app_d", "to_ycak_usr_login_d")
@@ -95,14 +97,17 @@ def job_client_log(wh: Warehouse, day: str, log_path: str, event_name: str = PLA
                    files_per_key: int | None = None) -> None:
     """Raw log text -> per-event text folders and the play table's day partition.
     ``files_per_key`` bounds the files written per event (see ``fanout_by_key``)."""
-    # Read and parse the log once for both outputs; a lost executor's cached blocks are
-    # recomputed from the log by lineage.
-    parsed = parse_client_log(wh.spark.read.text(log_path), event_name).persist(StorageLevel.MEMORY_AND_DISK)
+    # Read and parse the log once, store the records on shared storage, and write both
+    # outputs from there: nothing of the day is held in executors that can be lost.
+    parsed = parse_client_log(wh.spark.read.text(log_path), event_name)
+    stored = scratch_path(wh.spark, "client-log")
     try:
-        fanout_by_key(fanout_records(parsed), "event", "value", wh.path(f"all_client_tables/{day}"), files_per_key)
-        wh.write_day(play_table(parsed), PLAYS, day)
+        write_snapshot(parsed, stored)
+        records = wh.spark.read.schema(parsed.schema).parquet(stored)
+        fanout_by_key(fanout_records(records), "event", "value", wh.path(f"all_client_tables/{day}"), files_per_key)
+        wh.write_day(play_table(records), PLAYS, day)
     finally:
-        parsed.unpersist()
+        remove_scratch(wh.spark, stored)
 
 
 def job_song_dim(wh: Warehouse, day: str | None = None) -> None:
@@ -194,19 +199,30 @@ def _latest_before(wh: Warehouse, table: str, day: str) -> DataFrame | None:
     return wh.day(table, last) if last else None
 
 
-def job_machine_location(wh: Warehouse, day: str, days: int = 30, changed: Sequence[str] = ()) -> None:
+def job_machine_location(wh: Warehouse, day: str, days: int = 30, changed: Sequence[str] = (),
+                         geocoder: Callable[[str], str] | None = None, batch_size: int | None = None) -> None:
     """Location snapshot of ``day`` merged over the latest earlier one, from one partial
-    of distinct reports per day; any window length is made from the same partials."""
+    of distinct reports per day; any window length is made from the same partials.
+
+    Positions are looked up in the location table, or asked of ``geocoder`` (see
+    ``service_enricher``) in requests of ``batch_size`` positions; the day's responses stay in
+    the warehouse."""
+    if geocoder is None:
+        enrich = lookup_enricher(wh.read(LOC_LOOKUP))
+    else:
+        size = batch_size or (BATCH_SIZE if days <= 30 else LONG_BATCH_SIZE)
+        enrich = service_enricher(geocoder, f"{wh.path(GEO_RESPONSES)}/data_dt={check_day(day)}", size)
     reports = wh.read(LOC_REPORTS)
     state = combine_location_partials(_partials(wh, LOC_STATE, reports, location_state, day, days, changed))
     prev = _latest_before(wh, MAC_LOC, day)
-    wh.write_day(machine_location(reports, prev, day, lookup_enricher(wh.read(LOC_LOOKUP)), days,
-                                  votes=votes_from_state(state)), MAC_LOC, day)
+    wh.write_day(machine_location(reports, prev, day, enrich, days, votes=votes_from_state(state)), MAC_LOC, day)
 
 
-def job_consumption(wh: Warehouse, day: str) -> None:
-    """Consumption detail (the whole source table, as the reference stores it daily)."""
-    wh.write_day(consumption_detail(wh.read(CNSM)), CNSM_BRIEF, day)
+def job_consumption(wh: Warehouse, day: str, full_history: bool = False) -> None:
+    """Consumption detail of ``day``; with ``full_history`` the whole source table is
+    stored under the day, so that the statistics cover all days up to it."""
+    source = wh.read(CNSM)
+    wh.write_day(consumption_detail(source, None if full_history else day), CNSM_BRIEF, day)
 
 
 def job_users(wh: Warehouse, day: str) -> None:
@@ -251,6 +267,12 @@ def run_day(wh: Warehouse, day: str, jobs: list[str] | None = None) -> None:
         JOBS[name](wh, day)
 
 
+def _named(name: str) -> Callable[[str], str]:
+    """The function that ``module:function`` names."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="python -m encore.jobs", description=__doc__.split("\n")[0])
     p.add_argument("job", choices=sorted(JOBS) + ["all"])
@@ -260,6 +282,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--event", default=PLAY_EVENT)
     p.add_argument("--files-per-key", type=int, default=None, help="client_log: max files per event folder")
     p.add_argument("--days", type=int, default=30, help="machine_location: length of the window")
+    p.add_argument("--geocoder", help="machine_location: module:function that answers one request string")
+    p.add_argument("--batch-size", type=int, default=None, help="machine_location: positions per request")
+    p.add_argument("--full-history", action="store_true", help="consumption: store the whole source, not the day")
     p.add_argument("--changed-days", default="", help="song_features, machine_location: past days corrected since, comma-joined")
     p.add_argument("--jdbc-url", default=os.environ.get("ENCORE_JDBC_URL"))
     p.add_argument("--jdbc-user", default=os.environ.get("ENCORE_JDBC_USER"))
@@ -286,7 +311,9 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "song_features":
         job_song_features(wh, a.day, changed)
     elif a.job == "machine_location":
-        job_machine_location(wh, a.day, a.days, changed)
+        job_machine_location(wh, a.day, a.days, changed, _named(a.geocoder) if a.geocoder else None, a.batch_size)
+    elif a.job == "consumption":
+        job_consumption(wh, a.day, a.full_history)
     else:
         JOBS[a.job](wh, a.day)
 

@@ -1,36 +1,42 @@
 """Joins with an explicit broadcast policy.
 
-A side is broadcast only after its row count has been checked against a bound (the check
-reads at most ``max_rows + 1`` rows); otherwise the join is left to the planner, where
+A side is broadcast only after its rows and bytes have been checked against a bound (the
+check reads at most ``max_rows + 1`` rows); otherwise the join is left to the planner, where
 AQE may still switch to a broadcast once the shuffle has measured the real size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Lookups (provinces, cities, areas, stores) are bounded by geography, far below this.
 LOOKUP_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def broadcast_all_if_small(frames: list[DataFrame], max_rows: int = LOOKUP_MAX_ROWS) -> list[DataFrame]:
-    """``broadcast_if_small`` for several lookups with ONE bounded counting job."""
-    from functools import reduce
-
-    probes = [f.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, f in enumerate(frames)]
-    counts = {r["_i"]: r["n"] for r in reduce(lambda a, b: a.unionByName(b), probes)
-              .groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [F.broadcast(f) if counts.get(i, 0) <= max_rows else f for i, f in enumerate(frames)]
+# All lookups of one plan together, as JSON text (wider than Spark keeps them).
+LOOKUP_MAX_BYTES = 128 << 20
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS, max_bytes: int = LOOKUP_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when ``df`` is within both bounds, else ``df`` unchanged."""
+    return broadcast_all_if_small([df], max_rows, max_bytes)[0]
+
+
+def broadcast_all_if_small(frames: list[DataFrame], max_rows: int = LOOKUP_MAX_ROWS,
+                           max_bytes: int = LOOKUP_MAX_BYTES) -> list[DataFrame]:
+    """``broadcast`` for those frames that have at most ``max_rows`` rows, smallest first, as
+    long as they hold at most ``max_bytes`` together.  One bounded job measures them all."""
+    probes = [f.limit(max_rows + 1).select(F.lit(i).alias("_i"), F.octet_length(F.to_json(F.struct(*f.columns))).alias("_b"))
+              for i, f in enumerate(frames)]
+    sizes = {r["_i"]: (r["b"], r["n"]) for r in reduce(lambda a, b: a.unionByName(b), probes)
+             .groupBy("_i").agg(F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b")).collect()}
+    out, left = list(frames), max_bytes
+    for size, rows, i in sorted((*sizes.get(i, (0, 0)), i) for i in range(len(frames))):
+        if rows <= max_rows and size <= left:
+            out[i], left = F.broadcast(frames[i]), left - size
+    return out
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",

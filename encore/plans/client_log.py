@@ -4,6 +4,8 @@ streaming frame (see ``encore.streaming``)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,25 +34,27 @@ def _parsed(payload: str = "payload"):
     return j, j.isNotNull() & j[_CORRUPT].isNull()
 
 
-def split_records(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """``event, payload`` of every well-formed line: exactly 6 fields once trailing empty
-    fields are dropped (as Java's ``split`` does)."""
+def split_records(lines: DataFrame, value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """``event, payload`` (and the ``keep`` columns) of every well-formed line: exactly 6
+    fields once trailing empty fields are dropped (as Java's ``split`` does)."""
     parts = F.split(F.regexp_replace(F.col(value_col), f"{FIELD_SEP}+$", ""), FIELD_SEP)
-    return (lines.select(parts.alias("_p"))
+    return (lines.select(parts.alias("_p"), *keep)
                  .where(F.size("_p") == FIELD_COUNT)
-                 .select(F.col("_p")[EVENT_INDEX].alias("event"), F.col("_p")[PAYLOAD_INDEX].alias("payload")))
+                 .select(F.col("_p")[EVENT_INDEX].alias("event"), F.col("_p")[PAYLOAD_INDEX].alias("payload"),
+                         *keep))
 
 
-def parse_client_log(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: str = "value") -> DataFrame:
+def parse_client_log(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: str = "value",
+                     keep: Sequence[str] = ()) -> DataFrame:
     """Every well-formed record, parsed once: ``event`` (fan-out key), ``value`` (fan-out
     text), ``_play`` (a play record with a JSON-object payload) and the 11 play fields
     (NULL unless ``_play``).  Both the play table and the fan-out derive from it, so a job
-    that writes both can persist this frame and read and parse the log only once.
+    that writes both can store this frame and read and parse the log only once.
 
     Play records become tab-separated fields (NULL as ``\\N``, positions kept); other
     events pass through; play records with a malformed payload keep their text under
     ``<event>_REJECTED`` - counted and inspectable, out of the play table."""
-    rec = split_records(lines, value_col)
+    rec = split_records(lines, value_col, keep)
     is_play = F.col("event") == event_name
     j, ok = _parsed()
     good_play = is_play & ok
@@ -59,12 +63,12 @@ def parse_client_log(lines: DataFrame, event_name: str = PLAY_EVENT, value_col:
         F.when(is_play & ~ok, F.concat(F.col("event"), F.lit(REJECTED_SUFFIX))).otherwise(F.col("event")).alias("event"),
         F.when(good_play, tsv).otherwise(F.col("payload")).alias("value"),
         good_play.alias("_play"),
-        *[F.when(good_play, j[f]).alias(f) for f in PLAY_FIELDS])
+        *[F.when(good_play, j[f]).alias(f) for f in PLAY_FIELDS], *keep)
 
 
-def play_table(parsed: DataFrame) -> DataFrame:
+def play_table(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The play table from ``parse_client_log``."""
-    return parsed.where(F.col("_play")).select(*PLAY_FIELDS)
+    return parsed.where(F.col("_play")).select(*PLAY_FIELDS, *keep)
 
 
 def fanout_records(parsed: DataFrame) -> DataFrame:
@@ -72,10 +76,12 @@ def fanout_records(parsed: DataFrame) -> DataFrame:
     return parsed.select("event", "value")
 
 
-def client_log_parse(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: str = "value") -> DataFrame:
-    """The play table: 11 string columns from the JSON payload of ``event_name`` records.
-    A missing key is NULL; a payload that is not a JSON object (malformed) is dropped."""
-    return play_table(parse_client_log(lines, event_name, value_col))
+def client_log_parse(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: str = "value",
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """The play table: 11 string columns from the JSON payload of ``event_name`` records, and
+    the ``keep`` columns of the lines.  A missing key is NULL; a payload that is not a JSON
+    object (malformed) is dropped."""
+    return play_table(parse_client_log(lines, event_name, value_col, keep), keep)
 
 
 def rejected_lines(lines: DataFrame, event_name: str = PLAY_EVENT, value_col: str = "value") -> DataFrame:

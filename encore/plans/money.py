@@ -43,9 +43,8 @@ def consumption_detail(cnsm: DataFrame, day: str | None = None) -> DataFrame:
     """17-column consumption detail: one coin per order line at the absolute amount,
     order type mapped to the abnormality code.  Narrow: no shuffle.
 
-    The reference stores the whole source table every day; with ``day`` only that day's
-    rows (``data_dt``) are kept, which at scale turns a full-table copy into one
-    partition's worth of work."""
+    With ``day`` only that day's rows (``data_dt``) are read: one partition instead of a copy
+    of the whole table."""
     if day is not None:
         cnsm = cnsm.where(F.col("data_dt") == check_day(day))
     return cnsm.select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.dates import check_day, day_minus, split_timestamp
+from encore.operators.joins import LOOKUP_MAX_ROWS, broadcast_if_small
 from encore.operators.sets import union_aligned
 
 # Sign-up channel codes, their labels, gender labels, default user type.
@@ -45,18 +46,29 @@ def channel_union(wx: DataFrame, ali: DataFrame, qq: DataFrame, app: DataFrame)
     return union_aligned(parts, [(c, types[c]) for c in USER_COLUMNS])
 
 
-def active_users(logins: DataFrame, users: DataFrame, day: str) -> DataFrame:
+def with_profiles(seen: DataFrame, users: DataFrame, ids_max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
+    """``seen`` with the profiles of its users.  While the distinct ids are at most
+    ``ids_max_rows`` they are broadcast, and the user tables are cut down to them as they are
+    scanned, before the join; beyond that both sides are joined by uid.  Same rows."""
+    ids = seen.select("uid").distinct()
+    small = broadcast_if_small(ids, ids_max_rows)
+    if small is not ids:
+        users = users.join(small, "uid", "left_semi")
+    return seen.join(users, "uid", "left")
+
+
+def active_users(logins: DataFrame, users: DataFrame, day: str, ids_max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
     """Distinct users who logged in on ``day`` with their profile (NULLs when there is
     none; a user registered in two channels yields two rows)."""
     check_day(day)
     seen = logins.where(F.col("data_dt") == day).select("uid").distinct()
-    return seen.join(users, "uid", "left").select(*USER_COLUMNS)
+    return with_profiles(seen, users, ids_max_rows).select(*USER_COLUMNS)
 
 
 def active_users_range(logins: DataFrame, users: DataFrame, start: str, end: str) -> DataFrame:
     """``active_users`` for every day of ``[start, end]`` at once, with ``data_dt``."""
     seen = logins.where(F.col("data_dt").between(check_day(start), check_day(end))).select("uid", "data_dt").distinct()
-    return seen.join(users, "uid", "left").select(*USER_COLUMNS, "data_dt")
+    return with_profiles(seen, users).select(*USER_COLUMNS, "data_dt")
 
 
 def decode(c: Column | str, labels: dict[str, str], default: str) -> Column:

@@ -86,13 +86,13 @@ R.add("client_log_stream", sql_with(["client_log"], SQL_RECORDS))(_stream)
 def _stream_table(spark, d):
     src = _write_log_text(spark, d, "stream-src")
     out = scratch_path(spark, "stream-table")
-    land_play_table(spark, src, out, checkpoint=scratch_path(spark, "stream-table-ckpt"), event_name=PLAY) \
-        .awaitTermination()
-    return spark.read.schema(", ".join(f"{f} string" for f in PLAY_FIELDS)).parquet(out)
+    land_play_table(spark, src, out, checkpoint=scratch_path(spark, "stream-table-ckpt"), event_name=PLAY,
+                    day=DAY).awaitTermination()
+    return spark.read.schema(", ".join(f"{f} string" for f in [*PLAY_FIELDS, "data_dt"])).parquet(out)
 
 
 R.add("client_log_stream_table", sql_with(["client_log"], f", {SQL_REC} SELECT "
-                                          + ", ".join(f"json_extract_string(p[4], '$.{f}') AS {f}" for f in PLAY_FIELDS)
+                                          + ", ".join(f"json_extract_string(p[4], '$.{f}') AS {f}" for f in PLAY_FIELDS) + f", '{DAY}' AS data_dt"
                                           + f" FROM rec WHERE len(p) = 6 AND p[3] = '{PLAY}' AND {SQL_IS_OBJ}"))(_stream_table)
 
 

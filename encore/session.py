@@ -75,6 +75,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (on a cluster the one that spark.checkpoint.dir names)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -10,10 +10,13 @@ is there and stops, which fits a daily schedule.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from encore.functions.dates import check_day
 from encore.plans.client_log import PLAY_EVENT, client_log_parse, client_log_records
 from encore.session import ensure_checkpoint_dir
+from encore.sources.scans import DAY_COL
 
 
 def _checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
@@ -36,11 +39,17 @@ def land_client_log(spark: SparkSession, source_dir: str, records_dir: str, chec
 
 
 def land_play_table(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str | None = None,
-                    event_name: str = PLAY_EVENT, available_now: bool = True) -> StreamingQuery:
-    """Stream raw log files into the typed play table (parquet, append)."""
-    lines = spark.readStream.format("text").load(source_dir)
-    plays = client_log_parse(lines, event_name)
-    w = (plays.writeStream.format("parquet").outputMode("append")
+                    event_name: str = PLAY_EVENT, available_now: bool = True, day: str | None = None) -> StreamingQuery:
+    """Stream raw log files into the typed play table (parquet, append, one partition per
+    ``data_dt``), as the daily jobs read it.  The day is ``day`` if given, else the yyyyMMdd
+    folder that the file lies in; files in no such folder go to the NULL partition."""
+    if day is not None:
+        data_dt = F.lit(check_day(day))
+    else:
+        data_dt = F.nullif(F.regexp_extract("_metadata.file_path", r"/(?:data_dt=)?(\d{8})/[^/]*$", 1), F.lit(""))
+    lines = spark.readStream.format("text").load(source_dir).select("value", data_dt.alias(DAY_COL))
+    plays = client_log_parse(lines, event_name, keep=[DAY_COL])
+    w = (plays.writeStream.format("parquet").partitionBy(DAY_COL).outputMode("append")
               .option("checkpointLocation", _checkpoint(spark, "play_table", checkpoint)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start(table_dir)

@@ -85,3 +85,80 @@ def test_gzip_log(spark, tmp_path):
     with gzip.open(tmp_path / "log" / "a.gz", "wt") as f:
         f.write("one\ntwo\n")
     assert sorted(r[0] for r in scan_text_log(spark, str(tmp_path / "log")).collect()) == ["one", "two"]
+
+
+def test_catalog_tables(spark, tmp_path):
+    from encore.sources.scans import scan_table
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS booth LOCATION '{tmp_path}/db'")
+    try:
+        spark.range(3).write.saveAsTable("booth.machines", path=f"{tmp_path}/machines")
+        assert scan_table(spark, "machines", "booth").count() == 3
+        assert scan_table(spark, "booth.machines").count() == 3
+        spark.sql("USE booth")                       # the current database
+        assert scan_table(spark, "machines").count() == 3
+    finally:
+        spark.sql("USE default")
+        spark.sql("DROP DATABASE booth CASCADE")
+
+
+def test_play_table_stream_takes_the_day_from_the_folder(spark, tmp_path):
+    from encore.streaming.client_log_stream import land_play_table
+
+    for day, song in (("20240129", "1"), ("20240130", "2")):
+        (tmp_path / "log" / day).mkdir(parents=True)
+        (tmp_path / "log" / day / "a.txt").write_text(f'1&x&PLAY&{{"songid":"{song}"}}&v&end\n1&x&PLAY&[{{"songid":"9"}}]&v&end\n')
+    land_play_table(spark, str(tmp_path / "log" / "*"), str(tmp_path / "out"), str(tmp_path / "ck"), "PLAY").awaitTermination()
+    wh = J.Warehouse(spark, str(tmp_path))
+    assert sorted((r.data_dt, r.songid) for r in wh.read("out").collect()) == [("20240129", "1"), ("20240130", "2")]
+    assert wh.day("out", "20240130").first()["songid"] == "2"
+
+
+@pytest.mark.parametrize("max_rows", [0, 10])
+def test_profiles_with_and_without_the_broadcast(spark, max_rows):
+    from encore.plans.users import with_profiles
+
+    seen = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "1"), (None, "1")], "uid string, data_dt string")
+    users = spark.createDataFrame([("a", 1), ("a", 2), ("c", 3), (None, 4)], "uid string, n int")
+    got = sorted(map(tuple, with_profiles(seen, users, max_rows).collect()), key=str)
+    assert got == sorted([("a", "1", 1), ("a", "1", 2), ("a", "2", 1), ("a", "2", 2), ("b", "1", None), (None, "1", None)], key=str)
+
+
+def test_broadcast_bounds_rows_and_bytes(spark):
+    from encore.operators.joins import broadcast_all_if_small
+
+    small = spark.range(3)
+    wide = spark.range(3).select("id", F.lit("x" * 1000).alias("t"))
+    many = spark.range(50)
+
+    def hinted(max_rows, max_bytes):
+        frames = [wide, small, many]
+        return [a is not b for a, b in zip(broadcast_all_if_small(frames, max_rows, max_bytes), frames)]
+
+    assert hinted(100, 1 << 20) == [True, True, True]
+    assert hinted(10, 1 << 20) == [True, True, False]
+    assert hinted(100, 1000) == [False, True, True]
+
+
+def test_the_window_has_rows_on_both_sides_of_its_lower_bound(spark):
+    from encore.functions.dates import day_minus
+    from encore.operators.windows import trailing_windows
+    from encore.sources.standins import standin
+
+    plays = standin(spark, SF_CHECK, "plays")
+    days = {r[0] for r in plays.select("data_dt").distinct().collect()}
+    assert {day_minus("20240130", k) for k in (29, 30, 31)} <= days
+
+    def total(start):
+        return plays.where(F.col("data_dt").between(start, "20240130")).count()
+
+    got = trailing_windows(plays, "20240130").agg(F.sum("rct_30_sing_cnt")).first()[0]
+    assert total(day_minus("20240130", 29)) < got == total(day_minus("20240130", 30)) < total(day_minus("20240130", 31))
+
+
+def test_the_day_of_consumption_is_one_pruned_partition(spark):
+    from encore.plans.money import consumption_detail
+    from encore.sources.standins import standin
+
+    plan = consumption_detail(standin(spark, SF_CHECK, "cnsm"), "20240115")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(data_dt" in plan
