@@ -4,9 +4,9 @@ import pytest
 
 from conftest import SF_SMALL
 
-import __spark_entry__ as E
+from encore.registry import build
 
-Q = E.queries()
+Q = build().queries
 
 
 def plan_of(spark, name):
