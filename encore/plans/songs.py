@@ -56,8 +56,8 @@ def song_day_counts(plays: DataFrame, day: str, key: str = "song_id") -> DataFra
     """Per song on ``day``: plays, likes (always 0), distinct users, distinct orders.
 
     Two distinct counts in one ``groupBy`` would make Catalyst copy every row once per
-    distinct column (``Expand``); the keyed one-pass aggregate of ``trailing_windows``
-    gives the same counts without the copies."""
+    distinct column (``Expand``) and shuffle the copies; ``trailing_windows`` makes three
+    keyed rows of each play, which are partially aggregated before the shuffle."""
     check_day(day)
     return trailing_windows(plays, day, key=key, spans=(), out_key="nbr").select(
         "nbr", "sing_cnt", F.lit(0).cast("bigint").alias("supp_cnt"), "usr_cnt", "ordr_cnt")
