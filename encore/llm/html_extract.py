@@ -43,6 +43,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 # Fixed sets of HTML element names.
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "xmp", "noembed", "noframes"}
+_RAW_END = {name: re.compile(rf"</{name}(?![^\s/>])", re.I) for name in _RAW}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
            "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
@@ -99,14 +100,12 @@ def parse(source: str | None) -> Node:
     """The page as a tree; text nodes have the key ``#`` and their decoded text."""
     root = Node("root")
     stack = [root]
-    raw = None
-    for m in _TOKEN.finditer(source or ""):
+    source = source or ""
+    at = 0
+    while m := _TOKEN.match(source, at):
+        at = m.end()
         token = m[0]
         name = (m[2] or "").lower()
-        if raw:
-            if m[1] and name == raw:
-                raw = None
-            continue
         if not token.startswith("<") or token == "<":
             node = Node("#")
             node.text = entities.unescape(token)
@@ -115,9 +114,9 @@ def parse(source: str | None) -> Node:
         if not name:
             continue
         if m[1]:
-            at = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == name), 0)
-            if at:
-                del stack[at:]
+            opened = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == name), 0)
+            if opened:
+                del stack[opened:]
             continue
         if name in _CLOSES_P:
             _close(stack, {"p"}, {"td", "th", "table", "button", "object"})
@@ -126,7 +125,9 @@ def parse(source: str | None) -> Node:
         node = Node(_key(name, m[3]))
         stack[-1].children.append(node)
         if name in _RAW:
-            raw = None if token.endswith("/>") and name == "svg" else name
+            if not (token.endswith("/>") and name == "svg"):  # no markup inside: on to the end tag
+                end = _RAW_END[name].search(source, at)
+                at = end.start() if end else len(source)
         elif name not in _VOID:
             stack.append(node)
     return root

@@ -251,6 +251,14 @@ def test_html_wrappers(spark):
     assert html_extract.expression(wrapper) == "<root><ul>(<li>#</li>)+</ul>(<hr></hr>)?</root>"
 
 
+def test_html_raw_elements():
+    """A script's '<' opens no tag and its '<!--' no comment."""
+    for script in ("for(i=0;i<n;i++)f(i);", "<!-- document.write('x')", "a</b;c<d", 'x="</scripty>"'):
+        page = f"<article><p>Before</p><script>{script}</SCRIPT ><p>After</p><style>a<b</style><p>Last</p></article>"
+        assert html_extract.extract(page, None) == "Before\nAfter\nLast", script
+    assert html_extract.extract("<article><p>Before</p><script>i<n", None) == "Before"
+
+
 def luhn(digits):
     total = 0
     for k, c in enumerate(reversed(digits)):
