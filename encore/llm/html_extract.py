@@ -7,7 +7,9 @@ optional group, and texts become slots.  A wrapper is thus a union-free expressi
 they always held the same text.  From the wrapper the content slots of the host follow:
 those under ``article`` or ``main`` where the template has one, otherwise the slots that are
 no links and not the same on every page; menus, headers, footers, sidebars, notices, adverts,
-forms, comments, scripts and styles never are.
+forms, comments, scripts and styles never are.  Inside ``article`` or ``main`` a class or id
+that only sounds like one of these (``related-work``, ``share-prices``) drops an element only if
+its text is the same on pages of the host that differ, or mostly links.
 
 Distribution: tasks fold their own pages first (equal trees of a host count once), the folds
 are summed by (host, bucket) and then by host, each as a stream, so a host with a third of
@@ -51,26 +53,32 @@ _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code
 _CLOSES_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4",
              "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-_NEVER = {"head", "nav", "aside", "form", "button", "select", "input", "dialog", "menu", "figcaption", "footer", "object", "canvas", "audio", "video",
+_NEVER = {"head", "nav", "aside", "form", "button", "select", "input", "dialog", "menu", "footer", "canvas", "audio", "video",
           *_RAW}
 _NOT_CONTENT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|breadcrumbs?|comments?|respond|cookies?|consent|disclaimer|footer|masthead|menu|modal|nav\w*|"
+    r"(?:^|[\s#_-])(?:ads?|advert\w*|adsense|banner|breadcrumbs?|comments?|respond|cookies?|consent|disclaimer|footer|masthead|menu|modal|nav\w*|"
     r"newsletter|notices?|notification|pager|pagination|popup|promo\w*|related|share\w*|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|"
     r"widget|skip|login|signup|search)(?:$|[\s_-])", re.I)
+# Whole class or id names that mean page furniture wherever they stand; the words above may be an article's own.
+_FURNITURE = re.compile(
+    r"(?:^|[\s#])(?:ads?(?:[-_]?9)?|advert|advertisement|adsense|sponsored|comments?(?:[-_](?:9|list|section|thread|area|form|body))?|respond|"
+    r"cookie[-_]?(?:bar|banner|consent|notice)|newsletter|breadcrumbs?|pagination|pager|sidebar|navbar|navigation|footer|masthead)(?:$|\s)", re.I)
+_SECTIONS = {"h1", "h2", "h3", "h4", "h5", "h6", "section"}  # their ids are made from their headings
 _ROLES = re.compile(r"(?:navigation|banner|contentinfo|complementary|search|form|alert|dialog)$", re.I)
 
 
 class Node:
-    """An element of a page or wrapper; ``key`` is its tag with class and id."""
+    """An element of a page or wrapper; ``key`` is its tag with class and #id."""
 
-    __slots__ = ("key", "children", "repeated", "optional", "chars", "links", "same", "text")
+    __slots__ = ("key", "children", "repeated", "optional", "chars", "links", "same", "source", "text")
 
     def __init__(self, key: str):
         self.key = key
         self.children: list[Node] = []
         self.repeated = self.optional = False
         self.chars = self.links = 0
-        self.same: int | None = None  # digest of the slot's text while all were equal, -1 after
+        self.same: int | None = None  # digest of the slot's text on a page while equal on all, -1 after
+        self.source: int | None = None  # digest of the page that held the slot, -1 after a different page held it too
         self.text = ""
 
     @property
@@ -78,20 +86,20 @@ class Node:
         return self.key.partition("|")[0]
 
     def dump(self) -> list:
-        return [self.key, self.repeated + 2 * self.optional, self.chars, self.links, self.same, [c.dump() for c in self.children]]
+        return [self.key, self.repeated + 2 * self.optional, self.chars, self.links, self.same, self.source, [c.dump() for c in self.children]]
 
     @classmethod
     def load(cls, data: list) -> "Node":
         node = cls(data[0])
         node.repeated, node.optional = bool(data[1] & 1), bool(data[1] & 2)
-        node.chars, node.links, node.same = data[2], data[3], data[4]
-        node.children = [cls.load(c) for c in data[5]]
+        node.chars, node.links, node.same, node.source = data[2:6]
+        node.children = [cls.load(c) for c in data[6]]
         return node
 
 
 def _key(tag: str, attributes: str) -> str:
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "").strip() for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
-    marks = " ".join(re.sub(r"\d+", "9", found.get(a, "")) for a in ("class", "id"))
+    marks = " ".join(sign + re.sub(r"\d+", "9", found[a]) for a, sign in (("class", ""), ("id", "#")) if found.get(a))
     role = found.get("role", "")
     return f"{tag}|{' '.join(marks.split())}|{role}" if marks.strip() or role else tag
 
@@ -143,8 +151,29 @@ def _close(stack: list[Node], tags: set[str], scope: set[str]) -> None:
             return
 
 
-def fold(node: Node, in_link: bool = False) -> Node:
+def fold(page: Node) -> Node:
     """A page tree as a wrapper: texts become slots, equal neighbours a repeated group."""
+    return _fold(page, False, _digest(page))
+
+
+def _digest(page: Node) -> int:
+    """Digest of the article's text, or of the page's: pages that differ only around it are copies."""
+    rooted = _rooted(page)
+    out: list[str] = []
+
+    def walk(node: Node, inside: int) -> None:
+        for c in node.children:
+            if c.key == "#":
+                if inside or not rooted:
+                    out.extend(c.text.split())
+            elif not excluded(c, inside):
+                walk(c, _inside(c, inside))
+
+    walk(page, 0)
+    return zlib.crc32(" ".join(out).encode("utf-8", "surrogatepass"))
+
+
+def _fold(node: Node, in_link: bool, source: int) -> Node:
     out = Node(node.key)
     for child in node.children:
         if child.key == "#":
@@ -153,27 +182,30 @@ def fold(node: Node, in_link: bool = False) -> Node:
                 continue
             slot = Node("#")
             slot.chars, slot.links = len(words), len(words) if in_link else 0
-            slot.same = zlib.crc32(words.encode("utf-8", "surrogatepass"))
-            _append(out.children, slot)
+            slot.same, slot.source = zlib.crc32(words.encode("utf-8", "surrogatepass")), source
+            _append(out.children, slot, True)
         else:
-            _append(out.children, fold(child, in_link or child.tag == "a"))
+            _append(out.children, _fold(child, in_link or child.tag == "a", source), True)
     return out
 
 
-def _append(children: list[Node], node: Node) -> None:
+def _append(children: list[Node], node: Node, one_page: bool = False) -> None:
     if children and children[-1].key == node.key:
-        children[-1] = merge(children[-1], node)
+        children[-1] = merge(children[-1], node, one_page)
         children[-1].repeated = True
     else:
         children.append(node)
 
 
-def merge(a: Node, b: Node) -> Node:
-    """Align two wrappers of the same element."""
+def merge(a: Node, b: Node, one_page: bool = False) -> Node:
+    """Align two wrappers of the same element; neighbours on one page keep the digest of their run."""
     out = Node(a.key)
     out.repeated, out.optional = a.repeated or b.repeated, a.optional or b.optional
     out.chars, out.links = a.chars + b.chars, a.links + b.links
     out.same = a.same if a.same == b.same else -1
+    out.source = a.source if a.source == b.source else -1
+    if one_page and a.same is not None:
+        out.same = zlib.crc32(b"%d %d" % (a.same, b.same))
     if not a.children and not b.children:
         return out
     left, right = [c.key for c in a.children], [c.key for c in b.children]
@@ -182,13 +214,13 @@ def merge(a: Node, b: Node) -> Node:
     for x, y, size in blocks:
         for c in (*a.children[i:x], *b.children[j:y]):  # a mismatch: an optional group
             c.optional = True
-            _append(out.children, c)
+            _append(out.children, c, one_page)
         for k in range(size):
-            _append(out.children, merge(a.children[x + k], b.children[y + k]))
+            _append(out.children, merge(a.children[x + k], b.children[y + k], one_page), one_page)
         i, j = x + size, y + size
     for c in (*a.children[i:], *b.children[j:]):
         c.optional = True
-        _append(out.children, c)
+        _append(out.children, c, one_page)
     return out
 
 
@@ -203,20 +235,58 @@ def expression(node: Node) -> str:
     return f"({body}){mark}" if mark and body != "#" else body + mark
 
 
-def excluded(node: Node, inside: bool) -> bool:
-    """Menus, headers, adverts and the like, by element, class, id and role."""
+def _inside(node: Node, inside: int) -> int:
+    """2 in an article, 1 in a main element, 0 in neither."""
+    return 2 if node.tag == "article" else max(inside, node.tag == "main")
+
+
+def excluded(node: Node, inside: int) -> bool:
+    """Menus, headers, adverts and the like, by element, class, id and role; words that may be an
+    article's own count outside it only (see ``marked``)."""
     tag, _, marks = node.key.partition("|")
     if tag in _NEVER or (tag == "header" and not inside):
         return True
     if not marks or tag in ("html", "body", "article", "main"):
         return False
     names, _, role = marks.rpartition("|")
-    return bool(_NOT_CONTENT.search(names) or _ROLES.match(role))
+    if _ROLES.match(role):
+        return True
+    if inside:
+        return bool(_FURNITURE.search(names.partition("#")[0] if inside == 2 and tag in _SECTIONS else names))
+    return bool(_NOT_CONTENT.search(names))
+
+
+def marked(node: Node) -> bool:
+    """Does an element of an article bear a word of menus, adverts and the like?  The wrapper decides then."""
+    tag, _, marks = node.key.partition("|")
+    if not marks or tag in ("article", "main"):
+        return False
+    names = marks.rpartition("|")[0]
+    return bool(_NOT_CONTENT.search(names.partition("#")[0] if tag in _SECTIONS else names))
 
 
 def _rooted(node: Node) -> bool:
     """Does the tree have an article or main element?"""
-    return any((c.tag in ("article", "main") or _rooted(c)) and not excluded(c, False) for c in node.children if c.key != "#")
+    return any((c.tag in ("article", "main") or _rooted(c)) and not excluded(c, 0) for c in node.children if c.key != "#")
+
+
+def _constant(slot: Node) -> bool:
+    """The same text on two or more pages that differ."""
+    return slot.source == -1 and slot.same != -1
+
+
+def _template(node: Node) -> bool:
+    """Is all text of an element constant, or the rest mostly links?"""
+    chars = links = 0
+    todo = [node]
+    while todo:
+        for c in todo.pop().children:
+            if c.key != "#":
+                todo.append(c)
+            elif not _constant(c):
+                chars += c.chars
+                links += c.links
+    return links * 2 >= chars
 
 
 def content_paths(wrapper: Node) -> set[str]:
@@ -224,16 +294,16 @@ def content_paths(wrapper: Node) -> set[str]:
     rooted = _rooted(wrapper)
     out: set[str] = set()
 
-    def walk(node: Node, path: str, inside: bool) -> None:
+    def walk(node: Node, path: str, inside: int) -> None:
         for c in node.children:
             if c.key == "#":
                 plain = c.links * 2 < c.chars and (c.same == -1 or not c.repeated)
                 if inside if rooted else plain:
                     out.add(path)
-            elif not excluded(c, inside):
-                walk(c, f"{path}/{c.key}", inside or c.tag in ("article", "main"))
+            elif not excluded(c, inside) and not (inside and marked(c) and _template(c)):
+                walk(c, f"{path}/{c.key}", _inside(c, inside))
 
-    walk(wrapper, "", False)
+    walk(wrapper, "", 0)
     return out
 
 
@@ -241,7 +311,7 @@ def text_of(page: Node, paths: set[str]) -> str:
     """Blocks of the page's content in order, one to a line."""
     blocks: list[list[str]] = [[]]
 
-    def walk(node: Node, path: str, inside: bool) -> None:
+    def walk(node: Node, path: str, inside: int) -> None:
         for c in node.children:
             if c.key == "#":
                 if path in paths:
@@ -255,11 +325,11 @@ def text_of(page: Node, paths: set[str]) -> str:
             block = c.tag not in _INLINE
             if block:
                 blocks.append([])
-            walk(c, f"{path}/{c.key}", inside or c.tag in ("article", "main"))
+            walk(c, f"{path}/{c.key}", _inside(c, inside))
             if block:
                 blocks.append([])
 
-    walk(page, "", False)
+    walk(page, "", 0)
     lines = (" ".join("".join(b).split()) for b in blocks)
     return "\n".join(x for x in lines if x)
 

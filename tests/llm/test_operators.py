@@ -259,6 +259,21 @@ def test_html_raw_elements():
     assert html_extract.extract("<article><p>Before</p><script>i<n", None) == "Before"
 
 
+def test_html_article_keeps_its_sections(spark):
+    """Words of menus and adverts in an article's own names drop nothing without evidence of the wrapper."""
+    page = ('<body><article><h1>T{0}</h1><section id="related-work"><h2 id="search-algorithms">Search {0}</h2><p>Prior {0}</p></section>'
+            '<div class="share-prices">Shares rose {0}</div><figure><img><figcaption>Caption {0}</figcaption></figure>'
+            '<div class="share-buttons"><span>Tweet</span><span>Mail</span></div><div class="related"><a href=x>Other {0}</a></div>'
+            '<div class="comments"><p>Reader {0}</p></div></article></body>')
+    pages = [(i, f"https://a.example/{i}", page.format(i)) for i in range(4)] + [(9, "https://one.example/", page.format(9).replace("T9", "T9 alone"))]
+    got = {r["page_id"]: r["text"] for r in html_extract.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(4):
+        assert got[i] == f"T{i}\nSearch {i}\nPrior {i}\nShares rose {i}\nCaption {i}"
+    assert "Shares rose 9" in got[9] and "Prior 9" in got[9] and "Reader" not in got[9]
+    copies = [html_extract.fold(html_extract.parse(page.format(1) + x)) for x in ("", "<p>Around")]
+    assert "share-prices" in " ".join(html_extract.content_paths(html_extract.merge(*copies)))  # copies are no evidence
+
+
 def luhn(digits):
     total = 0
     for k, c in enumerate(reversed(digits)):
