@@ -3,10 +3,12 @@
 Pages become token trees.  Trees of one host are aligned one after another into a wrapper:
 equal neighbours fold into a repeated group, children found in one side only become an
 optional group, and texts become slots.  A wrapper is thus a union-free expression over tags,
-``?``, ``+`` and ``#`` (text).  Slots carry how much text and link text they held and whether
-they always held the same text.  From the wrapper the content slots of the host follow:
-those under ``article`` or ``main`` where the template has one, otherwise the slots that are
-no links and not the same on every page; menus, headers, footers, sidebars, notices, adverts,
+``?``, ``+`` and ``#`` (text).  Slots carry how much text and link text they held, on how many
+pages, whether it was always the same and whether these pages differ (copies of an article
+are no evidence of a template).  From the wrapper the content slots of the host follow: those
+under ``article`` or ``main`` where the template has one, otherwise the slots that are no
+links; blocks whose text is the same on two or more pages that differ are left out, in an
+article if half of the host's pages hold them and they are no headings or captions.  Menus, headers, footers, sidebars, notices, adverts,
 forms, comments, scripts and styles never are.  Inside ``article`` or ``main`` a class or id
 that only sounds like one of these (``related-work``, ``share-prices``) drops an element only if
 its text is the same on pages of the host that differ, or mostly links.
@@ -64,13 +66,14 @@ _FURNITURE = re.compile(
     r"(?:^|[\s#])(?:ads?(?:[-_]?9)?|advert|advertisement|adsense|sponsored|comments?(?:[-_](?:9|list|section|thread|area|form|body))?|respond|"
     r"cookie[-_]?(?:bar|banner|consent|notice)|newsletter|breadcrumbs?|pagination|pager|sidebar|navbar|navigation|footer|masthead)(?:$|\s)", re.I)
 _SECTIONS = {"h1", "h2", "h3", "h4", "h5", "h6", "section"}  # their ids are made from their headings
+_LABELS = {"h1", "h2", "h3", "h4", "h5", "h6", "th", "dt", "caption", "figcaption", "summary"}  # may well be the same in every article
 _ROLES = re.compile(r"(?:navigation|banner|contentinfo|complementary|search|form|alert|dialog)$", re.I)
 
 
 class Node:
     """An element of a page or wrapper; ``key`` is its tag with class and #id."""
 
-    __slots__ = ("key", "children", "repeated", "optional", "chars", "links", "same", "source", "text")
+    __slots__ = ("key", "children", "repeated", "optional", "chars", "links", "same", "source", "pages", "text")
 
     def __init__(self, key: str):
         self.key = key
@@ -78,6 +81,7 @@ class Node:
         self.repeated = self.optional = False
         self.chars = self.links = 0
         self.same: int | None = None  # digest of the slot's text on a page while equal on all, -1 after
+        self.pages = 0  # pages that held the slot; of the root: all pages
         self.source: int | None = None  # digest of the page that held the slot, -1 after a different page held it too
         self.text = ""
 
@@ -86,14 +90,14 @@ class Node:
         return self.key.partition("|")[0]
 
     def dump(self) -> list:
-        return [self.key, self.repeated + 2 * self.optional, self.chars, self.links, self.same, self.source, [c.dump() for c in self.children]]
+        return [self.key, self.repeated + 2 * self.optional, self.chars, self.links, self.same, self.source, self.pages, [c.dump() for c in self.children]]
 
     @classmethod
     def load(cls, data: list) -> "Node":
         node = cls(data[0])
         node.repeated, node.optional = bool(data[1] & 1), bool(data[1] & 2)
-        node.chars, node.links, node.same, node.source = data[2:6]
-        node.children = [cls.load(c) for c in data[6]]
+        node.chars, node.links, node.same, node.source, node.pages = data[2:7]
+        node.children = [cls.load(c) for c in data[7]]
         return node
 
 
@@ -153,7 +157,9 @@ def _close(stack: list[Node], tags: set[str], scope: set[str]) -> None:
 
 def fold(page: Node) -> Node:
     """A page tree as a wrapper: texts become slots, equal neighbours a repeated group."""
-    return _fold(page, False, _digest(page))
+    out = _fold(page, False, _digest(page))
+    out.pages = 1
+    return out
 
 
 def _digest(page: Node) -> int:
@@ -182,7 +188,7 @@ def _fold(node: Node, in_link: bool, source: int) -> Node:
                 continue
             slot = Node("#")
             slot.chars, slot.links = len(words), len(words) if in_link else 0
-            slot.same, slot.source = zlib.crc32(words.encode("utf-8", "surrogatepass")), source
+            slot.same, slot.source, slot.pages = zlib.crc32(words.encode("utf-8", "surrogatepass")), source, 1
             _append(out.children, slot, True)
         else:
             _append(out.children, _fold(child, in_link or child.tag == "a", source), True)
@@ -204,6 +210,7 @@ def merge(a: Node, b: Node, one_page: bool = False) -> Node:
     out.chars, out.links = a.chars + b.chars, a.links + b.links
     out.same = a.same if a.same == b.same else -1
     out.source = a.source if a.source == b.source else -1
+    out.pages = max(a.pages, b.pages) if one_page else a.pages + b.pages
     if one_page and a.same is not None:
         out.same = zlib.crc32(b"%d %d" % (a.same, b.same))
     if not a.children and not b.children:
@@ -290,21 +297,35 @@ def _template(node: Node) -> bool:
 
 
 def content_paths(wrapper: Node) -> set[str]:
-    """Paths of the elements whose text is content."""
+    """Paths of the elements whose text is content.  A block is judged as one, so that a word in
+    bold that all pages share stays in its sentence."""
     rooted = _rooted(wrapper)
-    out: set[str] = set()
+    blocks: list[tuple[str, list[tuple[str, Node]]]] = []  # tag, and path and slot of its own texts
 
-    def walk(node: Node, path: str, inside: int) -> None:
+    def walk(node: Node, path: str, inside: int, own: list[tuple[str, Node]]) -> None:
         for c in node.children:
             if c.key == "#":
-                plain = c.links * 2 < c.chars and (c.same == -1 or not c.repeated)
-                if inside if rooted else plain:
-                    out.add(path)
+                if inside if rooted else c.links * 2 < c.chars:
+                    own.append((path, c))
             elif not excluded(c, inside) and not (inside and marked(c) and _template(c)):
-                walk(c, f"{path}/{c.key}", _inside(c, inside))
+                if c.tag in _INLINE:
+                    walk(c, f"{path}/{c.key}", _inside(c, inside), own)
+                else:
+                    block: list[tuple[str, Node]] = []
+                    blocks.append((c.tag, block))
+                    walk(c, f"{path}/{c.key}", _inside(c, inside), block)
 
-    walk(wrapper, "", 0)
-    return out
+    blocks.append((wrapper.tag, []))
+    walk(wrapper, "", 0, blocks[0][1])
+
+    def varies(own: list[tuple[str, Node]]) -> bool:
+        # An article's own constant text must be on most pages of the host: two near copies may share a rare one.
+        return not all(_constant(c) and (not rooted or c.pages * 2 >= wrapper.pages) for _, c in own)
+
+    told = [(tag, own, varies(own)) for tag, own in blocks if own]
+    if rooted and not any(v for tag, _, v in told if tag not in _LABELS):  # one article under several titles
+        told = [(tag, own, True) for tag, own, _ in told]
+    return {path for tag, own, v in told if v or (rooted and tag in _LABELS) for path, _ in own}
 
 
 def text_of(page: Node, paths: set[str]) -> str:

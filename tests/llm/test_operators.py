@@ -274,6 +274,22 @@ def test_html_article_keeps_its_sections(spark):
     assert "share-prices" in " ".join(html_extract.content_paths(html_extract.merge(*copies)))  # copies are no evidence
 
 
+def test_html_constant_slots(spark):
+    """Text that pages which differ share is the template's, with and without an article; copies prove nothing."""
+    flat = '<body><div class="menu">A B</div><div class="post"><p>Story {0} <b>with</b> words</p></div><div class="box">Always the same</div>'
+    rooted = "<body><article><h1>T{0}</h1><h2>Summary</h2><p>Story {0} <b>with</b> words</p><div class=x><p>Read our other pages</p></div></article>"
+    pages = [(i, "http://b.example/", flat.format(i)) for i in range(4)] + [(10 + i, "http://c.example/", rooted.format(i)) for i in range(4)]
+    pages += [(20 + i, "http://copies.example/", rooted.format(7)) for i in range(3)] + [(30, "http://one.example/", flat.format(7))]
+    pages += [(40 + i, "http://titles.example/", rooted.format(7).replace("T7", f"T{i}")) for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in html_extract.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(4):
+        assert got[i] == f"Story {i} with words"
+        assert got[10 + i] == f"T{i}\nSummary\nStory {i} with words"
+    assert got[20] == got[22] == "T7\nSummary\nStory 7 with words\nRead our other pages"
+    assert "Story 7 with words" in got[30]
+    assert all(got[40 + i].startswith(f"T{i}\nSummary\nStory 7 with words") for i in range(3))
+
+
 def luhn(digits):
     total = 0
     for k, c in enumerate(reversed(digits)):
