@@ -1,10 +1,12 @@
 """Secret scans: a worklist of decoded layers, each rescanned, spans mapped to the source.
 
 The base patterns run over the whole text.  Every line that holds an encoded piece (percent
-escapes, Unicode escapes, base64 runs, compressed data inside base64) then enters a
+escapes, Unicode and byte escapes, base64 runs, compressed data in any of them) then enters a
 worklist: each decoder rewrites the line into a new layer in which every character carries
 the source span it came from, new layers are rescanned and decoded again until none is new.
-Layers already seen (by digest) are not visited again, so self-reproducing data ends.  No
+Pieces that are no clean text (control bytes, no UTF-8) become layers of their own, read as
+Latin-1; compressed streams are looked for in every decoded layer, at any depth, all members.
+Layers already seen (by digest and place) are not visited again, so self-reproducing data ends.  No
 pattern can match across a line feed, so working line by line loses nothing.
 
 Spans found in a layer are added when they hold at least one decoded character; base spans
@@ -18,7 +20,6 @@ ignored by ``secrets`` and kept by ``redact``."""
 
 from __future__ import annotations
 
-import base64
 import binascii
 import hashlib
 import re
@@ -45,6 +46,12 @@ _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|((?:\\u[0-9A-Fa-f]{4})+)|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#(?:x([0-9A-Fa-f]{1,6})|([0-9]{1,7}));")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 _ENCODED = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f{]|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[xX]?[0-9A-Fa-f]|(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}")
+# Byte-string escapes, and the two-byte headers of gzip and zlib streams in bytes read as Latin-1.
+_LITERAL = re.compile(r"""\\(?:x[0-9A-Fa-f]{2}|[0-7]{1,3}|[abfnrtv\\'"])""")
+_C_ESCAPES = {"a": "\a", "b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v", "\\": "\\", "'": "'", '"': '"'}
+_HEADER = re.compile("\x1f\x8b|" + "|".join(
+    re.escape(chr(a)) + "[" + "".join(re.escape(chr(b)) for b in range(256) if not (a << 8 | b) % 31 and not b & 32) + "]" for a in range(8, 128, 16)))
+_BYTES = re.compile("[\x00-\xff]*")
 _URL_SAFE = str.maketrans("-_", "+/")
 _BINARY = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 
@@ -63,19 +70,56 @@ def scan(text: str) -> list[Span]:
     return found + [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
 
 
-def _inflate(data: bytes, limit: int) -> bytes | None:
-    """Output of a gzip or zlib stream; None if it is not one; ``b""`` if it passes the limit."""
-    if data[:2] != b"\x1f\x8b" and (len(data) < 2 or data[0] & 15 != 8 or (data[0] << 8 | data[1]) % 31):
-        return None
-    out = zlib.decompressobj(47)  # either header
+class _TooLarge(Exception):
+    """A compressed piece whose output passes the limit."""
+
+
+def _member(data: bytes, limit: int) -> tuple[bytes, bytes | None]:
+    """Output of the first stream of ``data`` and what follows it; None if it is cut or damaged."""
+    out = zlib.decompressobj(47)  # gzip or zlib header
     try:
         text = out.decompress(data, limit)
+        return text, out.unused_data if out.eof else None
     except zlib.error:
-        return None
-    return b"" if out.unconsumed_tail else text
+        pass
+    out, parts, size = zlib.decompressobj(47), [], 0  # again, up to the damage
+    step = 1024
+    at = 0
+    while at < len(data) and size < limit:
+        before = out.copy()
+        try:
+            part = out.decompress(data[at : at + step], limit - size)
+        except zlib.error:
+            if step == 1:
+                break
+            out, step = before, 1
+            continue
+        parts.append(part)
+        size += len(part)
+        at += step
+    return b"".join(parts), None
+
+
+def _unpack(data: bytes, limit: int) -> tuple[bytes, bytes | None] | None:
+    """Output of all streams at the start of ``data``, and the bytes after them (None if the last
+    one is cut or damaged); None if there is no output.  Raises if it passes the limit."""
+    parts: list[bytes] = []
+    size = 0
+    rest: bytes | None = data
+    while rest and _HEADER.match(rest[:2].decode("latin-1")):
+        text, after = _member(rest, limit - size + 1)
+        size += len(text)
+        if size > limit:
+            raise _TooLarge
+        if after is None and not text:
+            break  # only looks like a header
+        parts.append(text)
+        rest = after if after is None else after.lstrip(b"\0")
+    return (b"".join(parts), rest) if size else None
 
 
 def _text(data: bytes) -> str | None:
+    """Clean text; other bytes are a layer of their own."""
     try:
         text = data.decode()
     except UnicodeDecodeError:
@@ -83,22 +127,19 @@ def _text(data: bytes) -> str | None:
     return None if not text or _BINARY.search(text) else text
 
 
-def _percent(m: re.Match, _: int) -> list[tuple[int, int, str]] | None:
-    """Decoded characters with the offsets of their escapes."""
-    raw = bytes.fromhex(m[0].replace("%", ""))
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return [(3 * i, 3 * i + 3, c) for i, c in enumerate(raw.decode("latin-1"))]
-    out, at = [], 0
-    for c in text:
-        size = len(c.encode())
-        out.append((3 * at, 3 * (at + size), c))
-        at += size
-    return out
+def _percent(m: re.Match) -> list[tuple[int, int, str]]:
+    """Decoded bytes with the offsets of their escapes; patterns and further escapes are ASCII, so bytes do."""
+    return [(3 * i, 3 * i + 3, c) for i, c in enumerate(bytes.fromhex(m[0].replace("%", "")).decode("latin-1"))]
+
+
+def _literal(m: re.Match) -> list[tuple[int, int, str]]:
+    """An escape of a byte string."""
+    code = m[0][1:]
+    char = chr(int(code[1:], 16)) if code[0] == "x" else chr(int(code, 8) & 255) if code[0] in "01234567" else _C_ESCAPES[code]
+    return [(0, len(m[0]), char)]
 
 
-def _unicode(m: re.Match, _: int) -> list[tuple[int, int, str]] | None:
+def _unicode(m: re.Match) -> list[tuple[int, int, str]]:
     if m[2]:
         units = [int(x, 16) for x in m[2].split("\\u")[1:]]
         out, i = [], 0
@@ -112,35 +153,102 @@ def _unicode(m: re.Match, _: int) -> list[tuple[int, int, str]] | None:
     return [(0, len(m[0]), chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd")]
 
 
-def _base64(m: re.Match, limit: int) -> list[tuple[int, int, str]] | None:
-    body = m[0].rstrip("=").translate(_URL_SAFE)
-    if len(body) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
-        return None
-    packed = _inflate(data, limit)
-    if packed is not None:
-        if packed == b"":
-            return [(0, len(m[0]), "")]
-        text = _text(packed)
-        return text and [(0, len(m[0]), c) for c in text]
-    text = _text(data)
-    if text is None:
-        return None
-    out, at = [], 0
-    for c in text:
-        size = len(c.encode())
-        out.append((at // 3 * 4 + at % 3, min(len(m[0]), (at + size - 1) // 3 * 4 + (at + size - 1) % 3 + 2), c))
-        at += size
-    return out
+def _bytes(body: str) -> bytes:
+    """Base64 without padding; a last character that holds no whole byte is left out."""
+    body = body.translate(_URL_SAFE)
+    body = body[:-1] if len(body) % 4 == 1 else body
+    return binascii.a2b_base64(body + "=" * (-len(body) % 4))
+
+
+def _whole(data: bytes, a: int, b: int) -> Layer:
+    """A layer of bytes that all come from the source span [a, b)."""
+    return data.decode("latin-1"), [a] * len(data), [b] * len(data), [True] * len(data)
+
+
+class _Decoder:
+    """The decoders of one worklist; pieces that are no clean text become layers of their own."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.bombs: list[Span] = []
+
+    def steps(self, layer: Layer) -> Iterator[Layer]:
+        own: list[Layer] = []
+        rewritten = [_rewrite(layer, _PERCENT, _percent), _rewrite(layer, _UNICODE, _unicode)]
+        if "\\x" in layer[0]:
+            rewritten.append(_rewrite(layer, _LITERAL, _literal))
+        rewritten.append(_rewrite(layer, _BASE64, lambda m: self._base64(m, layer, own)))
+        yield from (x for x in rewritten if x is not None)
+        yield from own
+        if True in layer[3]:
+            yield from self._packed(layer)
+
+    def _inflated(self, data: bytes, a: int, b: int) -> tuple[bytes, bytes | None] | None:
+        """As ``_unpack``; a piece that passes the limit is noted and has neither output nor rest."""
+        try:
+            return _unpack(data, self.limit)
+        except _TooLarge:
+            self.bombs.append(("bomb", a, b))
+            return b"", None
+
+    def _base64(self, m: re.Match, layer: Layer, own: list[Layer]) -> list[tuple[int, int, str]] | None:
+        _, start, stop, _ = layer
+        body = m[0].rstrip("=")
+        data = _bytes(body)
+        if _HEADER.match(data[:2].decode("latin-1")):
+            a, b = min(start[m.start() : m.end()]), max(stop[m.start() : m.end()])
+            done = self._inflated(data, a, b)
+            if done == (b"", None):
+                return None
+            text = _text(done[0]) if done and done[1] == b"" else None
+            if text:
+                return [(0, len(m[0]), c) for c in text]
+        text = _text(data) if len(body) % 4 != 1 else None
+        if text is None:
+            at = range(m.start(), m.start() + len(body))
+            own.append(_spread(data, [start[i] for i in at], [stop[i] for i in at]))
+            return None
+        out, at = [], 0
+        for c in text:
+            size = len(c.encode())
+            out.append((at // 3 * 4 + at % 3, min(len(m[0]), (at + size - 1) // 3 * 4 + (at + size - 1) % 3 + 2), c))
+            at += size
+        return out
 
+    def _packed(self, layer: Layer) -> Iterator[Layer]:
+        """The output of compressed streams that start anywhere in a layer."""
+        text, start, stop, new = layer
+        done = 0
+        for m in _HEADER.finditer(text):
+            i = m.start()
+            if i < done or True not in new[i : i + 16]:
+                continue
+            try:
+                zlib.decompressobj(47).decompress(text[i : i + 64].encode("latin-1", "ignore"), 64)
+            except zlib.error:
+                if text[i] != "\x1f":
+                    continue  # ordinary characters
+            end = _BYTES.match(text, i).end()
+            data = text[i:end].encode("latin-1")
+            found = self._inflated(data, min(start[i:end]), max(stop[i:end]))
+            if found is None:
+                continue
+            out, rest = found
+            if not out:
+                done = end
+                continue
+            if rest is not None:  # what follows stays in this layer
+                end = done = end - len(rest)
+            yield _whole(out, min(start[i:end]), max(stop[i:end]))
 
-_DECODERS = ((_PERCENT, _percent), (_UNICODE, _unicode), (_BASE64, _base64))
 
+def _spread(data: bytes, start: list[int], stop: list[int]) -> Layer:
+    """Bytes of base64 characters that come from the given source spans."""
+    at = [k // 3 * 4 + k % 3 for k in range(len(data))]
+    return data.decode("latin-1"), [start[i] for i in at], [stop[i + 1] for i in at], [True] * len(data)
 
-def _rewrite(layer: Layer, pattern: re.Pattern, decode, limit: int, bombs: list[Span]) -> Layer | None:
+
+def _rewrite(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     """The layer with every piece that the decoder accepts replaced; None if there is none."""
     text, start, stop, new = layer
     chars: list[str] = []
@@ -149,12 +257,9 @@ def _rewrite(layer: Layer, pattern: re.Pattern, decode, limit: int, bombs: list[
     n: list[bool] = []
     done = 0
     for m in pattern.finditer(text):
-        pieces = decode(m, limit)
+        pieces = decode(m)
         if not pieces:
             continue
-        if pieces[0][2] == "":
-            bombs.append(("bomb", start[m.start()], stop[m.end() - 1]))
-            continue
         chars.append(text[done : m.start()])
         a += start[done : m.start()]
         b += stop[done : m.start()]
@@ -174,21 +279,23 @@ def _rewrite(layer: Layer, pattern: re.Pattern, decode, limit: int, bombs: list[
 def layers(line: str, offset: int, limit: int = MAX_LAYER_BYTES) -> tuple[list[Layer], list[Span]]:
     """Every decoded layer of a line, and the pieces too large to unpack."""
     work: list[Layer] = [(line, list(range(offset, offset + len(line))), list(range(offset + 1, offset + len(line) + 1)), [False] * len(line))]
-    seen = {hashlib.sha256(line.encode("utf-8", "surrogatepass")).digest()}
+    # Equal bytes from different places are different layers: each has spans of its own.
+    seen = {_digest(work[0])}
     out: list[Layer] = []
-    bombs: list[Span] = []
+    decoder = _Decoder(limit)
     while work:
-        layer = work.pop()
-        for pattern, decode in _DECODERS:
-            made = _rewrite(layer, pattern, decode, limit, bombs)
-            if made is None:
-                continue
-            key = hashlib.sha256(made[0].encode("utf-8", "surrogatepass")).digest()
+        for made in decoder.steps(work.pop()):
+            key = _digest(made)
             if key not in seen:
                 seen.add(key)
                 out.append(made)
                 work.append(made)
-    return out, bombs
+    return out, decoder.bombs
+
+
+def _digest(layer: Layer) -> tuple[bytes, int, int]:
+    text, start, stop, _ = layer
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest(), min(start, default=0), max(stop, default=0)
 
 
 def _order(span: Span) -> tuple[int, int, int]:
