@@ -1,13 +1,14 @@
 """Secret scans: a worklist of decoded layers, each rescanned, spans mapped to the source.
 
-The base patterns run over the whole text.  Every line that holds an encoded piece (percent
+The base patterns run over the whole text.  Every line (base64 wrapped over lines: all of them) that holds an encoded piece (percent
 escapes, Unicode and byte escapes, base64 runs, compressed data in any of them) then enters a
 worklist: each decoder rewrites the line into a new layer in which every character carries
 the source span it came from, new layers are rescanned and decoded again until none is new.
 Pieces that are no clean text (control bytes, no UTF-8) become layers of their own, read as
 Latin-1; compressed streams are looked for in every decoded layer, at any depth, all members.
 Layers already seen (by digest and place) are not visited again, so self-reproducing data ends.  No
-pattern can match across a line feed, so working line by line loses nothing.
+pattern can match across a line feed, and wrapped base64 is joined before it is decoded, from
+each of four offsets.  Wrapped base64 of which no line has 16 characters is not looked for.
 
 Spans found in a layer are added when they hold at least one decoded character; base spans
 always stay.  A compressed piece whose output passes ``max_layer_bytes`` is not unpacked in
@@ -52,6 +53,8 @@ _C_ESCAPES = {"a": "\a", "b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t",
 _HEADER = re.compile("\x1f\x8b|" + "|".join(
     re.escape(chr(a)) + "[" + "".join(re.escape(chr(b)) for b in range(256) if not (a << 8 | b) % 31 and not b & 32) + "]" for a in range(8, 128, 16)))
 _BYTES = re.compile("[\x00-\xff]*")
+# Base64 over several lines: the end of a line, whole lines of base64, the start of a last one up to its padding.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)+={0,2}")
 _URL_SAFE = str.maketrans("-_", "+/")
 _BINARY = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 
@@ -180,6 +183,7 @@ class _Decoder:
         rewritten.append(_rewrite(layer, _BASE64, lambda m: self._base64(m, layer, own)))
         yield from (x for x in rewritten if x is not None)
         yield from own
+        yield from _joined(layer)
         if True in layer[3]:
             yield from self._packed(layer)
 
@@ -248,6 +252,22 @@ def _spread(data: bytes, start: list[int], stop: list[int]) -> Layer:
     return data.decode("latin-1"), [start[i] for i in at], [stop[i + 1] for i in at], [True] * len(data)
 
 
+def _joined(layer: Layer) -> Iterator[Layer]:
+    """Base64 wrapped over lines as one piece.  A word before the first line may have joined the
+    run, so it is decoded from each of its first four characters."""
+    text, start, stop, _ = layer
+    if "\n" not in text:
+        return
+    for m in _WRAPPED.finditer(text):
+        at = [i for i in range(m.start(), m.end()) if text[i] not in "=\r\n\t\x20"]
+        if len(at) < 16:
+            continue
+        body = "".join([text[i] for i in at])
+        a, b = [start[i] for i in at], [stop[i] for i in at]
+        for k in range(4):
+            yield _spread(_bytes(body[k:]), a[k:], b[k:])
+
+
 def _rewrite(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     """The layer with every piece that the decoder accepts replaced; None if there is none."""
     text, start, stop, new = layer
@@ -302,13 +322,10 @@ def _order(span: Span) -> tuple[int, int, int]:
     return span[1], KINDS.index(span[0]), span[2]
 
 
-def find(text: str | None, limit: int = MAX_LAYER_BYTES) -> tuple[list[Span], list[Span], int]:
-    """(base spans, all spans, number of decoded layers); offsets in code points."""
-    if not text:
-        return [], [], 0
-    base = sorted(scan(text), key=_order)
-    added: set[Span] = set()
-    n_layers = 0
+def _units(text: str) -> Iterator[tuple[int, int]]:
+    """Lines with an encoded piece; lines that share wrapped base64 are one unit."""
+    wrapped = iter(_WRAPPED.finditer(text) if "\n" in text else ())
+    run = next(wrapped, None)
     end = -1
     for m in _ENCODED.finditer(text):
         if m.start() < end:
@@ -316,6 +333,25 @@ def find(text: str | None, limit: int = MAX_LAYER_BYTES) -> tuple[list[Span], li
         start = text.rfind("\n", 0, m.start()) + 1
         end = text.find("\n", m.start())
         end = len(text) if end < 0 else end
+        while run and run.end() <= start:
+            run = next(wrapped, None)
+        while run and run.start() < end:
+            start = min(start, text.rfind("\n", 0, run.start()) + 1)
+            if run.end() > end:
+                end = text.find("\n", run.end())
+                end = len(text) if end < 0 else end
+            run = next(wrapped, None)
+        yield start, end
+
+
+def find(text: str | None, limit: int = MAX_LAYER_BYTES) -> tuple[list[Span], list[Span], int]:
+    """(base spans, all spans, number of decoded layers); offsets in code points."""
+    if not text:
+        return [], [], 0
+    base = sorted(scan(text), key=_order)
+    added: set[Span] = set()
+    n_layers = 0
+    for start, end in _units(text):
         made, bombs = layers(text[start:end], start, limit)
         n_layers += len(made)
         added.update(bombs)
