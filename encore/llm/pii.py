@@ -7,13 +7,16 @@ each term t and kind k, over whole documents,
     PMI(t; k) = log(co(t, k) * N / (df(t) * df(k)))        information that t gives about k
     IC(k)     = log(N / df(k))                             information that k holds
 
-and t exceeds the disclosure threshold for k if PMI >= ``threshold`` * IC and it goes with
-at least ``min_values`` different values of k.  Every occurrence of such a term in a document
-that holds an entity of k becomes a span of kind ``term``; documents without personal data
-get none.  ``sanitise`` generalises base spans to their kind and removes terms.
+and the same for each term t and entity value v in place of k.  t exceeds the disclosure
+threshold for k or v if PMI >= ``threshold`` * IC and it goes with it in at least ``min_texts``
+different texts, so that copies are no evidence.  Every occurrence of such a term in a document
+that holds an entity of k, or the entity v, becomes a span of kind ``term``; documents without
+personal data get none.  Values are compared without case, cards and phones by their digits.
+``sanitise`` generalises base spans to their kind and removes terms.
 
 The term counts are partially aggregated before their shuffle, so a frequent word or a large
-source costs one row per task.  Only disclosing terms and the lines that hold them are joined.
+source costs one row per task.  Pairs of term and value are made for values in ``min_texts``
+different texts only, as no other can pass, and aggregated by text and then by pair.  Only disclosing terms and the lines that hold them are joined.
 
 Edge cases: a null text is empty and has no spans.  Equal texts share their statistics rows
 in the join back, but every row counts in the corpus and gives a row of its own, whatever its
@@ -48,7 +51,7 @@ SPAN = "array<struct<start:int,stop:int>>"
 @dataclass(frozen=True)
 class Disclosure:
     threshold: float = 0.9  # share of the entity's information that a term may give away
-    min_values: int = 5  # different entity values a term must go with
+    min_texts: int = 5  # different texts in which a term must go with the kind or value
 
 
 def _digits(x: Column) -> Column:
@@ -71,7 +74,8 @@ def _is_valid(kind: str) -> Callable[[Column], Column]:
 
 
 def _valued(kind: str) -> Callable[[Column], Column]:
-    return lambda x: F.struct(F.lit(kind).alias("kind"), F.xxhash64(x["body"]).alias("value"))
+    """The tag of an entity: its kind and a digest of its value."""
+    return lambda x: F.concat(F.lit(f"{kind}:"), F.xxhash64(_digits(x["body"]) if kind in ("card", "phone") else F.lower(x["body"])).cast("string"))
 
 
 def _marked(mark: str) -> Callable[[Column], Column]:
@@ -119,40 +123,64 @@ def _terms(line: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(line), r"[^\p{L}]+"), lambda x: x != ""))
 
 
+def _kinds() -> Column:
+    return F.filter(F.array(*[F.when(F.size(k) > 0, F.lit(k)) for k in KINDS]), lambda x: x.isNotNull())
+
+
+def _values() -> Column:
+    return F.array_distinct(F.concat(*[F.transform(F.col(k), _valued(k)) for k in KINDS]))
+
+
+def _tells(n: float, rule: Disclosure) -> Column:
+    """PMI against the information of the entity; columns co, df (of the term), df_tag."""
+    return (F.col("df_tag") < n) & (F.log(F.col("co") * n / (F.col("df") * F.col("df_tag"))) >= rule.threshold * F.log(F.lit(n) / F.col("df_tag")))
+
+
 def disclosing_terms(based: DataFrame, rule: Disclosure) -> DataFrame:
-    """(term, kind) whose occurrence tells too much about an entity of that kind."""
+    """(term, tag) whose occurrence tells too much about an entity of a kind (the tag is the kind)
+    or about one entity (kind and digest of the value)."""
     total = ""  # no word is empty: this row counts all documents
     flags = [(F.size(k) > 0).cast("long").alias(f"has_{k}") for k in KINDS]
     counted = (based.select(F.explode(F.concat(F.array(F.lit(total)), _terms(F.col("body")))).alias("term"), *flags)
                .groupBy("term").agg(F.count("*").alias("df"), *[F.sum(f"has_{k}").alias(f"co_{k}") for k in KINDS])
-               .where((F.col("term") == total) | (F.greatest(*[F.col(f"co_{k}") for k in KINDS]) >= rule.min_values)))
+               .where((F.col("term") == total) | (F.greatest(*[F.col(f"co_{k}") for k in KINDS]) >= rule.min_texts)))
     counted = stored(counted, "pii-terms")
     whole = counted.where(F.col("term") == total).first()
     if whole is None:
-        return counted.select("term", F.lit("email").alias("kind")).limit(0)
+        return counted.select("term", F.lit("email").alias("tag")).limit(0)
     n = float(whole["df"])
-    per_kind = [F.struct(F.lit(k).alias("kind"), F.col(f"co_{k}").cast("double").alias("co"), F.lit(float(whole[f"co_{k}"])).alias("df_kind"))
+    counted = counted.where(F.col("term") != total)
+    per_kind = [F.struct(F.lit(k).alias("tag"), F.col(f"co_{k}").cast("double").alias("co"), F.lit(float(whole[f"co_{k}"])).alias("df_tag"))
                 for k in KINDS]
-    told = (counted.where(F.col("term") != total).select("term", "df", F.explode(F.array(*per_kind)).alias("k")).select("term", "df", "k.*")
-            .where((F.col("co") >= rule.min_values) & (F.col("df_kind") < n))
-            .where(F.log(F.col("co") * n / (F.col("df") * F.col("df_kind"))) >= rule.threshold * F.log(F.lit(n) / F.col("df_kind")))
-            .select("term", "kind"))
-    # Copies of one document are no evidence: different values of the entity must stand by the term.
-    values = based.where(F.greatest(*[F.size(k) for k in KINDS]) > 0).select(
-        F.explode(F.concat(*[F.transform(F.col(k), _valued(k)) for k in KINDS])).alias("v"), _terms(F.col("body")).alias("terms"))
-    pairs = values.select("v.kind", "v.value", F.explode("terms").alias("term")).join(told, ["term", "kind"])
-    return pairs.groupBy("term", "kind").agg(F.count_distinct("value").alias("n_values")).where(F.col("n_values") >= rule.min_values).select("term", "kind")
+    told = (counted.select("term", "df", F.explode(F.array(*per_kind)).alias("k")).select("term", "df", "k.*")
+            .where((F.col("co") >= rule.min_texts) & _tells(n, rule)).select("term", "tag"))
+    # Copies of one document are no evidence: the support is counted in different texts.
+    holders = based.where(F.greatest(*[F.size(k) for k in KINDS]) > 0).select(
+        F.xxhash64("body").alias("text_key"), _kinds().alias("kinds"), _values().alias("values"), _terms(F.col("body")).alias("terms"))
+    of_kind = (holders.select("text_key", "kinds", F.explode("terms").alias("term")).join(told, "term").where(F.array_contains("kinds", F.col("tag")))
+               .groupBy("term", "tag").agg(F.count_distinct("text_key").alias("n_texts")).where(F.col("n_texts") >= rule.min_texts))
+    values = stored(based.where(F.greatest(*[F.size(k) for k in KINDS]) > 0)
+                    .select(F.xxhash64("body").alias("text_key"), F.explode(_values()).alias("tag"))
+                    .groupBy("tag", "text_key").agg(F.count("*").alias("n"))
+                    .groupBy("tag").agg(F.sum("n").alias("df_tag"), F.count("*").alias("n_texts"))
+                    .where(F.col("n_texts") >= rule.min_texts).select("tag", "df_tag"), "pii-values")
+    of_value = (holders.select("text_key", "terms", F.explode("values").alias("tag")).join(values.select("tag"), "tag")
+                .select("text_key", "tag", F.explode("terms").alias("term"))
+                .groupBy("term", "tag", "text_key").agg(F.count("*").alias("n"))
+                .groupBy("term", "tag").agg(F.sum("n").alias("co"), F.count("*").alias("n_texts")).where(F.col("n_texts") >= rule.min_texts)
+                .join(values, "tag").join(counted.select("term", "df"), "term").where(_tells(n, rule)))
+    return of_kind.select("term", "tag").unionAll(of_value.select("term", "tag"))
 
 
 def _term_spans(based: DataFrame, terms: DataFrame) -> DataFrame:
     """key (digest of the text), extra: the spans of disclosing terms, by line."""
     holders = based.where(F.greatest(*[F.size(k) for k in KINDS]) > 0).select(
         F.md5("body").alias("key"), "body",
-        F.array(*[F.when(F.size(k) > 0, F.lit(k)) for k in KINDS]).alias("kinds"),
+        F.concat(_kinds(), _values()).alias("tags"),
         F.transform(F.concat(*KINDS), lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"))).alias("base"))
-    lines = holders.select("key", "kinds", "base", F.explode(located(F.col("body"), r"[^\n]+")).alias("line"))
-    words = lines.select("key", F.col("line.start").alias("at"), "kinds", F.explode(F.array_distinct(F.split(F.lower("line.body"), r"[^\p{L}]+"))).alias("term"))
-    telling = (words.join(terms, "term").where(F.array_contains("kinds", F.col("kind")))
+    lines = holders.select("key", "tags", "base", F.explode(located(F.col("body"), r"[^\n]+")).alias("line"))
+    words = lines.select("key", F.col("line.start").alias("at"), "tags", F.explode(F.array_distinct(F.split(F.lower("line.body"), r"[^\p{L}]+"))).alias("term"))
+    telling = (words.join(terms, "term").where(F.array_contains("tags", F.col("tag")))
                .groupBy("key", "at").agg(F.collect_set("term").alias("telling")))  # at most the words of a line
     hit = lines.select("key", F.col("line.start").alias("at"), "base", F.col("line.body").alias("body")).join(telling, ["key", "at"])
     found = hit.select("key", "base", "at", F.explode(F.filter(located(F.col("body"), TERM), lambda x: F.exists(

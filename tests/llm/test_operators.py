@@ -370,6 +370,18 @@ def test_pii_terms_and_sanitising(spark):
     assert clean[0]["text"] == "Hello there\nwrite to  [EMAIL] now" and clean[20]["text"] == texts[20]
 
 
+def test_pii_terms_of_one_entity(spark):
+    """A surname that goes with one address tells it, also where its kind is common; copies tell nothing."""
+    texts = [f"Note {chr(97 + i)}x from Quillfeather at Quill@mail.example today" for i in range(8)]  # one value, eight texts
+    texts += [f"Note from all at user{i}@mail.example today" for i in range(60)]  # the kind is common
+    texts += [f"Note number {i} from all at noon today" for i in range(40)] + ["Note by Quillfeather without any"] * 2
+    texts += ["Note on Copperfield to copper@mail.example"] * 8
+    got = by_id(pii.personal_data(documents(spark, texts)))
+    marks = lambda d: [texts[d][int(a) : int(b)] for k, a, b in (x.split(":") for x in got[d]["spans"].split(",") if x) if k == "term"]
+    assert all(marks(i) == ["Quillfeather"] for i in range(8)), marks(0)
+    assert "Quillfeather" not in marks(108) and not any("Copperfield" in marks(i) for i in range(110, 118))
+
+
 def test_quality_counts():
     rng = random.Random(6)
     texts = ["", "a b c a b c", "x\nx\n\nx", "é# *$%", " "] + ["".join(rng.choice(["the ", "of\n", "é#", "and ", "\t"]) for _ in range(rng.randint(0, 200)))
