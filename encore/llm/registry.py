@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import bpe, decontaminate, html_extract, jaccard_join, pii, quality, secret_scan, substring_dedup, suffix_dedup, toxicity
+from encore.llm import (bpe, decontaminate, html_extract, jaccard_join, pii, prefix_trie, quality, secret_scan, substring_dedup, suffix_dedup,
+                        toxicity)
 from encore.registry.common import Registry
 
 R = Registry()
@@ -97,4 +98,35 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.round("severity", 6).alias("severity"), F.round("p_toxic", 6).alias("p_toxic"), "grade", "toxic")
 
 
+# CRC-32 (reflected, 0xEDB88320) of a decimal number, a byte and then eight bits at a time.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({x} AS VARCHAR), ''), lambda s: unicode(s)::BIGINT)),
+      lambda c, s: list_reduce([xor(c, s), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, (v & 1) * 3988292384))), 4294967295::BIGINT)"""
+
+_OP11_SQL = f"""
+WITH own AS (SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS t
+             FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+hs AS (SELECT c, t, {_CRC.format(x="c")} % 4 AS h FROM own),
+seqs AS (SELECT a.c, list_concat(list_slice(coalesce(b.t, []), 1, a.h), list_slice(a.t, a.h + 1, len(a.t))) AS s
+         FROM hs a LEFT JOIN own b ON b.c = a.c - a.c % 20),
+prefixes AS (SELECT c, len(s) AS n, d, list_slice(s, 1, d) AS p FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM seqs)),
+nodes AS (SELECT d, p, min(c) AS conv_id, count(*) AS n_convs,
+                 coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE n = d), '') AS ends,
+                 (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(p[d].text, '[^\\x20\\x09-\\x0D]+')) END AS own_saved
+          FROM prefixes GROUP BY d, p),
+kids AS (SELECT d - 1 AS d, list_slice(p, 1, d - 1) AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1, 2),
+below AS (SELECT up, list_slice(q.p, 1, up) AS p, sum(own_saved) AS saved, count(*) FILTER (WHERE leaf) AS leaves
+          FROM (SELECT n.p, n.own_saved, k.n_children IS NULL AS leaf, unnest(range(0, n.d + 1)) AS up
+                FROM nodes n LEFT JOIN kids k ON k.d = n.d AND k.p = n.p) q GROUP BY 1, 2)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(k.n_children, 0) AS BIGINT) AS n_children,
+       CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN below b ON b.up = n.d AND b.p = n.p LEFT JOIN kids k ON k.d = n.d AND k.p = n.p
+     LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = list_slice(n.p, 1, n.d - 1)
+"""
+
+
+@R.add("op11_prefix_trie", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 R.add("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
