@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import (bpe, decontaminate, html_extract, jaccard_join, pii, prefix_trie, quality, secret_scan, substring_dedup, suffix_dedup,
-                        toxicity)
+from encore.llm import (bpe, decontaminate, html_extract, jaccard_join, lexical_search, pii, prefix_trie, quality, secret_scan, substring_dedup,
+                        suffix_dedup, toxicity)
 from encore.registry.common import Registry
 
 R = Registry()
@@ -129,4 +129,25 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+_OP12_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_ASCII_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+q AS (SELECT item_id, row_number() OVER () AS i, regexp_extract_all({_ASCII_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+s AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+df AS (SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS weight FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), s),
+qt AS (SELECT i, t, count(*) AS q FROM (SELECT i, unnest(w) AS t FROM q) GROUP BY i, t),
+m AS (SELECT r, doc_id, 100 - 75 + (75 * len(w) * n_docs) // n_terms AS m FROM d, s WHERE len(w) > 0),
+hits AS (SELECT i, r, sum(q * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+         FROM qt JOIN tf USING (t) JOIN df USING (t) JOIN m USING (r) GROUP BY i, r)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT i, doc_id, score, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM hits JOIN m USING (r) WHERE score > 0)
+     JOIN q USING (i) WHERE rank <= 10
+"""
+
+
+@R.add("op12_lexical_search", _OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 R.add("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
