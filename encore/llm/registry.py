@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import (bpe, decontaminate, html_extract, jaccard_join, lexical_search, pii, prefix_trie, quality, secret_scan, substring_dedup,
-                        suffix_dedup, toxicity)
+from encore.llm import (bpe, decontaminate, html_extract, jaccard_join, lexical_search, lm_score, pii, prefix_trie, quality, secret_scan,
+                        substring_dedup, suffix_dedup, toxicity)
 from encore.registry.common import Registry
 
 R = Registry()
@@ -150,4 +150,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@R.add("op13_lm_score")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 R.add("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
