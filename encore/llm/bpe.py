@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from encore.llm.common import importable, slices
 
 WORD_CACHE = 100_000  # entries in a generation of a worker's caches: a bound on memory, not on the input
+#: The digests alone leave room for a larger cache and larger slices, in which more chunks are met again.
+DIGEST_CACHE, DIGEST_SLICE = 200_000, 4 << 20
 _END = "\0"  # stands for the word-end suffix while matching
 SCHEMA = "doc_id long, n_tokens long, ids array<int>, decoded string"
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -69,7 +71,7 @@ class Recent:
 
 
 class WordBpe:
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = WORD_CACHE):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -105,8 +107,8 @@ class WordBpe:
             self.lengths[k] = len(self._body(t)) + t.endswith(self.suffix)
         self.table = {b: s for b, s in enumerate(self.symbols)} | {0xFF: _END}  # no UTF-8 byte is 0xFF
         self.split_lines = regex.compile(self.split.pattern + r"|\n")
-        self.words: Recent = Recent(WORD_CACHE)
-        self.chunks: Recent = Recent(WORD_CACHE)
+        self.words: Recent = Recent(cache)
+        self.chunks: Recent = Recent(cache)
         self.stats = {"words": 0, "merged": 0}
 
     def _body(self, token: str) -> str:
@@ -278,18 +280,18 @@ _SIGMA = {0x3A3: 0x3C3}  # a capital sigma becomes the plain small one wherever
 
 
 @lru_cache(maxsize=2)
-def load(path: str) -> WordBpe:
-    bpe = WordBpe(path)
+def load(path: str, cache: int = WORD_CACHE) -> WordBpe:
+    bpe = WordBpe(path, cache)
     gc.freeze()  # the tables stay; collecting garbage need not visit them
     return bpe
 
 
 def _digests(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
+        bpe = load(path, DIGEST_CACHE)
         sha = hashlib.sha256
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, DIGEST_SLICE):
                 rows = bpe.look_up(part.column(1).to_pylist())
                 yield pa.record_batch({
                     "doc_id": part.column(0).cast(pa.int64()), "n_tokens": pa.array([sum([x[0] for x in r]) for r in rows], pa.int64()),
