@@ -40,7 +40,7 @@ def split_records(lines: DataFrame, value_col: str = "value", keep: Sequence[str
     parts = F.split(F.regexp_replace(F.col(value_col), f"{FIELD_SEP}+$", ""), FIELD_SEP)
     return (lines.select(parts.alias("_p"), *keep)
                  .where(F.size("_p") == FIELD_COUNT)
-                 .select(F.col("_p")[EVENT_INDEX].alias("event"), F.col("_p")[PAYLOAD_INDEX].alias("payload"),
+                 .select(F.get("_p", F.lit(EVENT_INDEX)).alias("event"), F.get("_p", F.lit(PAYLOAD_INDEX)).alias("payload"),
                          *keep))
 
 
