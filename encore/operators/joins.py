@@ -1,7 +1,7 @@
 """Joins with an explicit broadcast policy.
 
-A side is broadcast only after its rows and bytes have been checked against a bound (the
-check reads at most ``max_rows + 1`` rows); otherwise the join is left to the planner, where
+A side is broadcast only after its rows and bytes have been checked against a bound (summed
+by all tasks, partial sums first); otherwise the join is left to the planner, where
 AQE may still switch to a broadcast once the shuffle has measured the real size.
 """
 
@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Lookups (provinces, cities, areas, stores) are bounded by geography, far below this.
 LOOKUP_MAX_ROWS = 1_000_000
-# All lookups of one plan together, as JSON text (wider than Spark keeps them).
+# All lookups of one plan together.
 LOOKUP_MAX_BYTES = 128 << 20
 
 
@@ -24,12 +24,25 @@ def broadcast_if_small(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS, max_bytes
     return broadcast_all_if_small([df], max_rows, max_bytes)[0]
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """About what a row takes: text by its length, nested values as JSON, 8 bytes for all others."""
+    sizes = []
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            sizes.append(F.coalesce(F.octet_length(c), F.lit(0)) + 8)
+        elif kind.startswith(("array", "map", "struct")):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8)
+        else:
+            sizes.append(F.lit(8))
+    return reduce(lambda x, y: x + y, sizes, F.lit(16))
+
+
 def broadcast_all_if_small(frames: list[DataFrame], max_rows: int = LOOKUP_MAX_ROWS,
                            max_bytes: int = LOOKUP_MAX_BYTES) -> list[DataFrame]:
     """``broadcast`` for those frames that have at most ``max_rows`` rows, smallest first, as
-    long as they hold at most ``max_bytes`` together.  One bounded job measures them all."""
-    probes = [f.limit(max_rows + 1).select(F.lit(i).alias("_i"), F.octet_length(F.to_json(F.struct(*f.columns))).alias("_b"))
-              for i, f in enumerate(frames)]
+    long as they hold at most ``max_bytes`` together.  One partially aggregated job measures them all."""
+    probes = [f.select(F.lit(i).alias("_i"), _row_bytes(f).alias("_b")) for i, f in enumerate(frames)]
     sizes = {r["_i"]: (r["b"], r["n"]) for r in reduce(lambda a, b: a.unionByName(b), probes)
              .groupBy("_i").agg(F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b")).collect()}
     out, left = list(frames), max_bytes

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+import time
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.dates import check_day, day_minus, split_timestamp
 from encore.operators.joins import LOOKUP_MAX_ROWS, broadcast_if_small
 from encore.operators.sets import union_aligned
+from encore.session import ensure_checkpoint_dir
 
 # Sign-up channel codes, their labels, gender labels, default user type.
 CHANNEL_WECHAT, CHANNEL_ALIPAY, CHANNEL_QQ, CHANNEL_APP = "1", "2", "3", "4"
@@ -49,7 +53,12 @@ def channel_union(wx: DataFrame, ali: DataFrame, qq: DataFrame, app: DataFrame)
 def with_profiles(seen: DataFrame, users: DataFrame, ids_max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
     """``seen`` with the profiles of its users.  While the distinct ids are at most
     ``ids_max_rows`` they are broadcast, and the user tables are cut down to them as they are
-    scanned, before the join; beyond that both sides are joined by uid.  Same rows."""
+    scanned, before the join; beyond that both sides are joined by uid.  Same rows.
+
+    ``seen`` is computed once, into the checkpoint folder: it is measured, cuts the users and
+    is joined."""
+    ensure_checkpoint_dir(seen.sparkSession)
+    seen = seen.checkpoint(eager=True)
     ids = seen.select("uid").distinct()
     small = broadcast_if_small(ids, ids_max_rows)
     if small is not ids:
@@ -65,6 +74,31 @@ def active_users(logins: DataFrame, users: DataFrame, day: str, ids_max_rows: in
     return with_profiles(seen, users, ids_max_rows).select(*USER_COLUMNS)
 
 
+def store_profiles(users: DataFrame, table: str, buckets: int) -> None:
+    """Keep the user profiles as a table bucketed and sorted by uid, under the view ``table``.
+
+    Each call writes a table of its own and then points the view at it, so readers have the old
+    profiles or the new ones; the table before the last is dropped.  Take ``buckets`` so that a
+    bucket fits in a task, and a multiple of the shuffle partitions."""
+    spark = users.sparkSession
+    stored = f"{table}_b{buckets}_{time.time_ns():x}"
+    users.write.format("parquet").bucketBy(buckets, "uid").sortBy("uid").saveAsTable(stored)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {stored}")
+    name = table.split(".")[-1].lower()
+    database = table.split(".")[0] if "." in table else spark.catalog.currentDatabase()
+    for old in sorted(t.name for t in spark.catalog.listTables(database) if re.fullmatch(rf"{re.escape(name)}_b\d+_[0-9a-f]+", t.name))[:-2]:
+        spark.sql(f"DROP TABLE {database}.{old}")
+
+
+def active_users_bucketed(logins: DataFrame, profiles: DataFrame, day: str) -> DataFrame:
+    """``active_users`` against profiles that ``store_profiles`` keeps: the day's distinct ids are
+    shuffled to the profiles' buckets, the profiles stay where they are, at any number of ids."""
+    check_day(day)
+    uid = profiles.schema["uid"].dataType
+    seen = logins.where(F.col("data_dt") == day).select(F.col("uid").cast(uid).alias("uid")).distinct()
+    return seen.join(profiles.hint("merge"), "uid", "left").select(*USER_COLUMNS)
+
+
 def active_users_range(logins: DataFrame, users: DataFrame, start: str, end: str) -> DataFrame:
     """``active_users`` for every day of ``[start, end]`` at once, with ``data_dt``."""
     seen = logins.where(F.col("data_dt").between(check_day(start), check_day(end))).select("uid", "data_dt").distinct()
