@@ -31,23 +31,34 @@ from encore.plans.location import (BATCH_SIZE, LONG_BATCH_SIZE, combine_location
                                    lookup_enricher, machine_location, service_enricher, votes_from_state)
 from encore.plans.machines import machine_dim
 from encore.plans.money import consumption_detail, machine_stats, merchant_share, region_stats
-from encore.operators.windows import combine_window_partials, window_state
-from encore.plans.songs import song_dim, song_features_from_state
+from encore.operators.windows import combine_window_partials, window_state, windows_from_state
+from encore.plans.songs import song_dim
 from encore.plans.users import active_users, channel_union, newly_active_users
 from encore.session import remove_scratch, scratch_path
+from encore.operators.bitmaps import bitmap_state, dense_ids, windows_from_bitmaps
+from encore.operators.dyadic import DyadicStore
+from encore.plans.songs import features_from_windows
+from encore.sources import catalog
+from encore.sources.export import export_staged
+from encore.sources.ledger import Ledger, affected_days, day_signatures
 from encore.sources.scans import scan_day_range
-from encore.sources.sinks import export_jdbc, fanout_by_key, stamp_date, write_day, write_snapshot
+from encore.sources.sinks import fanout_by_key, stamp_date, write_day, write_snapshot
+from encore.sources.versions import publish_snapshot, read_table
 
 # Table names (folders under the warehouse root).
 PLAYS = "to_client_song_play_operate_req_d"
 SONG_SRC, SONG_DIM, SONG_FTUR = "to_song_info_d", "tw_song_baseinfo_d", "tw_song_ftur_d"
 SONG_STATE = "tw_song_day_partial_d"       # one partial aggregate per day of the play log
+SONG_BITS = "tw_song_day_bitmap_d"         # the same as bitmaps of dense ids
+USER_IDS, ORDER_IDS = "tw_user_id", "tw_order_id"
 SONG_RSI, SINGER_RSI = "tw_song_rsi_d", "tw_singer_rsi_d"
 MAC_A, MAC_B, MAC_ADDR = "to_ycak_mac_d", "to_ycbk_mac_admin_map_d", "to_ycak_mac_loc_d"
 PRVC, CITY, AREA, STORE_MAP, STORE = ("to_ycbk_prvc_d", "to_ycbk_city_d", "to_ycbk_area_d", "to_ycbk_mac_store_map_d",
                                       "to_ycbk_store_d")
 MAC_DIM, LOC_REPORTS, LOC_LOOKUP, MAC_LOC = "tw_mac_baseinfo_d", "to_ycak_usr_loc_d", "to_loc_lookup", "tw_mac_loc_d"
 LOC_STATE = "tw_mac_loc_day_partial_d"    # distinct location reports of each day
+LOC_TREE = "tw_mac_loc_dyadic"             # the same over 1, 2, 4, ... days, for long windows
+LONG_WINDOW = 60                           # days from which a window is read from the tree
 GEO_RESPONSES = "to_geocode_response_d"    # what the geocoder answered, by day
 CNSM, CNSM_BRIEF, MAC_STAT = "to_ycak_cnsm_d", "tw_cnsm_brief_d", "tw_mac_stat_d"
 USR_WX, USR_ALI, USR_QQ, USR_APP, LOGINS = ("to_ycak_usr_d", "to_ycak_usr_ali_d", "to_ycak_usr_qq_d",
@@ -60,8 +71,13 @@ EXPORTS = {"song_rsi": "to_song_rsi", "singer_rsi": "tm_singer_rsi", "machine_di
            "region_stats": "tm_mac_region_stat_d", "users": "user_7days_active"}
 
 
+_MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND")
+
+
 @dataclass
 class Warehouse:
+    """Tables as folders under ``root``.  ``CatalogWarehouse`` has the same tables by name."""
+
     spark: SparkSession
     root: str
     jdbc_url: str | None = None
@@ -71,7 +87,7 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(table))
+        df = read_table(self.spark, self.path(table))
         if "data_dt" in df.columns:      # day partitions are strings whatever discovery infers
             df = df.withColumn("data_dt", F.col("data_dt").cast("string"))
         return df
@@ -87,10 +103,82 @@ class Warehouse:
         write_day(df, self.path(table), day)
         return self.day(table, day)
 
+    def write_whole(self, df: DataFrame, table: str) -> None:
+        """Replace a snapshot table as a new version; readers see the old one until it is whole."""
+        publish_snapshot(df, self.path(table))
+
+    def stored_days(self, table: str, start: str, end: str, schema) -> set[str]:
+        """Days of ``[start, end]`` with rows."""
+        try:
+            self.read(table)
+        except AnalysisException as e:
+            if e.getCondition() not in _MISSING:
+                raise
+            return set()
+        stored = self.spark.read.schema(schema).parquet(self.path(table))
+        return {r[0] for r in stored.where(F.col("data_dt").between(start, end)).select("data_dt").distinct().collect()}
+
+    def replace_days(self, df: DataFrame, table: str, days: set[str]) -> None:
+        """Write ``df`` (with ``data_dt``) over the stored ``days``.
+
+        The stored days are emptied first (an empty day counts as not stored, so a run that fails
+        here is made good by the next): a day whose source has lost all its rows keeps none of before."""
+        for d in days:
+            write_snapshot(self.spark.createDataFrame([], df.schema).drop("data_dt"), f"{self.path(table)}/data_dt={d}")
+        (df.hint("rebalance", "data_dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("data_dt").parquet(self.path(table)))
+
+    def read_days(self, table: str, start: str, end: str, schema) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self.path(table)).where(F.col("data_dt").between(start, end))
+
+    @property
+    def ledger(self) -> Ledger:
+        return Ledger(self.spark, self.root)
+
     def export(self, df: DataFrame, job: str, day: str | None = None) -> None:
+        """To the mart's relational table, staged; a dated mart keeps its other days."""
         if self.jdbc_url and job in EXPORTS:
             out = stamp_date(df, day) if day else df
-            export_jdbc(out, self.jdbc_url, EXPORTS[job], self.jdbc_props)
+            export_staged(out, self.jdbc_url, EXPORTS[job], self.jdbc_props, "data_dt" if day else None)
+
+
+class CatalogWarehouse(Warehouse):
+    """The same tables by name in a database of the catalog: ``CREATE TABLE ... PARTITIONED BY``
+    with the columns of the first write (the play table with its declared ones), dynamic
+    ``INSERT OVERWRITE`` of days, snapshots swapped by the table's location."""
+
+    def __init__(self, spark: SparkSession, database: str, location: str | None = None, jdbc_url: str | None = None,
+                 jdbc_props: dict | None = None):
+        super().__init__(spark, catalog.use_database(spark, database, location), jdbc_url, jdbc_props or {})
+        self.database = database
+
+    def name(self, table: str) -> str:
+        return f"`{self.database}`.`{table}`"
+
+    def read(self, table: str) -> DataFrame:
+        return self.spark.table(self.name(table))
+
+    def day(self, table: str, day: str) -> DataFrame:
+        return self.read(table).where(F.col("data_dt") == check_day(day)).drop("data_dt")
+
+    def write_day(self, df: DataFrame, table: str, day: str) -> DataFrame:
+        if table == PLAYS:
+            catalog.create_day_table(self.spark, self.name(table), catalog.PLAY_TABLE_DDL)
+        catalog.write_day_table(df, self.name(table), day)
+        return self.day(table, day)
+
+    def write_whole(self, df: DataFrame, table: str) -> None:
+        catalog.swap_table(df, self.name(table), f"{self.root}/_snapshots/{table}")
+
+    def stored_days(self, table: str, start: str, end: str, schema) -> set[str]:
+        return {d for d in catalog.table_days(self.spark, self.name(table)) if start <= d <= end}
+
+    def replace_days(self, df: DataFrame, table: str, days: set[str]) -> None:
+        catalog.drop_days(self.spark, self.name(table), sorted(days))
+        catalog.insert_days(df.hint("rebalance", "data_dt"), self.name(table))
+
+    def read_days(self, table: str, start: str, end: str, schema) -> DataFrame:
+        return self.read(table).where(F.col("data_dt").between(start, end))
 
 
 def job_client_log(wh: Warehouse, day: str, log_path: str, event_name: str = PLAY_EVENT,
@@ -112,46 +200,51 @@ def job_client_log(wh: Warehouse, day: str, log_path: str, event_name: str = PLA
 
 def job_song_dim(wh: Warehouse, day: str | None = None) -> None:
     """Song dimension snapshot."""
-    write_snapshot(song_dim(wh.read(SONG_SRC)), wh.path(SONG_DIM))
+    wh.write_whole(song_dim(wh.read(SONG_SRC)), SONG_DIM)
+
+
+def _changed(wh: Warehouse, consumer: str, source: str, window: Sequence[str]) -> tuple[list[str], dict[str, str]]:
+    """Days of the source whose files are others than those that ``consumer`` was built from, and
+    the files' signatures of now.  They are taken before anything of the source is read."""
+    now = day_signatures(wh.spark, wh.path(source), window)
+    return wh.ledger.changed(consumer, source, now), now
 
 
 def _partials(wh: Warehouse, table: str, source: DataFrame, build: Callable[..., DataFrame], day: str, days: int,
-              changed: Sequence[str] = ()) -> DataFrame:
+              changed: Sequence[str] = (), origin: str | None = None) -> DataFrame:
     """The day partials of ``[day-days, day]``, one immutable partition per day.  The day
-    itself, days never stored and those named in ``changed`` are built from the source;
+    itself, days never stored, those named in ``changed`` and, where ``origin`` names the source
+    table, days whose files have changed since (by the ledger) are built from the source;
     no other day of it is read, and nothing stored for another day is written again."""
     window = [day_minus(day, k) for k in range(days, -1, -1)]
+    rewritten, signatures = _changed(wh, table, origin, window) if origin else ([], {})
     schema = build(source, day, day, by_day=True).schema
-    have: set[str] = set()
-    try:
-        wh.read(table)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-    else:
-        stored = wh.spark.read.schema(schema).parquet(wh.path(table))
-        have = {r[0] for r in stored.where(F.col("data_dt").between(window[0], day)).select("data_dt").distinct().collect()}
-    todo = [d for d in window if d == day or d not in have or d in changed]
+    have = wh.stored_days(table, window[0], day, schema)
+    todo = [d for d in window if d == day or d not in have or d in changed or d in rewritten]
     built = build(source.where(F.col("data_dt").isin(todo)), window[0], day, by_day=True)
-    # Empty the stored days first (an empty day counts as not stored, so a run that fails here
-    # is made good by the next): a day whose source has lost all its rows keeps none of before.
-    for d in set(todo) & have:
-        empty = wh.spark.createDataFrame([], schema).drop("data_dt")
-        write_snapshot(empty, f"{wh.path(table)}/data_dt={d}")
-    (built.hint("rebalance", "data_dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("data_dt").parquet(wh.path(table)))
-    return wh.spark.read.schema(schema).parquet(wh.path(table)).where(F.col("data_dt").between(window[0], day))
+    wh.replace_days(built, table, set(todo) & have)
+    if origin:
+        wh.ledger.record(table, origin, {d: s for d, s in signatures.items() if d in todo})
+    return wh.read_days(table, window[0], day, schema)
 
 
-def job_song_features(wh: Warehouse, day: str, changed: Sequence[str] = ()) -> None:
+def job_song_features(wh: Warehouse, day: str, changed: Sequence[str] = (), bitmaps: bool = False) -> None:
     """Song features of ``day`` from one partial aggregate per day of the 30-day window.
 
-    Only days without a partial, ``day`` itself and the ``changed`` days of the play log
-    are read; a corrected past day is built anew by naming it (or by its own run)."""
+    Only days without a partial, ``day`` itself and days of the play log that were corrected
+    since are read: the ledger notices rewritten files, and ``changed`` names further days.
+    With ``bitmaps`` the partials are bitmaps of dense user and order numbers."""
     plays = wh.read(PLAYS).select(F.col("songid").cast("string").alias("song_id"), "uid", "order_id", "data_dt")
-    state = combine_window_partials(_partials(wh, SONG_STATE, plays, window_state, day, 30, changed))
     songs = wh.read(SONG_DIM).withColumn("nbr", F.col("nbr").cast("string"))
-    wh.write_day(song_features_from_state(state, songs, day), SONG_FTUR, day)
+    if bitmaps:
+        window = scan_day_range(plays, day_minus(day, 30), day)
+        users, orders = (dense_ids(window.select(c), wh.path(t)) for c, t in (("uid", USER_IDS), ("order_id", ORDER_IDS)))
+        state = _partials(wh, SONG_BITS, plays, lambda df, a, b, by_day: bitmap_state(df, users, orders, a, b), day, 30, changed, PLAYS)
+        windows = windows_from_bitmaps(state, day, out_key="nbr")
+    else:
+        parts = _partials(wh, SONG_STATE, plays, window_state, day, 30, changed, PLAYS)
+        windows = windows_from_state(combine_window_partials(parts), day, out_key="nbr")
+    wh.write_day(features_from_windows(windows, songs), SONG_FTUR, day)
 
 
 def job_song_rsi(wh: Warehouse, day: str) -> None:
@@ -178,7 +271,7 @@ def _day_or_none(wh: Warehouse, table: str, day: str) -> DataFrame | None:
     try:
         df = wh.day(table, day)
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() in _MISSING:
             return None
         raise
     return df if df.limit(1).count() else None
@@ -193,7 +286,7 @@ def _latest_before(wh: Warehouse, table: str, day: str) -> DataFrame | None:
     try:
         last = wh.read(table).where(F.col("data_dt") < day).agg(F.max("data_dt")).first()[0]
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() in _MISSING:
             return None
         raise
     return wh.day(table, last) if last else None
@@ -213,11 +306,51 @@ def job_machine_location(wh: Warehouse, day: str, days: int = 30, changed: Seque
         size = batch_size or (BATCH_SIZE if days <= 30 else LONG_BATCH_SIZE)
         enrich = service_enricher(geocoder, f"{wh.path(GEO_RESPONSES)}/data_dt={check_day(day)}", size)
     reports = wh.read(LOC_REPORTS)
-    state = combine_location_partials(_partials(wh, LOC_STATE, reports, location_state, day, days, changed))
+    if days >= LONG_WINDOW:
+        state = _location_tree(wh, reports, day, days, changed)
+    else:
+        state = combine_location_partials(_partials(wh, LOC_STATE, reports, location_state, day, days, changed, LOC_REPORTS))
     prev = _latest_before(wh, MAC_LOC, day)
     wh.write_day(machine_location(reports, prev, day, enrich, days, votes=votes_from_state(state)), MAC_LOC, day)
 
 
+def _location_tree(wh: Warehouse, reports: DataFrame, day: str, days: int, changed: Sequence[str]) -> DataFrame:
+    """The distinct reports of a long window from at most 2 log2(days) stored partials."""
+    start = day_minus(day, days)
+    rewritten, signatures = _changed(wh, LOC_TREE, LOC_REPORTS, [day_minus(day, k) for k in range(days, -1, -1)])
+    tree = location_tree(wh.spark, wh.path(LOC_TREE), reports)
+    tree.refresh(start, day, {*changed, *rewritten, day})
+    wh.ledger.record(LOC_TREE, LOC_REPORTS, {d: s for d, s in signatures.items() if d in rewritten or d == day})
+    return tree.window(start, day)
+
+
+def location_tree(spark: SparkSession, path: str, reports: DataFrame) -> DyadicStore:
+    return DyadicStore(spark, path, lambda a, b: location_state(reports, a, b, by_day=True),
+                       lambda df, extra: df.groupBy(*extra, "uid", "mid", "lat", "lng").agg(F.max("last").alias("last")))
+
+
+def job_refresh(wh: Warehouse, day: str, back: int = 30) -> list[str]:
+    """Make the features, rankings and locations up to ``day`` again that rest on source days
+    whose files have changed since.  Looks at the ``back`` days before ``day`` as result days;
+    returns the result days that were made again."""
+    span = [day_minus(day, k) for k in range(back + 30, -1, -1)]
+    results = span[30:]
+    made = []
+    changed, _ = _changed(wh, SONG_STATE, PLAYS, span)
+    for d in affected_days(changed, day, 30):
+        if d in results and _day_or_none(wh, SONG_FTUR, d) is not None:
+            job_song_features(wh, d)
+            job_song_rsi(wh, d)
+            job_singer_rsi(wh, d)
+            made.append(d)
+    changed, _ = _changed(wh, LOC_STATE, LOC_REPORTS, span)
+    for d in results:  # a snapshot also rests on the one of the day before
+        if changed and d >= changed[0] and _day_or_none(wh, MAC_LOC, d) is not None:
+            job_machine_location(wh, d)
+            made.append(d)
+    return sorted(set(made))
+
+
 def job_consumption(wh: Warehouse, day: str, full_history: bool = False) -> None:
     """Consumption detail of ``day``; with ``full_history`` the whole source table is
     stored under the day, so that the statistics cover all days up to it."""
@@ -275,9 +408,13 @@ def _named(name: str) -> Callable[[str], str]:
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="python -m encore.jobs", description=__doc__.split("\n")[0])
-    p.add_argument("job", choices=sorted(JOBS) + ["all"])
+    p.add_argument("job", choices=sorted(JOBS) + ["all", "refresh"])
     p.add_argument("day", help="analysis date yyyyMMdd")
-    p.add_argument("--warehouse", required=True, help="root folder of the tables")
+    where = p.add_mutually_exclusive_group(required=True)
+    where.add_argument("--warehouse", help="root folder of the tables")
+    where.add_argument("--database", help="catalog database of the tables, in place of a folder")
+    p.add_argument("--database-location", help="folder of the database, if it has to be created")
+    p.add_argument("--bitmaps", action="store_true", help="song_features: day partials as bitmaps of dense ids")
     p.add_argument("--log-path", help="raw log files (client_log job)")
     p.add_argument("--event", default=PLAY_EVENT)
     p.add_argument("--files-per-key", type=int, default=None, help="client_log: max files per event folder")
@@ -301,15 +438,18 @@ def main(argv: list[str] | None = None) -> None:
     ensure_checkpoint_dir(spark)
     props = {k: v for k, v in {"user": a.jdbc_user, "password": os.environ.get(a.jdbc_password_env),
                                "driver": a.jdbc_driver}.items() if v}
-    wh = Warehouse(spark, a.warehouse, a.jdbc_url, props)
-    if a.job == "client_log":
+    wh = (CatalogWarehouse(spark, a.database, a.database_location, a.jdbc_url, props) if a.database
+          else Warehouse(spark, a.warehouse, a.jdbc_url, props))
+    if a.job == "refresh":
+        job_refresh(wh, a.day)
+    elif a.job == "client_log":
         if not a.log_path:
             p.error("--log-path is required for client_log")
         job_client_log(wh, a.day, a.log_path, a.event, a.files_per_key)
     elif a.job == "all":
         run_day(wh, a.day)
     elif a.job == "song_features":
-        job_song_features(wh, a.day, changed)
+        job_song_features(wh, a.day, changed, a.bitmaps)
     elif a.job == "machine_location":
         job_machine_location(wh, a.day, a.days, changed, _named(a.geocoder) if a.geocoder else None, a.batch_size)
     elif a.job == "consumption":

@@ -93,6 +93,11 @@ def song_features_from_state(state: DataFrame, songs: DataFrame, day: str,
     return _features(windows_from_state(state, day, out_key="nbr"), songs, dim_max_rows)
 
 
+def features_from_windows(windows: DataFrame, songs: DataFrame, dim_max_rows: int | None = None) -> DataFrame:
+    """``song_features`` from any form of the trailing windows (key column ``nbr``)."""
+    return _features(windows, songs, dim_max_rows)
+
+
 def history_best_day(plays: DataFrame, day: str, key: str = "song_id") -> DataFrame:
     """Best single-day play count per song in ``[day-7, day-1]`` and ``[day-30, day-1]``
     (likes are not logged: 0).  Songs with no play in ``[day-30, day-1]`` are absent."""

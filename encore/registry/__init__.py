@@ -10,10 +10,10 @@ from encore.registry.common import DAY, Registry
 
 
 def build() -> Registry:
-    from encore.registry import dims, io, ops, songs
+    from encore.registry import dims, io, ops, songs, warehouse
 
     reg = Registry()
-    for mod in (songs, dims, ops, io):
+    for mod in (songs, dims, ops, io, warehouse):
         reg.merge(mod.R)
     return reg
 
