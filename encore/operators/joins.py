@@ -35,7 +35,7 @@ def _row_bytes(df: DataFrame) -> Column:
             sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8)
         else:
             sizes.append(F.lit(8))
-    return reduce(lambda x, y: x + y, sizes, F.lit(16))
+    return reduce(lambda x, y: x + y, sizes, F.lit(0))
 
 
 def broadcast_all_if_small(frames: list[DataFrame], max_rows: int = LOOKUP_MAX_ROWS,

@@ -60,20 +60,30 @@ def one_per_machine(df: DataFrame) -> DataFrame:
     return df.groupBy("mid").agg(F.min(F.struct(*rest)).alias("_row")).select("mid", "_row.*")
 
 
+def newest_per_machine(df: DataFrame, time_col: str | None = None) -> DataFrame:
+    """One row per ``mid``: the one with the latest ``time_col`` (NULL is oldest), of those the one
+    with the most columns filled, of those the greatest.  A partial aggregate as well."""
+    rest = [c for c in df.columns if c != "mid"]
+    filled = sum((F.col(c).isNotNull().cast("int") for c in rest), F.lit(0))
+    time = F.col(time_col) if time_col else F.lit(None).cast("string")
+    best = F.max(F.struct(time.alias("_time"), filled.alias("_filled"), F.struct(*rest).alias("_row"))).alias("_best")
+    return df.groupBy("mid").agg(best).select("mid", "_best._row.*")
+
+
 def machine_dim(mac_a: DataFrame, mac_b: DataFrame, mac_addr: DataFrame, prvc: DataFrame, cty: DataFrame,
                 area: DataFrame, store_map: DataFrame, store: DataFrame,
                 lookup_max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
     """32-column machine dimension.
 
     The key universe is every machine id known to either system; each source is cut to one
-    row per machine first, so a machine listed twice is not doubled.  System A's values win over
+    row per machine first, the newest and fullest, so a machine listed twice is not doubled.  System A's values win over
     system B's for province, city, address, active flag and payment switch.  The region
     and store lookups are broadcast only after a size check."""
     b = (mac_b.withColumn("actv_tm", normalise_time14("actv_tm"))
               .withColumn("order_tm", normalise_time14("order_tm")))
     ids = key_universe([mac_a, b], "mid")
-    mac_a, b, store_map = one_per_machine(mac_a), one_per_machine(b), one_per_machine(store_map.select("mid", "store_id"))
-    loc = one_per_machine(machine_locations(mac_addr))
+    mac_a, b = newest_per_machine(mac_a, "cur_login_tm"), newest_per_machine(b, "order_tm")
+    store_map, loc = newest_per_machine(store_map.select("mid", "store_id")), newest_per_machine(machine_locations(mac_addr), "rev_tm")
 
     ycak = (ids.join(mac_a, "mid", "left")
                .join(loc.select("mid", "prvc", "cty", "addr_fmt", "rev_tm", "sale_tm"), "mid", "left")

@@ -10,7 +10,7 @@ from encore.functions.text import (album_name, auth_company, blank_if_null, join
                                    singer_field, string_length)
 from encore.operators.batches import register_udfs
 from encore.operators.sets import key_universe
-from encore.plans.machines import business_mode, machine_dim, machine_locations, machine_scene
+from encore.plans.machines import business_mode, machine_dim, machine_locations, machine_scene, newest_per_machine
 from encore.plans.songs import SONG_DIM_COLUMNS, song_dim
 from encore.registry.common import S, Registry, sql_with
 
@@ -257,3 +257,23 @@ R.add("machine_dim", sql_with(MACHINE_TABLES, f", {SQL_MACHINE_DIM} SELECT * FRO
 R.add("prefer_first_source", sql_with(MACHINE_TABLES, f""", {SQL_MACHINE_DIM}
     SELECT mid, prvc, cty, addr, is_actv, pay_sw FROM mdim"""))(
     lambda spark, d: machines(spark, d).select("mid", "prvc", "cty", "addr", "is_actv", "pay_sw"))
+
+# Every third machine of system A is listed again with an older login and more columns, every
+# fifth once more with the same login and an empty column: the newest counts, then the fullest.
+_TWICE = """SELECT * FROM mac_a
+    UNION ALL SELECT mid, srl_id, hard_id, 'older' AS song_whse_ver, exec_ver, ui_ver, '9' AS sts, '20230101000000' AS cur_login_tm, '9' AS pay_sw, is_online
+        FROM mac_a WHERE mid % 3 = 0
+    UNION ALL SELECT mid, NULL AS srl_id, hard_id, song_whse_ver, exec_ver, ui_ver, sts, cur_login_tm, pay_sw, is_online FROM mac_a WHERE mid % 5 = 0"""
+
+
+def _newest(spark, d):
+    a = S(spark, d, "mac_a")
+    older = a.where(F.col("mid") % 3 == 0).withColumns({"song_whse_ver": F.lit("older"), "sts": F.lit("9"), "pay_sw": F.lit("9"),
+                                                        "cur_login_tm": F.lit("20230101000000")})
+    emptier = a.where(F.col("mid") % 5 == 0).withColumn("srl_id", F.lit(None).cast("string"))
+    return newest_per_machine(a.unionByName(older).unionByName(emptier), "cur_login_tm")
+
+
+R.add("newest_per_machine", sql_with(["mac_a"], f""", twice AS ({_TWICE}), ranked AS (SELECT *, row_number() OVER (PARTITION BY mid
+        ORDER BY cur_login_tm DESC NULLS LAST, (CASE WHEN srl_id IS NULL THEN 0 ELSE 1 END) DESC) AS rk FROM twice)
+    SELECT mid, srl_id, hard_id, song_whse_ver, exec_ver, ui_ver, sts, cur_login_tm, pay_sw, is_online FROM ranked WHERE rk = 1"""))(_newest)

@@ -162,3 +162,13 @@ def test_the_day_of_consumption_is_one_pruned_partition(spark):
 
     plan = consumption_detail(standin(spark, SF_CHECK, "cnsm"), "20240115")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(data_dt" in plan
+
+
+def test_newest_then_fullest_row_of_a_machine(spark):
+    from encore.plans.machines import newest_per_machine
+
+    df = spark.createDataFrame([("m", None, "b", "20240101"), ("m", 1, "a", "20240102"), ("m", None, "z", "20240102"), ("n", None, "a", None),
+                                ("n", 3, "c", None), ("n", 9, "d", ""), (None, 1, "x", "1")], "mid string, x int, y string, t string")
+    got = sorted(map(tuple, newest_per_machine(df, "t").collect()), key=str)
+    assert got == sorted([("m", 1, "a", "20240102"), ("n", 9, "d", ""), (None, 1, "x", "1")], key=str)
+    assert newest_per_machine(df.drop("t")).where("mid = 'n'").first()[:] == ("n", 9, "d")
