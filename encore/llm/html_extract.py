@@ -29,16 +29,21 @@ import html as entities
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.common import importable, slices, stored
 
 BUCKETS = 32
+MAX_DEPTH = 256  # elements nested deeper stand in the one at this depth, with all their text
+EXACT_PAIRS = 10_000  # child lists of a larger product are aligned by steps of bounded cost
+STEP_EDITS = 200
 MAX_BROADCAST_BYTES = 16 << 20
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
@@ -70,6 +75,9 @@ _LABELS = {"h1", "h2", "h3", "h4", "h5", "h6", "th", "dt", "caption", "figcaptio
 _ROLES = re.compile(r"(?:navigation|banner|contentinfo|complementary|search|form|alert|dialog)$", re.I)
 
 
+_hash = xxhash.xxh3_64_intdigest
+
+
 class Node:
     """An element of a page or wrapper; ``key`` is its tag with class and #id."""
 
@@ -112,6 +120,7 @@ def parse(source: str | None) -> Node:
     """The page as a tree; text nodes have the key ``#`` and their decoded text."""
     root = Node("root")
     stack = [root]
+    beyond: Counter[str] = Counter()  # open elements that were not put on the stack, by name
     source = source or ""
     at = 0
     while m := _TOKEN.match(source, at):
@@ -126,9 +135,13 @@ def parse(source: str | None) -> Node:
         if not name:
             continue
         if m[1]:
+            if beyond[name]:
+                beyond[name] -= 1
+                continue
             opened = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == name), 0)
             if opened:
                 del stack[opened:]
+                beyond.clear()
             continue
         if name in _CLOSES_P:
             _close(stack, {"p"}, {"td", "th", "table", "button", "object"})
@@ -141,7 +154,10 @@ def parse(source: str | None) -> Node:
                 end = _RAW_END[name].search(source, at)
                 at = end.start() if end else len(source)
         elif name not in _VOID:
-            stack.append(node)
+            if len(stack) < MAX_DEPTH:
+                stack.append(node)
+            else:
+                beyond[name] += 1
     return root
 
 
@@ -176,7 +192,7 @@ def _digest(page: Node) -> int:
                 walk(c, _inside(c, inside))
 
     walk(page, 0)
-    return zlib.crc32(" ".join(out).encode("utf-8", "surrogatepass"))
+    return _hash(" ".join(out).encode("utf-8", "surrogatepass"))
 
 
 def _fold(node: Node, in_link: bool, source: int) -> Node:
@@ -188,7 +204,7 @@ def _fold(node: Node, in_link: bool, source: int) -> Node:
                 continue
             slot = Node("#")
             slot.chars, slot.links = len(words), len(words) if in_link else 0
-            slot.same, slot.source, slot.pages = zlib.crc32(words.encode("utf-8", "surrogatepass")), source, 1
+            slot.same, slot.source, slot.pages = _hash(words.encode("utf-8", "surrogatepass")), source, 1
             _append(out.children, slot, True)
         else:
             _append(out.children, _fold(child, in_link or child.tag == "a", source), True)
@@ -212,11 +228,11 @@ def merge(a: Node, b: Node, one_page: bool = False) -> Node:
     out.source = a.source if a.source == b.source else -1
     out.pages = max(a.pages, b.pages) if one_page else a.pages + b.pages
     if one_page and a.same is not None:
-        out.same = zlib.crc32(b"%d %d" % (a.same, b.same))
+        out.same = _hash(b"%d %d" % (a.same, b.same))
     if not a.children and not b.children:
         return out
     left, right = [c.key for c in a.children], [c.key for c in b.children]
-    blocks = [(0, 0, len(left))] if left == right else SequenceMatcher(None, left, right, autojunk=False).get_matching_blocks()
+    blocks = [(0, 0, len(left))] if left == right else _aligned(left, right)
     i = j = 0
     for x, y, size in blocks:
         for c in (*a.children[i:x], *b.children[j:y]):  # a mismatch: an optional group
@@ -231,6 +247,59 @@ def merge(a: Node, b: Node, one_page: bool = False) -> Node:
     return out
 
 
+def _aligned(a: list[str], b: list[str]) -> list[tuple[int, int, int]]:
+    """Matching blocks (place in a, place in b, length) in order."""
+    if len(a) * len(b) <= EXACT_PAIRS:
+        return SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
+    blocks: list[tuple[int, int, int]] = []
+    i = j = 0
+    while i < len(a) and j < len(b):
+        i, j, found = _step(a, b, i, j)
+        blocks += found
+    return blocks
+
+
+def _step(a: list[str], b: list[str], i: int, j: int) -> tuple[int, int, list[tuple[int, int, int]]]:
+    """From (i, j) the furthest point that at most STEP_EDITS insertions and deletions reach, and
+    the matches on the way: the greedy edit graph search, cut off so that its cost is bounded."""
+    reach, trail = {1: i}, []
+    best = (i, j, 0, 0)
+    for edits in range(STEP_EDITS + 1):
+        trail.append(dict(reach))
+        for k in range(-edits, edits + 1, 2):
+            down = k == -edits or (k != edits and reach.get(k - 1, -1) < reach.get(k + 1, -1))
+            x = reach[k + 1] if down else reach[k - 1] + 1
+            y = x - i - k + j
+            if x > len(a) or y > len(b):
+                reach[k] = x
+                continue
+            while x < len(a) and y < len(b) and a[x] == b[y]:
+                x, y = x + 1, y + 1
+            reach[k] = x
+            if x + y > best[0] + best[1]:
+                best = (x, y, edits, k)
+            if x == len(a) and y == len(b):
+                break
+        if best[:2] == (len(a), len(b)):
+            break
+    x, y, edits, k = best
+    if (x, y) == (i, j):  # nothing in reach: leave one of each out
+        return i + 1, j + 1, []
+    blocks: list[tuple[int, int, int]] = []
+    at_x, at_y = x, y
+    for d in range(edits, -1, -1):  # back along the trail
+        before = trail[d]
+        down = k == -d or (k != d and before.get(k - 1, -1) < before.get(k + 1, -1))
+        start = i if d == 0 else before[k + 1] if down else before[k - 1] + 1
+        size = at_x - start
+        if size > 0:
+            blocks.append((start, at_y - size, size))
+        if d:
+            at_x, at_y = (start, at_y - size - 1) if down else (start - 1, at_y - size)
+            k += 1 if down else -1
+    return x, y, blocks[::-1]
+
+
 def expression(node: Node) -> str:
     """The wrapper as a union-free regular expression."""
     if node.key == "#":
