@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from encore.llm.common import RollingHash, Words, as_bytes, importable, release, slices, stored
 from encore.llm.windows import Fragments, fragments
 
+FOLD_BYTES = 4 << 20  # text in which equal fragments fold into one row before the shuffle
 HOT = 20_000
 SHARD_BYTES = 1 << 20
 REDUCE_ROWS = 1 << 19
@@ -86,7 +87,7 @@ def _rows(unit: Unit):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, FOLD_BYTES):
                 laid = Laid(as_bytes(part.column(0)), unit)
                 f = laid.found
                 if not len(f.first):
@@ -157,7 +158,7 @@ def _shipped(unit: Unit, hot: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, FOLD_BYTES):
                 laid = Laid(as_bytes(part.column(0)), unit)
                 wanted = part.column(1)
                 items = wanted.flatten()
