@@ -85,16 +85,23 @@ class WordBpe:
         self.bytes_of = {s: b for b, s in enumerate(self.symbols)}
         self.text_of = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
         self.size = 1 + max(self.text_of)
+        #: Text of each id, and its decimal digits.
+        self.texts = [self.text_of.get(i, "") for i in range(self.size)]
+        self.digits = [str(i) for i in range(self.size)]
         #: For each token the rank of the merge that makes it (-1: a symbol) and the two
         #: tokens that it joins; merges as sorted codes for the pair checks.
         self.made = np.full(self.size, -1, dtype=np.int64)
         self.left = np.full(self.size, -1, dtype=np.int64)
         self.right = np.full(self.size, -1, dtype=np.int64)
         codes = np.zeros(len(self.rank), dtype=np.int64)
+        #: The same merges for exact merging: rank by code, and the token that each rank makes.
+        self.product = [0] * len(self.rank)
         for (a, b), r in self.rank.items():
             t, x, y = self.ids[a + b], self.ids[a], self.ids[b]
             self.made[t], self.left[t], self.right[t] = r, x, y
             codes[r] = x * self.size + y
+            self.product[r] = t
+        self.code_rank = {c: r for r, c in enumerate(codes.tolist())}
         order = np.argsort(codes)
         self.codes, self.ranks = codes[order], order
         self.longest_match = ahocorasick.Automaton()
@@ -140,6 +147,26 @@ class WordBpe:
                 ranks[i] = rank((parts[i], parts[i + 1]), none)
         return parts
 
+    def merged_ids(self, word: str) -> tuple[int, ...]:
+        """``merge`` of a word's symbols on token ids."""
+        parts = self.start(word)
+        if len(parts) > 48:
+            return tuple([self.ids[t] for t in self._merge_long(parts)])
+        ids, size, rank, product, none = [self.ids[p] for p in parts], self.size, self.code_rank.get, self.product, 1 << 60
+        ranks = [rank(a * size + b, none) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
+                break
+            i = ranks.index(best)
+            del ranks[i], ids[i]
+            ids[i] = made = product[best]
+            if i:
+                ranks[i - 1] = rank(ids[i - 1] * size + made, none)
+            if i < len(ranks):
+                ranks[i] = rank(made * size + ids[i + 1], none)
+        return tuple(ids)
+
     def _merge_long(self, parts: list[str]) -> list[str]:
         """The same with a heap, for words of any length."""
         n = len(parts)
@@ -217,10 +244,10 @@ class WordBpe:
         failed[word[left[~self._compatible(token[left], token[left + 1])]]] = True
         self.stats["words"] += len(words)
         self.stats["merged"] += int(failed.sum())
-        values = token.tolist()
+        values, learned = token.tolist(), self.words.young
         bounds = np.searchsorted(word, np.arange(len(words) + 1)).tolist()
         for k, (w, merge) in enumerate(zip(words, failed.tolist())):
-            self.words.young[w] = tuple([self.ids[t] for t in self.merge(self.start(w))] if merge else values[bounds[k] : bounds[k + 1]])
+            learned[w] = self.merged_ids(w) if merge else tuple(values[bounds[k] : bounds[k + 1]])
 
     def pieces(self, text: str) -> list[str | int]:
         """Words of a text in order; a special token is its id."""
@@ -253,20 +280,25 @@ class WordBpe:
         return out
 
     def look_up(self, texts: list[str | None]) -> list[list[tuple]]:
-        """For each text its chunks (cut at spaces and line feeds, which no word crosses) as
-        (number of tokens, ids, ids as text, tokens as text)."""
+        """For each text its chunks with tokens (cut at spaces and line feeds, which no word crosses)
+        as (number of tokens, ids, ids as text, tokens as text)."""
         rows = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        fresh = self.chunks.missing({c for row in rows for c in row})
+        fresh = self.chunks.missing(set().union(*rows))
         if fresh:
             cut = self._cut(fresh)
             self.learn(self.words.missing({w for row in cut for w in row if isinstance(w, str)}))
-            ids_of = self.words.young
+            ids_of, chunks, digits, texts, join = self.words.young, self.chunks.young, self.digits, self.texts, " ".join
             for c, row in zip(fresh, cut):
-                ids = ids_of[row[0]] if len(row) == 1 and isinstance(row[0], str) else tuple(
-                    [t for w in row for t in (ids_of[w] if isinstance(w, str) else (w,))])
-                self.chunks.young[c] = (len(ids), ids, " ".join(map(str, ids)), self.decode(ids))
+                if len(row) == 1 and isinstance(row[0], str):
+                    ids = ids_of[row[0]]
+                else:
+                    ids = tuple([t for w in row for t in (ids_of[w] if isinstance(w, str) else (w,))])
+                if len(ids) == 1:
+                    chunks[c] = (1, ids, digits[ids[0]], texts[ids[0]])
+                else:
+                    chunks[c] = (len(ids), ids, join([digits[i] for i in ids]), join([texts[i] for i in ids])) if ids else None
         get = self.chunks.young.__getitem__
-        return [[x for x in map(get, row) if x[0]] for row in rows]
+        return [[*filter(None, map(get, row))] for row in rows]
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         return [[t for x in row for t in x[1]] for row in self.look_up(texts)]
@@ -283,6 +315,7 @@ _SIGMA = {0x3A3: 0x3C3}  # a capital sigma becomes the plain small one wherever
 def load(path: str, cache: int = WORD_CACHE) -> WordBpe:
     bpe = WordBpe(path, cache)
     gc.freeze()  # the tables stay; collecting garbage need not visit them
+    gc.set_threshold(200_000, 20, 50)  # the caches hold many small tuples and no cycles
     return bpe
 
 
