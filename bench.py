@@ -5,7 +5,9 @@
 
 Stand-in source tables are stored once first (reported as ``setup_sec``, not in the
 total).  Each query is executed in full with the ``noop`` sink (every row computed, none
-collected to the driver)."""
+collected to the driver), three times; the middle time counts.  The statistics and marts read the
+dimension, locations, users and statistics that were stored once (by the first of them), as the
+daily run does; ``first_sec`` has the first time of each query, that storing included."""
 
 from __future__ import annotations
 
@@ -13,6 +15,7 @@ import json
 import os
 import sys
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -42,10 +45,14 @@ def main() -> None:
 
     queries = build().queries
     times: dict[str, float] = {}
+    first: dict[str, float] = {}
     for name in HEADLINE:
-        t = time.time()
-        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t, 3)
+        runs = []
+        for _ in range(3):
+            t = time.time()
+            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(round(time.time() - t, 3))
+        first[name], times[name] = runs[0], median(runs)
     total = round(sum(times.values()), 3)
 
     # The daily jobs end to end over stored tables (each table computed once, read by the
@@ -64,7 +71,7 @@ def main() -> None:
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "total_headline_sec", "value": total, "unit": "sec", "queries": times,
                       "sf": float(sf) if sf.replace(".", "").isdigit() else sf, "cpus": cpus,
-                      "setup_sec": round(setup, 3), "daily_run_sec": daily}))
+                      "first_sec": first, "setup_sec": round(setup, 3), "daily_run_sec": daily}))
     spark.stop()
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from encore.functions.dates import day_minus
+from encore.session import scratch_path
 from encore.sources.standins import standin, with_standins
 
 # Analysis day of every registered query (last day of the driver's `events` table).
@@ -48,5 +50,22 @@ def S(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return standin(spark, sf_dir, name)
 
 
+_SHARED: dict[tuple[str, str, str], DataFrame] = {}
+_LOCK = threading.RLock()  # a shared table may rest on others
+
+
+def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that several queries rest on, computed once per application and stored, as the
+    daily jobs store it for the jobs after them."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    with _LOCK:
+        if key not in _SHARED:
+            df = build()
+            path = scratch_path(spark, f"shared-{name}")
+            df.write.parquet(path)
+            _SHARED[key] = spark.read.schema(df.schema).parquet(path)
+        return _SHARED[key]
+
+
 def sql_with(names: list[str], body: str) -> str:
     return with_standins(names, body)

@@ -13,7 +13,7 @@ from encore.plans.money import (abs_amount, consumption_detail, machine_stats, m
                                 region_stats, revenue_by_package)
 from encore.plans.users import (CHANNEL_LABELS, GENDER_LABELS, active_users, active_users_range, channel_union, decode,
                                 newly_active_users, seen_once)
-from encore.registry.common import D1, D7, DAY, S, Registry, sql_with
+from encore.registry.common import D1, D7, DAY, S, Registry, shared, sql_with
 from encore.registry.dims import MACHINE_TABLES, SQL_MACHINE_DIM, machines
 
 R = Registry()
@@ -349,8 +349,14 @@ stats AS (SELECT a.mid, a.mac_nm, a.prdct_typ, a.store_nm, a.bus_mode, a.pay_sw,
 
 
 def stats(spark, d):
-    return machine_stats(machines(spark, d), locations(spark, d), consumption_detail(S(spark, d, "cnsm")),
-                         active_today(spark, d), DAY)
+    """Machine statistics over the stored dimension, locations and users of the day."""
+    return machine_stats(shared(spark, d, "machine_dim", lambda: machines(spark, d)), shared(spark, d, "locations", lambda: locations(spark, d)),
+                         consumption_detail(S(spark, d, "cnsm")), shared(spark, d, "active_users", lambda: active_today(spark, d)), DAY)
+
+
+def stored_stats(spark, d):
+    """The stored statistics, from which the marts are made."""
+    return shared(spark, d, "machine_stats", lambda: stats(spark, d))
 
 
 R.add("machine_stats", sql_with(STAT_T, f""", {SQL_STATS}
@@ -367,23 +373,23 @@ def _share_sql(base: str) -> str:
 
 
 R.add("merchant_share", sql_with(STAT_T, f", {SQL_STATS} " + _share_sql("tot_ref")))(
-    lambda spark, d: money4(merchant_share(stats(spark, d)), "tot_rev", "tot_ref"))
+    lambda spark, d: money4(merchant_share(stored_stats(spark, d)), "tot_rev", "tot_ref"))
 
 R.add("merchant_share_revenue", sql_with(STAT_T, f", {SQL_STATS} " + _share_sql("tot_rev")))(
-    lambda spark, d: money4(merchant_share(stats(spark, d), base="revenue"), "tot_rev", "tot_ref"))
+    lambda spark, d: money4(merchant_share(stored_stats(spark, d), base="revenue"), "tot_rev", "tot_ref"))
 
 SQL_REGION = """SELECT prvc, cty, count(mid) AS mac_cnt, CAST(sum(CAST(tot_rev AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS mac_rev,
     CAST(sum(CAST(tot_ref AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS mac_ref, CAST(sum(rev_ordr_cnt) AS BIGINT) AS mac_rev_ordr_cnt,
     CAST(sum(ref_ordr_cnt) AS BIGINT) AS mac_ref_ordr_cnt, CAST(sum(cnsm_usr_cnt) AS BIGINT) AS mac_cnsm_usr_cnt,
     CAST(sum(ref_usr_cnt) AS BIGINT) AS mac_ref_usr_cnt FROM stats GROUP BY prvc, cty"""
 
-R.add("region_stats", sql_with(STAT_T, f", {SQL_STATS} " + SQL_REGION))(lambda spark, d: region_stats(stats(spark, d)))
+R.add("region_stats", sql_with(STAT_T, f", {SQL_STATS} " + SQL_REGION))(lambda spark, d: region_stats(stored_stats(spark, d)))
 
 R.add("decimal_totals", sql_with(STAT_T, f""", {SQL_STATS}
     SELECT prvc, CAST(floor(sum(tot_rev)) / 1000 AS DECIMAL(38,4)) AS rev_k,
         CAST(sum(CAST(tot_ref AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS ref, round(CAST(sum(tot_rev) AS DOUBLE), 4) AS rev
     FROM stats GROUP BY prvc"""))(
-    lambda spark, d: stats(spark, d).groupBy("prvc").agg(
+    lambda spark, d: stored_stats(spark, d).groupBy("prvc").agg(
         (F.floor(F.sum("tot_rev")) / 1000).cast("decimal(38,4)").alias("rev_k"),
         F.sum(F.col("tot_ref").cast("decimal(18,4)")).cast("decimal(38,4)").alias("ref"),
         F.round(F.sum("tot_rev").cast("double"), 4).alias("rev")))
