@@ -246,6 +246,8 @@ def marked(docs: DataFrame, unit: Unit, judge: Callable[[list[bytes], list[int]]
     opened = judged.where(F.col("state") == OPEN).select("k1", "k2", "ord", "frag").join(verdict, "frag").select("k1", "k2", "ord", "a", "b")
     whole = judged.where(F.col("state") == FULL).select("k1", "k2", "ord", F.lit(0).alias("a"), F.lit(-1).alias("b"))
     marks = whole.unionByName(opened).distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("ord", "a", "b")).alias("marks"))
+    marks = stored(marks, f"{name}-marks")  # so that the shuffled texts of this step are gone before those of the next
+    release(docs.sparkSession)
     return side.join(marks, ["k1", "k2"], "left").select("doc_id", "text", "marks")
 
 
