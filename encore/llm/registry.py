@@ -53,7 +53,34 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
-@R.add("op3_substring_dedup")
+_WORDS = "'[^\\x20\\x09-\\x0D]+'"
+
+_OP3_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS w FROM documents),
+win AS (SELECT r, i, md5(array_to_string(list_slice(w, i, i + 34), ' ')) AS h
+        FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+again AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM win JOIN again USING (h)),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS k, count(*) AS n
+         FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) a ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+_OP5_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_ASCII_LOWER}, {_WORDS}) AS w FROM documents),
+grams AS (SELECT DISTINCT r, array_to_string(list_slice(w, i, i + 4), ' ') AS g
+          FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
+met AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.r <> b.r GROUP BY 1, 2),
+links AS (SELECT a, b FROM met JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reached(r, s) AS (SELECT r, r FROM d UNION SELECT reached.r, links.b FROM reached JOIN links ON links.a = reached.s)
+SELECT d.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM d LEFT JOIN sizes USING (r) JOIN reached ON reached.r = d.r JOIN d o ON o.r = reached.s GROUP BY d.r, d.doc_id
+"""
+
+
+@R.add("op3_substring_dedup", _OP3_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -64,7 +91,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@R.add("op5_jaccard_join")
+@R.add("op5_jaccard_join", _OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_groups(table(spark, sf_dir, "documents"))
 
