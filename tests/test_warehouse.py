@@ -203,6 +203,20 @@ def test_bitmap_windows_equal_the_rows(spark):
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
 
 
+def test_bitmap_state_is_no_larger_than_its_pairs(spark):
+    """Orders all over the id table: a row of a few numbers holds a few bytes, not a whole bucket."""
+    plays = spark.range(0, 4000).select((F.col("id") % 50).alias("song_id"), (F.col("id") % 7).alias("uid"), (F.col("id") * 7919 % 4000).alias("order_id"), F.lit(DAY).alias("data_dt"))
+    path = scratch_path(spark, "t-sparse")
+    spark.range(4000).select(F.col("id").alias("value"), (F.col("id") * 40_000 + 63).alias("id")).write.parquet(f"{path}/orders")
+    users, orders = dense_ids(plays.select("uid"), f"{path}/users"), dense_ids(plays.select("order_id"), f"{path}/orders")
+    state = bitmap_state(plays, users, orders, DAY, DAY)
+    kind = dict(state.dtypes)["bits"]
+    held = state.agg(F.sum(F.octet_length("bits") if kind == "binary" else F.lit(8)), F.count("*")).first()
+    assert held[0] <= 8 * (4000 + 350) and held[1] <= 4000 + 350
+    want, got = trailing_windows(plays, DAY), windows_from_bitmaps(state, DAY)
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 # ---------------------------------------------------------------- catalog
 
 
