@@ -6,7 +6,7 @@ from encore.sources.standins import standin, standin_query
 from conftest import SF_SMALL
 
 
-@pytest.mark.parametrize("name", ["cnsm"])
+@pytest.mark.parametrize("name", ["cnsm", "logins"])
 def test_rows_are_not_shuffled_again_for_the_write(spark, monkeypatch, name):
     """The join or distinct of the table has spread them; the stored rows are those of its query."""
     frame, again = type(spark.range(0)), []
