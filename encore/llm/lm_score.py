@@ -49,9 +49,9 @@ CHUNK = 4096  # parameters in a row of the averaging shuffle
 
 @dataclass(frozen=True)
 class Settings:
-    hidden: int = 12
+    hidden: int = 16
     classes: int = 16  # of words with an id
-    class_size: int = 32
+    class_size: int = 64
     tails: int = 16  # of all other words
     window: int = 16  # steps through which gradients go
     rounds: int = 3

@@ -81,6 +81,12 @@ def test_probabilities_sum_to_one():
     assert abs(total - 1) < 1e-4
 
 
+def test_a_thousand_words_have_an_id_of_their_own():
+    """The network itself predicts them, none by its share of a tail class."""
+    known = vocabulary({M.END: 5000, **{f"w{k}".encode(): 2000 - k for k in range(1000)}}, M.Settings())
+    assert (known.id < M.Settings().words).all() and not known.share[known.id].any()
+
+
 def random_net(seed=0):
     net = M.Network(SMALL)
     net.flat[:] = np.random.default_rng(seed).normal(0, 0.4, len(net.flat))
