@@ -31,6 +31,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +75,17 @@ def tail_class(word: bytes, tails: int) -> int:
     return zlib.crc32(word[-2:]) % tails
 
 
+class Tails(dict):
+    """Tail classes by the last two bytes, worked out once each (65,792 at most)."""
+
+    def __init__(self, tails: int):
+        self.tails = tails
+
+    def __missing__(self, end: bytes) -> int:
+        self[end] = tail_class(end, self.tails)
+        return self[end]
+
+
 # ---------------------------------------------------------------- counts
 
 
@@ -160,21 +172,23 @@ def _encode(known: Vocabulary):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
-        get = known.place.get
+        get, tail = known.place.get, Tails(settings.tails)
         for batch in batches:
             for part in slices(batch, 1):
-                texts = [tokens(x) + [END] for x in as_bytes(part.column(1))]
-                n = np.array([len(x) for x in texts], dtype=np.int64)
-                flat = [w for x in texts for w in x]
-                place = np.fromiter((get(w, -1) for w in flat), dtype=np.int64, count=len(flat))
+                places, rare, far_tails = [], [], []
+                for text in as_bytes(part.column(1)):  # one text's words at a time, so that they stay in the processor's cache
+                    words = tokens(text)
+                    words.append(END)
+                    places.append(np.fromiter(map(get, words, repeat(-1)), dtype=np.int64, count=len(words)))
+                    far = [words[k] for k in np.flatnonzero(places[-1] < 0).tolist()]
+                    rare.append(Counter(far))
+                    far_tails += [tail[w[-2:]] for w in far]
+                n = np.array([len(x) for x in places], dtype=np.int64)
+                place = np.concatenate(places)
                 doc = np.repeat(np.arange(len(n)), n)
                 ids = known.id[place]
-                far = np.flatnonzero(place < 0)
-                rare: list[Counter] = [Counter() for _ in range(len(n))]
-                for k, d in zip(far.tolist(), doc[far].tolist()):
-                    w = flat[k]
-                    ids[k] = settings.words + tail_class(w, settings.tails)
-                    rare[d][w] += 1
+                ids[place < 0] = settings.words + np.array(far_tails, dtype=np.int32)
+                rare_edge = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in rare]))), pa.int32())
                 near = place >= 0
                 logs = np.where(near, known.log[place], 0.0)
 
@@ -190,7 +204,8 @@ def _encode(known: Vocabulary):
                     "ids": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(ids, pa.int32())),
                     "n_tokens": pa.array(n), "n_known": summed(near & (known.count[place] > 0)).cast(pa.int64()), "base_log": summed(logs),
                     "tail_log": summed(np.where(ids >= settings.words, logs, 0.0)),
-                    "rare": pa.array([list(x) for x in rare], pa.list_(pa.binary())), "rare_n": pa.array([list(x.values()) for x in rare], pa.list_(pa.int32()))})
+                    "rare": pa.ListArray.from_arrays(rare_edge, pa.array(list(chain.from_iterable(rare)), pa.binary())),
+                    "rare_n": pa.ListArray.from_arrays(rare_edge, pa.array(list(chain.from_iterable(x.values() for x in rare)), pa.int32()))})
 
     return run
 
@@ -233,22 +248,23 @@ class Network:
         """States (steps x hidden x lanes) after each step of ``x`` (steps x lanes); an end as input
         starts a document with no state.  Lanes are the last axis, so every operation runs along them."""
         h = self.settings.hidden
-        gates = self.p["table"].take(x, axis=1).transpose(1, 0, 2)
         keep = (x != 0).astype(np.float32)
-        u = np.ascontiguousarray(self.p["u"].T)
+        u, table = np.ascontiguousarray(self.p["u"].T), self.p["table"].copy()
+        for weights in (u, table):  # the sigmoid takes exp of the negative
+            np.negative(weights[: 2 * h], out=weights[: 2 * h])
         states = np.empty((len(x), h, x.shape[1]), dtype=np.float32)
         kept = []
         for t in range(len(x)):
             state = state * keep[t]
             a = u @ state
-            zr = gates[t, : 2 * h]
+            gates = table.take(x[t], axis=1, mode="wrap")  # no id is out of range; numpy's default is several times slower
+            zr = gates[: 2 * h]
             zr += a[: 2 * h]
-            np.negative(zr, out=zr)
             np.exp(zr, out=zr)
             zr += 1
             np.reciprocal(zr, out=zr)
             z, r = zr[:h], zr[h:]
-            new = gates[t, 2 * h :]
+            new = gates[2 * h :]
             new += r * a[2 * h :]
             np.tanh(new, out=new)
             kept.append((state, z, r, new, a[2 * h :]))
@@ -276,11 +292,11 @@ class Network:
             g["class_w"] += states @ e.T
             g["class_b"] += e.sum(axis=1)
             back = p["class_w"] @ e
-        order = np.flatnonzero(owned)
-        order = order[np.argsort(group[order], kind="stable")]
-        edge = np.searchsorted(group[order], np.arange(s.classes + 1))
-        mine, word = states.take(order, axis=1), y[order] % s.class_size
-        more, inside = np.empty_like(mine), np.empty(len(order), dtype=np.float32)
+        by_group = _order(group)  # words with an id first
+        edge = np.searchsorted(group[by_group], np.arange(s.classes + 1))
+        order = by_group[: edge[-1]]
+        mine, word = states.take(order, axis=1, mode="wrap"), y[order] % s.class_size
+        more, inside = np.zeros_like(states) if learn else None, np.empty(len(order), dtype=np.float32)
         for c in range(s.classes):
             a, b = int(edge[c]), int(edge[c + 1])
             if a == b:
@@ -299,14 +315,16 @@ class Network:
                 more[:, a:b] = p["word_w"][c] @ e
         out[order] += np.log(inside)
         if learn:
-            back[:, order] += more
+            place = np.empty_like(by_group)
+            place[by_group] = rows
+            back += more.take(place, axis=1, mode="wrap")
         return out, back
 
     def backward(self, x: np.ndarray, kept: list, back: np.ndarray) -> None:
         """Gradients through the steps of one window (``back``: steps x hidden x lanes), none beyond it."""
         h = self.settings.hidden
         u, keep = self.p["u"], (x != 0).astype(np.float32)
-        d_gates, d_a = (np.empty((3 * h, *x.shape), dtype=np.float32).transpose(1, 0, 2) for _ in range(2))
+        d_gates, d_a = (np.empty((len(x), 3 * h, x.shape[1]), dtype=np.float32) for _ in range(2))
         later = np.zeros(back.shape[1:], dtype=np.float32)
         for t in range(len(x) - 1, -1, -1):
             state, z, r, new, an = kept[t]
@@ -328,13 +346,12 @@ class Network:
             d_a[t, h : 2 * h] = dr
             later += u @ d_a[t]
             later *= keep[t]
-        before = np.stack([k[0] for k in kept]).transpose(1, 0, 2).reshape(h, -1)
-        self.g["u"] += before @ _flat(d_a).T
+        self.g["u"] += _flat(np.stack([k[0] for k in kept])) @ _flat(d_a).T
         ids = x.reshape(-1)
-        order = np.argsort(ids, kind="stable")
+        order = _order(ids)
         sorted_ids = ids[order]
         starts = np.flatnonzero(np.concatenate(([True], sorted_ids[1:] != sorted_ids[:-1])))
-        self.g["table"][:, sorted_ids[starts]] += np.add.reduceat(_flat(d_gates).take(order, axis=1), starts, axis=1)
+        self.g["table"][:, sorted_ids[starts]] += np.add.reduceat(_flat(d_gates).take(order, axis=1, mode="wrap"), starts, axis=1)
 
 
 class Adam:
@@ -422,6 +439,11 @@ def _batches(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Itera
         yield docs, rows
 
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Stable order of ids or classes; numpy sorts 16 bits by digits, wider numbers by comparing."""
+    return np.argsort(keys.astype(np.uint16) if len(keys) and keys.max() < 1 << 16 else keys, kind="stable")
+
+
 def _flat(states: np.ndarray) -> np.ndarray:
     """steps x hidden x lanes as hidden x (steps * lanes)."""
     return np.ascontiguousarray(states.transpose(1, 0, 2)).reshape(states.shape[1], -1)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from encore.llm import lm_score as M
@@ -87,6 +88,31 @@ def test_a_thousand_words_have_an_id_of_their_own():
     assert (known.id < M.Settings().words).all() and not known.share[known.id].any()
 
 
+def test_a_tail_class_is_worked_out_once_for_an_ending(monkeypatch):
+    """Words outside the broadcast ones share few endings; ids and rare words stay those of each word."""
+    known = vocabulary({M.END: 50, **{f"w{k}".encode(): 40 - k for k in range(5)}}, SMALL)
+    asked, plain = [], M.tail_class
+    monkeypatch.setattr(M, "tail_class", lambda w, tails: asked.append(w) or plain(w, tails))
+    monkeypatch.setattr(M.TaskContext, "get", staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 0})()))
+    texts = [" ".join(f"far{k % 9}{'ab'[k % 2]}y w1" for k in range(100)), None, "w0 é x", "", "w2"]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    rows = pa.Table.from_batches(list(M._encode(known)([batch]))).to_pylist()
+    for r, text in zip(rows, texts):
+        words = [w.encode() for w in split(text)]
+        place = [known.place.get(w, -1) for w in words]
+        assert r["ids"] == [int(known.id[k]) if k >= 0 else SMALL.words + plain(w, SMALL.tails) for w, k in zip(words, place)]
+        assert dict(zip(r["rare"], r["rare_n"])) == Counter(w for w, k in zip(words, place) if k < 0)
+    assert len(asked) == len(set(asked)) == 4  # ay, by, é, x
+
+
+def test_order_is_the_stable_one():
+    rng = np.random.default_rng(2)
+    for top in (1, 40, 1 << 16, 1 << 20):
+        keys = rng.integers(0, top, 5000)
+        assert (M._order(keys) == np.argsort(keys, kind="stable")).all()
+    assert not len(M._order(np.zeros(0, dtype=np.int64)))
+
+
 def random_net(seed=0):
     net = M.Network(SMALL)
     net.flat[:] = np.random.default_rng(seed).normal(0, 0.4, len(net.flat))
